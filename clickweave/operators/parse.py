@@ -22,10 +22,21 @@ def parse_raw(lines: DataFrame, *fields: str, keep_line: bool = False) -> DataFr
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     cols = [F.col(f"{PARSED}.{n}").alias(n) for n in (fields or schema.fieldNames()[:-1])]
     bad = F.col(PARSED).isNull() | F.col(f"{PARSED}.{CORRUPT}").isNotNull()
-    out = lines.select(*(["value"] if keep_line else []), parsed.alias(PARSED))
+    out = lines.select(*(["value"] if keep_line else []), parse_once(parsed).alias(PARSED))
     return out.select(*(["value"] if keep_line else []), *cols, bad.alias("_bad"))
 
 
+def parse_once(parsed: Column) -> Column:
+    """Evaluate ``parsed`` exactly once per row.
+
+    A plain projection would let the optimizer copy ``from_json`` into every
+    filter pushed below it (parsing each line twice or more). Producing the
+    struct from a one-element ``explode`` makes it a generator output, which
+    filters cannot be pushed beneath; the generator stays in whole-stage codegen.
+    """
+    return F.explode(F.array(parsed))
+
+
 def platform_of(appid: Column | str = "appid") -> Column:
     """Platform label of an appid: ``app_<id>``, ``<id>`` for browsers, else ``other_<id>``."""
     a = F.col(appid) if isinstance(appid, str) else appid

@@ -42,7 +42,17 @@ DOC_DAYS = 281
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read a driver table; spread it only when the scan is under-partitioned.
+
+    A large table arrives in many splits and is left alone (no shuffle); a
+    single-row-group file would otherwise put all downstream JSON work in
+    one task.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        df = df.repartition(par)
+    return df
 
 
 def _pick(values: list[str], idx: Column) -> Column:

@@ -40,7 +40,8 @@ HIVE_DAY, HIVE_HOUR = "day={day}", "hour={hour}"
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    return A.raw_log_lines(spark, sf)
+    """The raw log: gzip JSON lines in day/hour directories written from ``events``."""
+    return read_text_lines(spark, f"{_raw_tree(spark, sf)}/*/*/*", gz_only=True)
 
 
 def _normalised(spark: SparkSession, sf: str) -> DataFrame:
@@ -146,7 +147,7 @@ def _events_tsv_dir(spark, sf):
     def write(path):
         write_text(render_tsv(_normalised(spark, sf)), path, compression="gzip")
 
-    return materialized(spark, sf, "events-tsv", ("events",), write)
+    return materialized(spark, sf, "events-tsv-v2", ("events",), write)
 
 
 def q_scan_events_tsv(spark, sf):
@@ -185,10 +186,10 @@ def q_train_rows_shuffled(spark, sf):
 
 def _raw_tree(spark, sf):
     def write(path):
-        rec = A.raw_record(A.load(spark, sf, "events"))
+        rec = A.raw_record(A.load(spark, sf, "events")).repartition("day", "hour")
         write_text(rec, path, compression="gzip", partition_by=("day", "hour"))
 
-    return materialized(spark, sf, "raw-log", ("events",), write)
+    return materialized(spark, sf, "raw-log-v2", ("events",), write)
 
 
 def q_scan_raw_log(spark, sf):
@@ -212,12 +213,12 @@ def q_union_logs(spark, sf):
 def _doc_tree(spark, sf):
     def write(path):
         d = A.load(spark, sf, "documents")
-        rec = A.doc_record(d.filter(F.col("lang") == "en"))
+        rec = A.doc_record(d.filter(F.col("lang") == "en")).repartition("day")
         write_text(rec, f"{path}/documents_info", compression="gzip", partition_by=("day",))
-        rec = A.doc_record(d.filter(~(F.col("lang") == "en") | F.col("lang").isNull()))
+        rec = A.doc_record(d.filter(~(F.col("lang") == "en") | F.col("lang").isNull())).repartition("day")
         write_text(rec, f"{path}/vertical_documents", compression="gzip", partition_by=("day",))
 
-    return materialized(spark, sf, "doc-days", ("documents",), write)
+    return materialized(spark, sf, "doc-days-v2", ("documents",), write)
 
 
 def q_doc_scan_days(spark, sf):
@@ -232,7 +233,7 @@ def q_sink_tsv(spark, sf):
     def write(path):
         write_tsv(_normalised(spark, sf), path, compression="gzip", run="r1")
 
-    path = materialized(spark, sf, "sink-tsv", ("events",), write)
+    path = materialized(spark, sf, "sink-tsv-v2", ("events",), write)
     lines = spark.read.text(path)  # run=<label> becomes a column
     f = F.split("value", "\t")
     return lines.select(*[f[i].alias(c) for i, c in enumerate(("userid", "docid", "event", "date", "platform"))],
@@ -244,7 +245,7 @@ def q_compact_files(spark, sf):
         write_text(render_tsv(_normalised(spark, sf)), f"{path}/small", num_files=16)
         compact_files(spark, f"{path}/small", f"{path}/compact", num_files=3, compression="gzip")
 
-    path = materialized(spark, sf, "compact", ("events",), write)
+    path = materialized(spark, sf, "compact-v2", ("events",), write)
     f = F.split("value", "\t")
     return spark.read.text(f"{path}/compact").select(
         *[f[i].alias(c) for i, c in enumerate(("userid", "docid", "event", "date", "platform"))]
@@ -253,8 +254,13 @@ def q_compact_files(spark, sf):
 
 # --- documents -----------------------------------------------------------------
 
+def _doc_lines(spark, sf):
+    base = _doc_tree(spark, sf)
+    return read_text_lines(spark, [f"{base}/documents_info/*/*", f"{base}/vertical_documents/*/*"])
+
+
 def _docs(spark, sf):
-    return doc_records(A.doc_lines(spark, sf))
+    return doc_records(_doc_lines(spark, sf))
 
 
 def _json_features(df: DataFrame) -> list:
