@@ -74,13 +74,15 @@ def user_history(lines: DataFrame, min_clicks: int = 20, k: int = 20, checkpoint
     if checkpoint:  # one scan of the raw log feeds both branches
         from clickweave.operators.training import materialize
 
-        per_doc = materialize(per_doc)
+        per_doc = materialize(per_doc, "click-docs")
     users = per_doc.groupBy("userid").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_clicks)
-    ranked = per_doc.filter(F.col("docid").isNotNull() & F.col("date").isNotNull()).join(
-        users.select("userid"), "userid", "left_semi"
-    )
+    # top-k first: the partial WindowGroupLimit keeps <= k rows per user in every
+    # map task, so even a user holding a large share of all clicks ships only
+    # k rows per task into the user-keyed shuffle; the activity filter commutes.
     w = Window.partitionBy("userid").orderBy(F.col("date").desc(), F.col("docid"))
+    ranked = per_doc.filter(F.col("docid").isNotNull() & F.col("date").isNotNull())
     top = ranked.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    top = top.join(users.select("userid"), "userid", "left_semi")
     entries = F.array_sort(F.collect_list(F.struct("rank", "docid", "date")))
     return top.groupBy("userid").agg(entries.alias("e")).select(
         "userid",

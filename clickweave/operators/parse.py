@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.codes import APP_IDS, BROWSER_IDS
+from clickweave.functions.columns import evaluate_once
 from clickweave.sources.schemas import CORRUPT, raw_log_schema
 
 PARSED = "r"
@@ -34,7 +35,7 @@ def parse_once(parsed: Column) -> Column:
     struct from a one-element ``explode`` makes it a generator output, which
     filters cannot be pushed beneath; the generator stays in whole-stage codegen.
     """
-    return F.explode(F.array(parsed))
+    return evaluate_once(parsed)
 
 
 def platform_of(appid: Column | str = "appid") -> Column:

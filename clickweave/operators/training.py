@@ -226,17 +226,22 @@ def assemble_rows(slots: DataFrame, max_rows: int = MAX_ROWS_PER_USER) -> DataFr
     )
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the cluster's shared checkpoint folder.
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a parquet table in the cluster's shared checkpoint
+    folder and read it back (lineage is cut there).
 
     Used where one compact intermediate feeds two branches: without it the
     optimizer pushes the semi join below the aggregate and the (large) input
-    is scanned and parsed twice.
+    is scanned and parsed twice. A written table (unlike an RDD checkpoint)
+    is computed once, is columnar, survives executor loss and gives the
+    optimizer real sizes for its broadcast decision.
     """
-    from clickweave.session import shared_dir
+    from clickweave.session import work_path
 
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = work_path(spark, f"{name}", unique=True)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def qualified_doc_labels(
@@ -253,7 +258,7 @@ def qualified_doc_labels(
     """
     ds = doc_stats(events)
     if checkpoint:
-        ds = materialize(ds)
+        ds = materialize(ds, "doc-stats")
     q = qualified_users(user_stats_from_docs(ds), as_of=as_of, tz=tz, **thresholds)
     return doc_labels(ds.join(q.select("userid"), "userid", "left_semi"))
 

@@ -27,6 +27,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # local disk: list directories on the driver instead of launching a
+        # listing job per scan (keep Spark's default on clusters/object stores)
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "4096")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

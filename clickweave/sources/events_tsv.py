@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.codes import DATE_TIME_FORMAT, DEFAULT_TIME_ZONE, EVENT_TIME_FLOOR, EVENT_WEIGHTS
+from clickweave.functions.columns import evaluate_once
 from clickweave.functions.time import epoch_seconds, wall_clock_literal_epoch
 
 
@@ -28,9 +29,10 @@ def prepare_training_events(
     ``t`` is epoch seconds of ``date`` read in zone ``tz``.
     """
     wmap = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
+    tw = F.struct(epoch_seconds("date", tz, fmt).alias("t"), wmap[F.col("event")].alias("weight"))
     df = events.filter(F.col("event").isin(list(weights))).select(
-        "userid", "docid", "event", epoch_seconds("date", tz, fmt).alias("t"), wmap[F.col("event")].alias("weight")
-    )
+        "userid", "docid", "event", evaluate_once(tw).alias("_tw")
+    ).select("userid", "docid", "event", "_tw.t", "_tw.weight")
     cond = F.col("t").isNotNull()
     if floor is not None:
         cond = cond & (F.col("t") >= wall_clock_literal_epoch(floor, tz, fmt))
