@@ -249,18 +249,32 @@ def qualified_doc_labels(
     as_of: str | None = None,
     tz: str = DEFAULT_TIME_ZONE,
     checkpoint: bool = True,
+    max_hot_users: int = 1000,
     **thresholds,
 ) -> DataFrame:
     """Doc labels of qualified users only (unqualified users never reach a window).
 
     ``checkpoint`` materialises the (user, doc) aggregate once (see
     :func:`materialize`); turn it off for tiny inputs.
+
+    Skew: the ``max_hot_users`` heaviest users above the event cap (a top-k of
+    the small per-user statistics, so the broadcast is bounded by
+    construction) are removed map-side by a broadcast anti join before the
+    shuffle on ``userid``; a user holding a large share of all rows thus never
+    lands in one task. Every other user goes through the semi join, so the
+    result is exact for any number of capped users.
     """
     ds = doc_stats(events)
     if checkpoint:
         ds = materialize(ds, "doc-stats")
-    q = qualified_users(user_stats_from_docs(ds), as_of=as_of, tz=tz, **thresholds)
-    return doc_labels(ds.join(q.select("userid"), "userid", "left_semi"))
+    stats = user_stats_from_docs(ds)
+    q = qualified_users(stats, as_of=as_of, tz=tz, **thresholds)
+    kept = ds
+    if max_hot_users:
+        cap = thresholds.get("max_events", MAX_EVENTS_PER_USER)
+        hot = stats.filter(F.col("n_events") > cap).orderBy(F.col("n_events").desc()).limit(max_hot_users)
+        kept = ds.join(F.broadcast(hot.select("userid")), "userid", "left_anti")
+    return doc_labels(kept.join(q.select("userid"), "userid", "left_semi"))
 
 
 def train_rows(

@@ -194,3 +194,16 @@ def test_tsv_source_rules(spark):
     assert sorted((r.event, r.t, r.weight) for r in out) == sorted([
         ("clk", 1704420000, 1), ("clk", 1704420000, 1), ("shr", 1506614400, 3)])
     assert set(EVENT_WEIGHTS) == {"vw", "clk", "ac", "shr", "lk", "dlk"}
+
+
+def test_hot_user_over_cap_removed_before_shuffle(spark):
+    # "hot" holds most rows and is over a (lowered) cap; "ok" qualifies
+    ev = [("hot", f"d{i % 300}", NOW - 20 * DAY + i * 30, i % 5) for i in range(3000)]
+    ev += [("ok", f"d{i % 40}", NOW - 20 * DAY + i * 3600, [1, 0, 0, 4, 3][i % 5]) for i in range(300)]
+    df = weighted(spark, ev)
+    for hot_users in (0, 1000):
+        rows = train_rows(df, as_of=AS_OF, tz="UTC", checkpoint=False, max_hot_users=hot_users, max_events=2000)
+        assert {r.userid for r in rows.collect()} == {"ok"}
+    plan = train_rows(df, as_of=AS_OF, tz="UTC", checkpoint=False, max_events=2000)._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "LeftAnti" in plan
