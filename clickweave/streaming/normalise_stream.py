@@ -2,8 +2,9 @@
 
 Normalisation is a per-record projection + explode with no state, so the
 batch operator runs unchanged on a streaming text source; every micro-batch
-writes its good rows and its quarantined records, exactly once, through
-``foreachBatch`` with the query checkpoint in the shared checkpoint folder.
+writes its good rows and its quarantined records through ``foreachBatch``
+into per-batch directories (``batch_id=<n>``, overwritten on replay), with the
+query checkpoint in the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -41,11 +42,11 @@ def start_normalise_stream(
     every_second = bool(options.get("every_second", False))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # one micro-batch feeds two outputs; idempotent per batch id via txn options
-        opts = {"txnAppId": "clickweave-normalise", "txnVersion": str(batch_id)}
-        normalise_events(batch, **options).write.mode("append").options(**opts).parquet(f"{out_dir}/events")
-        quarantine_events(batch, every_second=every_second).write.mode("append").options(**opts).parquet(
-            f"{out_dir}/quarantine"
+        # one micro-batch feeds two outputs; each batch owns its directory and
+        # overwrites it, so a batch replayed after a failure rewrites, never duplicates
+        normalise_events(batch, **options).write.mode("overwrite").parquet(f"{out_dir}/events/batch_id={batch_id}")
+        quarantine_events(batch, every_second=every_second).write.mode("overwrite").parquet(
+            f"{out_dir}/quarantine/batch_id={batch_id}"
         )
 
     w = lines.writeStream.foreachBatch(write_batch).option(
