@@ -42,9 +42,17 @@ def active_users(lines: DataFrame, min_clicks: int = 20) -> DataFrame:
     )
 
 
-def active_user_clicks(lines: DataFrame, min_clicks: int = 20) -> DataFrame:
-    """(userid, docid, date) of every click with a date and docid by an active user."""
+def active_user_clicks(lines: DataFrame, min_clicks: int = 20, checkpoint: bool = True) -> DataFrame:
+    """(userid, docid, date) of every click with a date and docid by an active user.
+
+    ``checkpoint`` writes the narrow click projection once (one JSON parse)
+    and feeds both the count and the semi join from it.
+    """
     clicks = _clicks(lines)
+    if checkpoint:
+        from clickweave.operators.training import materialize
+
+        clicks = materialize(clicks, "clicks")
     users = clicks.groupBy("userid").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_clicks)
     return clicks.filter(F.col("docid").isNotNull() & F.col("date").isNotNull()).join(
         users.select("userid"), "userid", "left_semi"
