@@ -207,3 +207,15 @@ def test_hot_user_over_cap_removed_before_shuffle(spark):
     plan = train_rows(df, as_of=AS_OF, tz="UTC", checkpoint=False, max_events=2000)._jdf.queryExecution() \
         .executedPlan().toString()
     assert "LeftAnti" in plan
+
+
+def test_all_blank_pool_and_short_pool(spark):
+    # x1, x2 positives; pool of three blanked weak slots -> x1 alone, with no negatives
+    ev = [("u", "x1", 1000, 1), ("u", "x2", 999, 1)]
+    for i, b in enumerate(("b1", "b2", "b3")):
+        ev += [("u", b, 900 - i, 0), ("u", b, 10 + i, 3)]
+    got = [g for g in sample(spark, ev) if g[2].startswith("x")]
+    assert got == [("u", 1, "x1", ())] and sample(spark, ev) == sequential(ev)
+    # fewer than three pool entries -> no row at all
+    ev2 = [("u", "x1", 1000, 1), ("u", "n1", 900, 4), ("u", "w1", 800, 0)]
+    assert sample(spark, ev2) == [] == sequential(ev2)
