@@ -42,6 +42,12 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: clickweave writes stage tables and checkpoints to the "
+                "cluster's shared folder and never to a machine-local temporary folder"
+            )
         d = tempfile.mkdtemp(prefix="clickweave-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
@@ -53,7 +59,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def work_path(spark: SparkSession, name: str, unique: bool = False) -> str:
-    """A path under the shared folder for a materialised intermediate."""
+    """A path under the shared folder for a materialised intermediate.
+
+    ``unique`` paths (per-run stage tables) live under the application id, so a
+    finished run's stage tables are one directory to remove.
+    """
     base = shared_dir(spark)
-    leaf = f"{name}-{uuid.uuid4().hex[:12]}" if unique else name
+    leaf = f"{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return os.path.join(base, "clickweave", leaf) if "://" not in base else f"{base}/clickweave/{leaf}"

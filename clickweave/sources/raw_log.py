@@ -30,9 +30,12 @@ def _empty(spark: SparkSession) -> DataFrame:
 
 def _matches(spark: SparkSession, pattern: str) -> bool:
     """True when the Hadoop glob ``pattern`` matches at least one path (driver-side listing)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    except Exception:  # no JVM gateway (e.g. a remote client): let the reader decide
+        return True
     found = fs.globStatus(path)
     return found is not None and len(found) > 0
 
