@@ -17,10 +17,9 @@ from clickweave.functions.time import epoch_seconds, parse_wall_clock
 from clickweave.operators import (
     active_user_clicks, active_users, app_log_extract, click_events, click_extract, click_extract_sorted,
     doc_enrich, doc_filter, doc_records, insert_new, negative_pool, normalise_events, parse_raw,
-    platform_classify, qualified_doc_labels, qualified_users, quarantine_events, ranked_slots, render_tsv,
+    platform_classify, qualified_doc_labels, qualified_users, quarantine_events, render_tsv,
     shuffle_rows, train_rows, update_matched, user_history, user_stats, view_events,
 )
-from clickweave.operators.training import assemble_rows
 from clickweave.plans import adapter as A
 from clickweave.plans.materialize import materialized
 from clickweave.sinks import compact_files, write_text, write_tsv
