@@ -96,8 +96,8 @@ LABELS = """labels_ AS (
 POOL = """pool AS (
   SELECT userid, docid, cls, blank, time,
          row_number() OVER (PARTITION BY userid ORDER BY cls, time DESC, docid) AS raw_pos,
-         CASE WHEN NOT blank THEN sum(CASE WHEN blank THEN 0 ELSE 1 END) OVER (
-              PARTITION BY userid ORDER BY cls, time DESC, docid ROWS UNBOUNDED PRECEDING) END AS n,
+         CASE WHEN NOT blank THEN CAST(sum(CASE WHEN blank THEN 0 ELSE 1 END) OVER (
+              PARTITION BY userid ORDER BY cls, time DESC, docid ROWS UNBOUNDED PRECEDING) AS BIGINT) END AS n,
          count(*) OVER (PARTITION BY userid) AS size
   FROM (SELECT userid, docid, 0 AS cls, false AS blank, tm AS time FROM labels_ WHERE w = 4
         UNION ALL
@@ -150,7 +150,7 @@ DOCS = """docs AS (
 
 REPLIES = """replies AS (
   SELECT CAST(doc_id AS VARCHAR) AS _id, '[["quality"],["toxic"]]' AS htc_key,
-         to_json([[CAST(quality AS DOUBLE)], [CAST(toxic AS DOUBLE)]]) AS htc_value
+         CAST(to_json([[CAST(quality AS DOUBLE)], [CAST(toxic AS DOUBLE)]]) AS VARCHAR) AS htc_value
   FROM labels
 )"""
 
