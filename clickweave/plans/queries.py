@@ -39,8 +39,17 @@ HIVE_DAY, HIVE_HOUR = "day={day}", "hour={hour}"
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw log: gzip JSON lines in day/hour directories written from ``events``."""
-    return read_text_lines(spark, f"{_raw_tree(spark, sf)}/*/*/*", gz_only=True)
+    """The whole raw log as large gzip files (one per core), like production's
+    ~200 MB files; hour-range queries read the day/hour tree instead."""
+    return read_text_lines(spark, f"{_raw_flat(spark, sf)}/*", gz_only=True)
+
+
+def _raw_flat(spark, sf):
+    def write(path):
+        rec = A.raw_record(A.load(spark, sf, "events")).select("value")
+        write_text(rec, path, compression="gzip", num_files=spark.sparkContext.defaultParallelism)
+
+    return materialized(spark, sf, "raw-log-flat", ("events",), write)
 
 
 def _normalised(spark: SparkSession, sf: str) -> DataFrame:
