@@ -29,7 +29,8 @@ def wall_clock_to_epoch(ntz, tz: str) -> Column:
     Independent of ``spark.sql.session.timeZone``.
     """
     utc = F.convert_timezone(F.lit(tz), F.lit("UTC"), _c(ntz))
-    epoch0 = F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    # a TIMESTAMP_NTZ literal: a Python datetime literal would be read in a zone
+    epoch0 = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
     return F.timestamp_diff("SECOND", epoch0, utc)
 
 
