@@ -263,8 +263,12 @@ def q_compact_files(spark, sf):
 # --- documents -----------------------------------------------------------------
 
 def _doc_lines(spark, sf):
-    base = _doc_tree(spark, sf)
-    return read_text_lines(spark, [f"{base}/documents_info/*/*", f"{base}/vertical_documents/*/*"])
+    """All document records as large gzip files (one per core); day-range scans read the day tree."""
+    def write(path):
+        rec = A.doc_record(A.load(spark, sf, "documents")).select("value")
+        write_text(rec, path, compression="gzip", num_files=spark.sparkContext.defaultParallelism)
+
+    return read_text_lines(spark, f"{materialized(spark, sf, 'docs-flat', ('documents',), write)}/*", gz_only=True)
 
 
 def _docs(spark, sf):
