@@ -7,8 +7,10 @@ under ``spark.checkpoint.dir`` and reused while the input files are unchanged.
 
 from __future__ import annotations
 
+import glob
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import SparkSession
@@ -29,11 +31,22 @@ def _stamp(sf_dir: str, tables: tuple[str, ...]) -> str:
 def materialized(
     spark: SparkSession, sf_dir: str, name: str, tables: tuple[str, ...], write: Callable[[str], None]
 ) -> str:
-    """Path of ``name`` built by ``write(path)`` for the tables of ``sf_dir``."""
-    path = work_path(spark, f"{name}-{_stamp(sf_dir, tables)}")
-    marker = os.path.join(path, "_CLICKWEAVE_DONE")
-    if "://" in path or not os.path.exists(marker):
+    """Path of ``name`` built by ``write(path)`` for the tables of ``sf_dir``.
+
+    Every builder writes its own directory and then publishes a ``READY-<id>``
+    marker; readers take the first published build. Concurrent runs therefore
+    never write into the same directory.
+    """
+    base = work_path(spark, f"{name}-{_stamp(sf_dir, tables)}")
+    if "://" in base:  # remote storage: no local cache bookkeeping, build fresh
+        path = f"{base}/{uuid.uuid4().hex[:12]}"
         write(path)
-        if "://" not in path:
-            open(marker, "w").close()
+        return path
+    ready = sorted(glob.glob(os.path.join(base, "READY-*")))
+    if ready:
+        return os.path.join(base, os.path.basename(ready[0])[len("READY-"):])
+    build = uuid.uuid4().hex[:12]
+    path = os.path.join(base, build)
+    write(path)
+    open(os.path.join(base, f"READY-{build}"), "w").close()
     return path
