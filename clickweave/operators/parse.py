@@ -33,7 +33,7 @@ def parse_once(parsed: Column) -> Column:
     A plain projection would let the optimizer copy ``from_json`` into every
     filter pushed below it (parsing each line twice or more). Producing the
     struct from a one-element ``explode`` makes it a generator output, which
-    filters cannot be pushed beneath; the generator stays in whole-stage codegen.
+    filters cannot be pushed beneath (see :func:`evaluate_once`).
     """
     return evaluate_once(parsed)
 

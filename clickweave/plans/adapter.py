@@ -41,7 +41,7 @@ DOC_DAY0 = "2017-06-01"
 DOC_DAYS = 281
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
     """Read a driver table; spread it only when the scan is under-partitioned.
 
     A large table arrives in many splits and is left alone (no shuffle); a
@@ -50,7 +50,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
+    if spread and df.rdd.getNumPartitions() < par:
         df = df.repartition(par)
     return df
 
@@ -146,7 +146,7 @@ def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """labels -> scorer replies (_id, htc_key, htc_value)."""
-    lab = load(spark, sf_dir, "labels")
+    lab = load(spark, sf_dir, "labels", spread=False)  # a join side: no per-row work to spread
     return lab.select(
         F.col("doc_id").cast("string").alias("_id"),
         F.array(F.array(F.lit("quality")), F.array(F.lit("toxic"))).alias("htc_key"),
