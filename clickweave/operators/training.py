@@ -295,6 +295,12 @@ def render_train_rows(rows: DataFrame) -> DataFrame:
     return rows.select(F.concat_ws("\t", "userid", "pos", "neg1", "neg2", "neg3").alias("value"))
 
 
-def shuffle_rows(rows: DataFrame, num_partitions: int = 100, seed: int = 0) -> DataFrame:
-    """Spread rows over ``num_partitions`` and put them in random order in each."""
-    return rows.repartition(num_partitions).sortWithinPartitions(F.rand(seed))
+def shuffle_rows(rows: DataFrame, num_partitions: int | None = 100, seed: int = 0) -> DataFrame:
+    """Spread rows over ``num_partitions`` and put them in random order in each.
+
+    ``num_partitions=None`` spreads them round-robin into partitions of the
+    advisory size chosen by AQE (``rebalance``), for volumes where a fixed
+    count would make partitions too large.
+    """
+    spread = rows.repartition(num_partitions) if num_partitions else rows.hint("rebalance")
+    return spread.sortWithinPartitions(F.rand(seed))

@@ -85,10 +85,11 @@ def training_job(
     as_of: str | None = None,
     tz: str = DEFAULT_TIME_ZONE,
     floor: str | None = EVENT_TIME_FLOOR,
-    num_files: int = 100,
+    num_files: int | None = None,
     seed: int = 0,
     **thresholds,
 ) -> None:
+    """``num_files=None``: AQE-sized random partitions (the original fixed 100 is ``num_files=100``)."""
     events = scan_events_tsv(spark, inputs, tz=tz, floor=floor)
     rows = train_rows(events, as_of=as_of, tz=tz, **thresholds)
     write_text(shuffle_rows(render_train_rows(rows), num_files, seed), output, compression="gzip")
@@ -101,13 +102,14 @@ def extract_job(
     end: str,
     output: str,
     app: str = LOG_EXTRACT_APP,
-    num_files: int = 100,
+    num_files: int | None = None,
     day_dir: str = "{day}",
     hour_dir: str = "{hour}",
     gz_only: bool = False,
 ) -> None:
+    """``num_files=None``: AQE-sized output files (the original fixed 100 is ``num_files=100``)."""
     lines = hour_range_scan(spark, base, start, end, day_dir=day_dir, hour_dir=hour_dir, gz_only=gz_only)
-    write_text(app_log_extract(lines, app), output, compression="gzip", num_files=num_files)
+    write_text(app_log_extract(lines, app), output, compression="gzip", num_files=num_files, balance=True)
 
 
 def enrich_job(

@@ -19,13 +19,17 @@ def write_text(
     num_files: int | None = None,
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
+    balance: bool = False,
 ) -> None:
     """Write a ``value`` column (plus optional partition columns) as text files.
 
-    ``num_files`` repartitions (a shuffle) to that many files; ``coalesce`` is
-    not used because it would also shrink the upstream parallelism.
+    ``num_files`` repartitions (a shuffle) to exactly that many files;
+    ``coalesce`` is not used because it would also shrink the upstream
+    parallelism. ``balance`` instead lets AQE cut the final shuffle into
+    partitions of the advisory size (``rebalance``): file size stays bounded
+    whatever the input volume.
     """
-    df = lines.repartition(num_files) if num_files else lines
+    df = lines.repartition(num_files) if num_files else (lines.hint("rebalance") if balance else lines)
     w = df.write.mode(mode)
     if compression:
         w = w.option("compression", compression)

@@ -82,3 +82,13 @@ def test_enrich_job_update_and_insert(spark, tmp_dir):
     assert set(snap) == {"1", "2", "9"} and snap["1"].updated and not snap["2"].updated
     enrich_job(spark, [root], "2017-06-01", "2017-06-02", scorer, store, f"{tmp_dir}/snap2", mode="insert")
     assert sorted(r._id for r in spark.read.parquet(f"{tmp_dir}/snap2").collect()) == ["1", "2", "3", "9"]
+
+
+def test_balanced_outputs_without_fixed_count(spark, tmp_dir):
+    from clickweave.operators.training import shuffle_rows
+    from clickweave.sinks import write_text
+
+    df = spark.range(5000).selectExpr("cast(id as string) as value")
+    write_text(df, f"{tmp_dir}/bal", balance=True)
+    assert spark.read.text(f"{tmp_dir}/bal").count() == 5000
+    assert shuffle_rows(df, None, seed=3).count() == 5000
