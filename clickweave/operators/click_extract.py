@@ -41,7 +41,13 @@ def click_extract(lines: DataFrame, app: str = CLICK_EXTRACT_APP) -> DataFrame:
     )
 
 
-def click_extract_sorted(lines: DataFrame, reducers: int = 5, app: str = CLICK_EXTRACT_APP) -> DataFrame:
+def click_extract_sorted(lines: DataFrame, reducers: int | None = 5, app: str = CLICK_EXTRACT_APP) -> DataFrame:
     """Same rows, hash-partitioned by ``userid`` into ``reducers`` partitions and
-    sorted by ``userid`` inside each (the streaming job's identity reducers)."""
-    return click_extract(lines, app).repartition(reducers, "userid").sortWithinPartitions("userid")
+    sorted by ``userid`` inside each (the streaming job's identity reducers).
+
+    ``reducers=None`` uses ``spark.sql.shuffle.partitions`` (sized for the
+    cluster); all rows of one user always land in one partition.
+    """
+    rows = click_extract(lines, app)
+    spread = rows.repartition(reducers, "userid") if reducers else rows.repartition("userid")
+    return spread.sortWithinPartitions("userid")

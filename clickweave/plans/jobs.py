@@ -57,7 +57,7 @@ def click_extract_job(
     inputs: str | Sequence[str],
     output: str,
     run: str,
-    reducers: int = 5,
+    reducers: int | None = None,
     app: str = CLICK_EXTRACT_APP,
     gz_only: bool = False,
 ) -> None:
