@@ -26,14 +26,17 @@ def prepare_training_events(
 ) -> DataFrame:
     """(userid, docid, event, date) rows -> (userid, docid, event, t, weight).
 
-    ``t`` is epoch seconds of ``date`` read in zone ``tz``.
+    ``t`` is epoch seconds of ``date`` read in zone ``tz``; times before 1970
+    are dropped even without a floor.
     """
     wmap = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
     tw = F.struct(epoch_seconds("date", tz, fmt).alias("t"), wmap[F.col("event")].alias("weight"))
     df = events.filter(F.col("event").isin(list(weights))).select(
         "userid", "docid", "event", evaluate_once(tw).alias("_tw")
     ).select("userid", "docid", "event", "_tw.t", "_tw.weight")
-    cond = F.col("t").isNotNull()
+    # t >= 0 always: the sampler packs (weight, t) into one bigint, which needs
+    # non-negative epoch seconds; the default floor (2017) is far above it
+    cond = F.col("t").isNotNull() & (F.col("t") >= 0)
     if floor is not None:
         cond = cond & (F.col("t") >= wall_clock_literal_epoch(floor, tz, fmt))
     return df.filter(cond)
