@@ -272,7 +272,7 @@ def qualified_doc_labels(
     kept = ds
     if max_hot_users:
         cap = thresholds.get("max_events", MAX_EVENTS_PER_USER)
-        hot = stats.filter(F.col("n_events") > cap).orderBy(F.col("n_events").desc()).limit(max_hot_users)
+        hot = stats.filter(F.col("n_events") > cap).orderBy(F.col("n_events").desc(), "userid").limit(max_hot_users)
         kept = ds.join(F.broadcast(hot.select("userid")), "userid", "left_anti")
     return doc_labels(kept.join(q.select("userid"), "userid", "left_semi"))
 
