@@ -22,7 +22,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from clickweave.functions.codes import CLICK_EXTRACT_APP, DEFAULT_TIME_ZONE, EVENT_TIME_FLOOR, LOG_EXTRACT_APP
 from clickweave.operators.app_extract import app_log_extract
@@ -44,12 +45,21 @@ def normalise_job(
     quarantine_output: str | None = None,
     gz_only: bool = False,
     **options,
-) -> None:
+) -> dict:
+    """Returns run metrics: ``events`` written and, with a quarantine output,
+    ``quarantined`` records (collected while writing, no extra pass)."""
     lines = read_text_lines(spark, inputs, gz_only=gz_only)
-    write_text(render_tsv(normalise_events(lines, **options)), output)
+    obs = Observation("normalise")
+    events = normalise_events(lines, **options).observe(obs, F.count(F.lit(1)).alias("events"))
+    write_text(render_tsv(events), output)
+    metrics = dict(obs.get)
     if quarantine_output:
+        qobs = Observation("quarantine")
         q = quarantine_events(lines, every_second=bool(options.get("every_second", False)))
-        write_tsv(q, quarantine_output, columns=("reason", "value"))
+        write_tsv(q.observe(qobs, F.count(F.lit(1)).alias("quarantined")), quarantine_output,
+                  columns=("reason", "value"))
+        metrics.update(qobs.get)
+    return metrics
 
 
 def click_extract_job(
@@ -106,10 +116,14 @@ def extract_job(
     day_dir: str = "{day}",
     hour_dir: str = "{hour}",
     gz_only: bool = False,
-) -> None:
-    """``num_files=None``: AQE-sized output files (the original fixed 100 is ``num_files=100``)."""
+) -> dict:
+    """``num_files=None``: AQE-sized output files (the original fixed 100 is ``num_files=100``).
+    Returns ``{"lines": n}`` written."""
     lines = hour_range_scan(spark, base, start, end, day_dir=day_dir, hour_dir=hour_dir, gz_only=gz_only)
-    write_text(app_log_extract(lines, app), output, compression="gzip", num_files=num_files, balance=True)
+    obs = Observation("extract")
+    kept = app_log_extract(lines, app).observe(obs, F.count(F.lit(1)).alias("lines"))
+    write_text(kept, output, compression="gzip", num_files=num_files, balance=True)
+    return dict(obs.get)
 
 
 def enrich_job(

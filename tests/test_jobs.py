@@ -32,7 +32,8 @@ def test_log_jobs_round_trip(spark, tmp_dir):
     _gz(f"{base}/2024-01-02/00/a.gz", [_click("u1", "d3", 2, 0), "{bad"])
     _gz(f"{base}/2024-01-02/05/a.gz", [_click("u3", "d4", 2, 5, app="vivobrowser")])
 
-    normalise_job(spark, f"{base}/*/*/*", f"{tmp_dir}/norm", quarantine_output=f"{tmp_dir}/quar")
+    m = normalise_job(spark, f"{base}/*/*/*", f"{tmp_dir}/norm", quarantine_output=f"{tmp_dir}/quar")
+    assert m == {"events": 4, "quarantined": 1}
     assert len(_read(spark, f"{tmp_dir}/norm")) == 4
     assert _read(spark, f"{tmp_dir}/quar") == ["bad_json\t{bad"]
 
@@ -42,7 +43,7 @@ def test_log_jobs_round_trip(spark, tmp_dir):
     history_job(spark, f"{base}/*/*/*", f"{tmp_dir}/hist", min_clicks=2, num_files=1)
     assert _read(spark, f"{tmp_dir}/hist") == ["u1\td3 2024-01-02 00:00:00 d1 2024-01-01 23:00:00"]
 
-    extract_job(spark, base, "2024-01-01-23", "2024-01-02-04", f"{tmp_dir}/viv", num_files=3)
+    assert extract_job(spark, base, "2024-01-01-23", "2024-01-02-04", f"{tmp_dir}/viv", num_files=3) == {"lines": 1}
     got = [json.loads(v)["userid"] for v in _read(spark, f"{tmp_dir}/viv")]
     assert got == ["u2"]
 
