@@ -104,3 +104,20 @@ def test_app_log_extract_keeps_line_unchanged(lines):
     recs = ['{"appid":"vivobrowser","x":1}', '{"appid":"oppo"}', '{"x":2}', "{bad", '{"appid":"vivobrowser"}']
     out = sorted(r.value for r in app_log_extract(lines(recs)).collect())
     assert out == sorted(['{"appid":"vivobrowser"}', '{"appid":"vivobrowser","x":1}'])
+
+
+def test_click_extract_sorted_partitions_by_user(lines):
+    from pyspark.sql import functions as F
+
+    from clickweave.operators import click_extract_sorted
+
+    recs = [_ce(userid=f"u{i % 13}", click={"docid": f"d{i}", "event": "like"}) for i in range(200)]
+    out = click_extract_sorted(lines(recs), reducers=5).select("userid", F.spark_partition_id().alias("p"))
+    rows = out.collect()
+    assert len(rows) == 200 and len({r.p for r in rows}) <= 5
+    owner = {}
+    for r in rows:
+        assert owner.setdefault(r.userid, r.p) == r.p  # one partition per user
+    for p in {r.p for r in rows}:
+        users = [r.userid for r in rows if r.p == p]
+        assert users == sorted(users)  # sorted inside each partition
