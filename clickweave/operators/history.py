@@ -59,16 +59,6 @@ def active_user_clicks(lines: DataFrame, min_clicks: int = 20, checkpoint: bool
     )
 
 
-def top_recent_docs(clicks: DataFrame, k: int = 20) -> DataFrame:
-    """(userid, rank, docid, date): the ``k`` newest distinct docs per user.
-
-    A doc's date is its latest click; ties break by docid.
-    """
-    per_doc = clicks.groupBy("userid", "docid").agg(F.max("date").alias("date"))
-    w = Window.partitionBy("userid").orderBy(F.col("date").desc(), F.col("docid"))
-    return per_doc.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
 def user_history(lines: DataFrame, min_clicks: int = 20, k: int = 20, checkpoint: bool = True) -> DataFrame:
     """(userid, items, n_items): ``items`` = ``doc date doc date ...`` newest first.
 
