@@ -11,11 +11,15 @@ def _c(col) -> Column:
 
 
 def java_split(col, sep: str) -> Column:
-    """Split like Java's ``String.split(regex)``: trailing empty fields are dropped."""
+    """Split like Java's ``String.split(regex)`` on a literal separator: trailing
+    empty fields are dropped; a text of separators only gives an empty array,
+    the empty text gives one empty field."""
     import re
 
     esc = re.escape(sep)
-    return F.split(F.regexp_replace(_c(col), f"({esc})+$", ""), esc)
+    c = _c(col)
+    stripped = F.regexp_replace(c, f"({esc})+$", "")
+    return F.when((stripped == "") & (c != ""), F.array().cast("array<string>")).otherwise(F.split(stripped, esc))
 
 
 def day_part(col) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.codes import DATE_TIME_FORMAT, DEFAULT_TIME_ZONE, EVENT_TIME_FLOOR, EVENT_WEIGHTS
 from clickweave.functions.columns import evaluate_once
+from clickweave.functions.strings import java_split
 from clickweave.functions.time import epoch_seconds, wall_clock_literal_epoch
 
 
@@ -44,7 +45,7 @@ def prepare_training_events(
 
 def parse_events_tsv(lines: DataFrame, min_fields: int = 5) -> DataFrame:
     """``value`` TSV lines -> (userid, docid, event, date, platform) strings."""
-    f = F.split(F.regexp_replace("value", "\t+$", ""), "\t")
+    f = java_split("value", "\t")
     return (
         lines.select(f.alias("f"))
         .filter(F.size("f") >= min_fields)

@@ -38,3 +38,31 @@ def test_java_split_and_utf8(spark):
     df = spark.createDataFrame([("a\t\tb\t\t",), ("é\tx",)], "s string")
     rows = df.select(java_split("s", "\t").alias("p"), utf8_length("s").alias("n")).collect()
     assert rows[0].p == ["a", "", "b"] and rows[1].p == ["é", "x"] and rows[1].n == 4
+
+
+def _java_split(s, sep):
+    """Java String.split(literal) with limit 0."""
+    if s == "":
+        return [""]
+    parts = s.split(sep)
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+def test_java_split_property(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    texts = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.text(alphabet="ab\t-", max_size=8))
+    def collect(s):
+        texts.append(s)
+
+    collect()
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = df.select("s", java_split("s", "\t").alias("t"), java_split("s", "-").alias("d")).collect()
+    for r in got:
+        assert list(r.t) == _java_split(r.s, "\t") and list(r.d) == _java_split(r.s, "-"), r.s
