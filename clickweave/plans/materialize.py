@@ -19,7 +19,12 @@ from clickweave.session import work_path
 
 
 def _stamp(sf_dir: str, tables: tuple[str, ...]) -> str:
+    """Key of a cached build: input path, input files, and the adapter's code."""
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
+    from clickweave.plans import adapter
+
+    with open(adapter.__file__, "rb") as f:
+        h.update(f.read())
     for t in tables:
         p = os.path.join(sf_dir, f"{t}.parquet")
         if os.path.exists(p):
