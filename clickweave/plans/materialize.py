@@ -18,13 +18,22 @@ from pyspark.sql import SparkSession
 from clickweave.session import work_path
 
 
+def _code_digest() -> str:
+    pkg = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.sha1()
+    for root, _, files in sorted(os.walk(pkg)):
+        for name in sorted(files):
+            if name.endswith(".py"):
+                with open(os.path.join(root, name), "rb") as f:
+                    h.update(name.encode() + f.read())
+    return h.hexdigest()
+
+
 def _stamp(sf_dir: str, tables: tuple[str, ...]) -> str:
-    """Key of a cached build: input path, input files, and the adapter's code."""
+    """Key of a cached build: input path, input files, and the package's code
+    (builds run adapters and operators, so any code change rebuilds)."""
     h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    from clickweave.plans import adapter
-
-    with open(adapter.__file__, "rb") as f:
-        h.update(f.read())
+    h.update(_code_digest().encode())
     for t in tables:
         p = os.path.join(sf_dir, f"{t}.parquet")
         if os.path.exists(p):
