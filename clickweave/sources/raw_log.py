@@ -67,8 +67,8 @@ def read_text_lines(
             return _empty(spark)
         raise
     df = df.select("value")
-    if skip_blank:
-        df = df.filter(F.length(F.trim("value")) > 0)
+    if skip_blank:  # whitespace-only lines (any whitespace, as str.strip) carry no record
+        df = df.filter(F.length(F.btrim("value", F.lit(" \t\r\n\f\v"))) > 0)
     return df
 
 

@@ -74,3 +74,11 @@ def test_gzip_tsv_round_trip_and_compaction(spark, tmp_dir):
     parts = [f for f in os.listdir(os.path.join(tmp_dir, "compact")) if f.startswith("part-")]
     assert len(parts) == 2
     assert read_text_lines(spark, os.path.join(tmp_dir, "compact")).count() == 100
+
+
+def test_blank_lines_of_any_whitespace_are_skipped(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "ws")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.txt"), "w") as f:
+        f.write('{"a":1}\n\t\n \r\n\n{"b":2}\r\n')
+    assert sorted(r.value.strip() for r in read_text_lines(spark, d).collect()) == ['{"a":1}', '{"b":2}']
