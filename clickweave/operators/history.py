@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickweave.operators.parse import parse_raw
+from clickweave.session import materialize
 
 HISTORY_FIELDS = ("userid", "click")
 
@@ -50,8 +51,6 @@ def active_user_clicks(lines: DataFrame, min_clicks: int = 20, checkpoint: bool
     """
     clicks = _clicks(lines)
     if checkpoint:
-        from clickweave.operators.training import materialize
-
         clicks = materialize(clicks, "clicks")
     users = clicks.groupBy("userid").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_clicks)
     return clicks.filter(F.col("docid").isNotNull() & F.col("date").isNotNull()).join(
@@ -70,8 +69,6 @@ def user_history(lines: DataFrame, min_clicks: int = 20, k: int = 20, checkpoint
         F.count(F.lit(1)).alias("n"), F.max("date").alias("date")
     )
     if checkpoint:  # one scan of the raw log feeds both branches
-        from clickweave.operators.training import materialize
-
         per_doc = materialize(per_doc, "click-docs")
     users = per_doc.groupBy("userid").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_clicks)
     # top-k first: the partial WindowGroupLimit keeps <= k rows per user in every

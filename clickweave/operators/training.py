@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.codes import DATE_TIME_FORMAT, DEFAULT_TIME_ZONE, MAX_EVENTS_PER_USER, MAX_ROWS_PER_USER
 from clickweave.functions.time import wall_clock_literal_epoch
+from clickweave.session import materialize
 
 _SHIFT = 40
 _MASK = (1 << _SHIFT) - 1
@@ -226,24 +227,6 @@ def assemble_rows(slots: DataFrame, max_rows: int = MAX_ROWS_PER_USER) -> DataFr
     )
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` once as a parquet table in the cluster's shared checkpoint
-    folder and read it back (lineage is cut there).
-
-    Used where one compact intermediate feeds two branches: without it the
-    optimizer pushes the semi join below the aggregate and the (large) input
-    is scanned and parsed twice. A written table (unlike an RDD checkpoint)
-    is computed once, is columnar, survives executor loss and gives the
-    optimizer real sizes for its broadcast decision.
-    """
-    from clickweave.session import work_path
-
-    spark = df.sparkSession
-    path = work_path(spark, f"{name}", unique=True)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def qualified_doc_labels(
     events: DataFrame,
     as_of: str | None = None,
