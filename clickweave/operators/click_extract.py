@@ -23,8 +23,11 @@ def click_extract(lines: DataFrame, app: str = CLICK_EXTRACT_APP) -> DataFrame:
     ev = F.col("click.event")
     dwell = F.col("click.details.dwell")
     suffixed = ev.isin(*DWELL_SUFFIX_EVENTS)
+    # like the line-by-line mapper: only a line that is not a JSON object is
+    # skipped outright; a mistyped field is NULL and fails only the checks
+    # that need it (a string "details" does not stop a "like" click)
     cond = (
-        ~F.col("_bad")
+        ~F.col("_not_object")
         & (F.col("appid") == app)
         & F.col("userid").isNotNull()
         & ~F.col("type").eqNullSafe("views")

@@ -8,7 +8,10 @@ per-record array), so the input is scanned and parsed once; no shuffle.
 Records the reference job would have turned into an exception text are kept
 out of the data and returned by :func:`quarantine_events` with a reason:
 
-  bad_json          not a JSON object of the declared shape
+  bad_json          not a JSON object (syntax error, or e.g. an array)
+  bad_shape         a JSON object with a field of the wrong type (e.g. ``views``
+                    not a list, ``details`` not an object): the original
+                    parser throws there
   missing_userid    no ``userid``
   missing_appid     no ``appid``
   missing_docid     a click without ``docid``
@@ -43,7 +46,8 @@ def _reason(every_second: bool) -> Column:
     has_views = F.col("views").isNotNull()
     click_only = ~has_views & F.col("click").isNotNull()
     r = (
-        F.when(F.col("_bad"), F.lit("bad_json"))
+        F.when(F.col("_not_object"), F.lit("bad_json"))
+        .when(F.col("_bad"), F.lit("bad_shape"))
         .when(F.col("userid").isNull(), F.lit("missing_userid"))
         .when(F.col("appid").isNull(), F.lit("missing_appid"))
         .when(click_only & F.col("click.docid").isNull(), F.lit("missing_docid"))

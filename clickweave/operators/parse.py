@@ -15,16 +15,28 @@ PARSED = "r"
 def parse_raw(lines: DataFrame, *fields: str, keep_line: bool = False) -> DataFrame:
     """``value`` JSON lines -> one column per requested top-level field.
 
-    Adds ``_bad``: true for a line that is not a JSON object of the declared
-    shape (syntax error, or a declared field of the wrong JSON type). Such a
-    line's fields are not trusted by any operator.
+    Adds two flags:
+
+    * ``_bad``: the line does not fit the declared shape — not a JSON object,
+      or a declared field of the wrong JSON type (that field is then NULL, the
+      others are still parsed).
+    * ``_not_object``: the line is not a JSON object at all (syntax error or
+      e.g. an array). Checked with a second parse only for the lines already
+      flagged by the first, so the common path parses once.
     """
     schema = raw_log_schema(*fields)
     parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     cols = [F.col(f"{PARSED}.{n}").alias(n) for n in (fields or schema.fieldNames()[:-1])]
-    bad = F.col(PARSED).isNull() | F.col(f"{PARSED}.{CORRUPT}").isNotNull()
-    out = lines.select(*(["value"] if keep_line else []), parse_once(parsed).alias(PARSED))
-    return out.select(*(["value"] if keep_line else []), *cols, bad.alias("_bad"))
+    corrupt = F.col(f"{PARSED}.{CORRUPT}")
+    bad = F.col(PARSED).isNull() | corrupt.isNotNull()
+    not_object = F.col(PARSED).isNull() | F.when(
+        corrupt.isNotNull(),
+        F.try_parse_json("value").isNull() | ~F.ltrim("value").startswith("{"),
+    ).otherwise(F.lit(False))
+    out = lines.select("value", parse_once(parsed).alias(PARSED))
+    return out.select(
+        *(["value"] if keep_line else []), *cols, bad.alias("_bad"), not_object.alias("_not_object")
+    )
 
 
 def parse_once(parsed: Column) -> Column:

@@ -121,3 +121,17 @@ def test_click_extract_sorted_partitions_by_user(lines):
     for p in {r.p for r in rows}:
         users = [r.userid for r in rows if r.p == p]
         assert users == sorted(users)  # sorted inside each partition
+
+
+def test_mistyped_fields(lines):
+    recs = [
+        _ce(click={"docid": "d1", "event": "like", "details": "None"}),       # kept by click extraction
+        _ce(click={"docid": "d2", "event": "clickDoc", "details": "None"}),   # no dwell -> no row
+        "[1]",                                                                 # not an object
+        {"userid": "u", "appid": "oppo", "views": 5, "click": {"event": "like", "docid": "d", "date": "t"}},
+    ]
+    df = lines(recs)
+    assert rows(click_extract(df), "docid", "event") == [("d1", "like")]
+    reasons = sorted(r.reason for r in quarantine_events(df).collect())
+    assert reasons == ["bad_json", "bad_shape", "bad_shape", "bad_shape"]
+    assert normalise_events(df).count() == 0
