@@ -1,6 +1,7 @@
 from clickweave.operators.parse import parse_raw, platform_classify, platform_of  # noqa: F401
 from clickweave.operators.normalise import (  # noqa: F401
-    click_events, normalise_events, quarantine_events, render_tsv, view_events,
+    click_events, events_from_parsed, normalise_events, normalise_with_quarantine, parse_with_reason,
+    quarantine_events, quarantine_from_parsed, render_tsv, view_events,
 )
 from clickweave.operators.click_extract import click_extract, click_extract_sorted  # noqa: F401
 from clickweave.operators.app_extract import app_log_extract  # noqa: F401

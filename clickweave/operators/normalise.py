@@ -58,11 +58,15 @@ def _reason(every_second: bool) -> Column:
     return r
 
 
-def _with_reason(lines: DataFrame, every_second: bool) -> DataFrame:
+def parse_with_reason(lines: DataFrame, every_second: bool = False) -> DataFrame:
+    """Parsed records with their line and ``_reason`` (NULL = good record)."""
     p = parse_raw(lines, *NORMALISE_FIELDS, keep_line=True)
     return p.withColumn("_reason", _reason(every_second))
 
 
+_with_reason = parse_with_reason
+
+
 def _items(every_second: bool, min_dwell: bool, drop_compound: bool, drop_unknown: bool) -> Column:
     """Per-record array of (docid, event, date) rows to explode."""
     views = F.col("views")
@@ -108,8 +112,21 @@ def normalise_events(
     ``drop_compound`` drops click docids containing ``_``; ``drop_unknown``
     drops the ``"None"`` code. ``kinds`` restricts to view or click records.
     """
+    return events_from_parsed(_with_reason(lines, every_second), every_second, min_dwell, drop_compound,
+                              drop_unknown, kinds)
+
+
+def events_from_parsed(
+    parsed: DataFrame,
+    every_second: bool = False,
+    min_dwell: bool = False,
+    drop_compound: bool = False,
+    drop_unknown: bool = False,
+    kinds: tuple[str, ...] = ("views", "click"),
+) -> DataFrame:
+    """:func:`normalise_events` on the output of :func:`parse_with_reason`."""
     reason = F.col("_reason")
-    p = _with_reason(lines, every_second).filter(reason.isNull() | (reason == "odd_views"))
+    p = parsed.filter(reason.isNull() | (reason == "odd_views"))
     if kinds == ("views",):
         p = p.filter(F.col("views").isNotNull())
     elif kinds == ("click",):
@@ -138,9 +155,50 @@ def quarantine_events(lines: DataFrame, every_second: bool = False) -> DataFrame
     With ``every_second`` an odd-length ``views`` record is reported here AND
     still yields its rows, as in the reference.
     """
-    return _with_reason(lines, every_second).filter(F.col("_reason").isNotNull()).select(
-        "value", F.col("_reason").alias("reason")
+    return quarantine_from_parsed(_with_reason(lines, every_second))
+
+
+def quarantine_from_parsed(parsed: DataFrame) -> DataFrame:
+    """:func:`quarantine_events` on the output of :func:`parse_with_reason`."""
+    return parsed.filter(F.col("_reason").isNotNull()).select("value", F.col("_reason").alias("reason"))
+
+
+def normalise_with_quarantine(
+    lines: DataFrame,
+    every_second: bool = False,
+    min_dwell: bool = False,
+    drop_compound: bool = False,
+    drop_unknown: bool = False,
+) -> DataFrame:
+    """(kind, value) text lines from ONE pass: ``kind = "events"`` lines are the
+    normalised TSV (see :func:`render_tsv`), ``kind = "quarantine"`` lines are
+    ``reason\traw line``. Write with ``partitionBy("kind")`` to get both outputs
+    from a single scan and parse.
+    """
+    p = _with_reason(lines, every_second)
+    items = _items(every_second, min_dwell, drop_compound, drop_unknown)
+    platform = platform_of("appid")
+
+    def nul(c: Column) -> Column:
+        return F.coalesce(c, F.lit("null"))
+
+    events = F.transform(
+        items,
+        lambda e: F.struct(
+            F.lit("events").alias("kind"),
+            F.concat_ws("\t", nul(F.col("userid")), nul(e["docid"]), nul(e["event"]), nul(e["date"]),
+                        nul(platform)).alias("value"),
+        ),
+    )
+    reject = F.array(F.struct(F.lit("quarantine").alias("kind"),
+                              F.concat_ws("\t", F.col("_reason"), F.col("value")).alias("value")))
+    reason = F.col("_reason")
+    out = (
+        F.when(reason.isNull(), events)
+        .when(reason == "odd_views", F.concat(events, reject))
+        .otherwise(reject)
     )
+    return p.select(F.explode(out).alias("o")).select("o.kind", "o.value")
 
 
 def render_tsv(events: DataFrame, columns=EVENT_COLUMNS) -> DataFrame:

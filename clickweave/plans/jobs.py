@@ -30,7 +30,7 @@ from clickweave.operators.app_extract import app_log_extract
 from clickweave.operators.click_extract import click_extract_sorted
 from clickweave.operators.enrich import doc_enrich, doc_filter, doc_records, insert_new, update_matched
 from clickweave.operators.history import render_history, user_history
-from clickweave.operators.normalise import normalise_events, quarantine_events, render_tsv
+from clickweave.operators.normalise import normalise_events, normalise_with_quarantine, render_tsv
 from clickweave.operators.training import render_train_rows, shuffle_rows, train_rows
 from clickweave.sinks.text import write_snapshot, write_text, write_tsv
 from clickweave.sources.documents import scan_doc_days
@@ -42,24 +42,28 @@ def normalise_job(
     spark: SparkSession,
     inputs: str | Sequence[str],
     output: str,
-    quarantine_output: str | None = None,
+    with_quarantine: bool = True,
     gz_only: bool = False,
     **options,
 ) -> dict:
-    """Returns run metrics: ``events`` written and, with a quarantine output,
-    ``quarantined`` records (collected while writing, no extra pass)."""
+    """Raw logs -> ``output/kind=events`` (TSV) and ``output/kind=quarantine``
+    (``reason\tline``) from one scan and parse of the input; with
+    ``with_quarantine=False`` only the events, directly under ``output``.
+    Returns run metrics collected while writing (no extra pass)."""
     lines = read_text_lines(spark, inputs, gz_only=gz_only)
+    if not with_quarantine:
+        obs = Observation("normalise")
+        events = normalise_events(lines, **options).observe(obs, F.count(F.lit(1)).alias("events"))
+        write_text(render_tsv(events), output)
+        return dict(obs.get)
     obs = Observation("normalise")
-    events = normalise_events(lines, **options).observe(obs, F.count(F.lit(1)).alias("events"))
-    write_text(render_tsv(events), output)
-    metrics = dict(obs.get)
-    if quarantine_output:
-        qobs = Observation("quarantine")
-        q = quarantine_events(lines, every_second=bool(options.get("every_second", False)))
-        write_tsv(q.observe(qobs, F.count(F.lit(1)).alias("quarantined")), quarantine_output,
-                  columns=("reason", "value"))
-        metrics.update(qobs.get)
-    return metrics
+    both = normalise_with_quarantine(lines, **options).observe(
+        obs,
+        F.count_if(F.col("kind") == "events").alias("events"),
+        F.count_if(F.col("kind") == "quarantine").alias("quarantined"),
+    )
+    write_text(both, output, partition_by=("kind",))
+    return dict(obs.get)
 
 
 def click_extract_job(

@@ -12,7 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from clickweave.operators.normalise import normalise_events, quarantine_events
+from clickweave.operators.normalise import (
+    events_from_parsed, normalise_events, parse_with_reason, quarantine_from_parsed,
+)
 from clickweave.session import work_path
 
 
@@ -42,12 +44,19 @@ def start_normalise_stream(
     every_second = bool(options.get("every_second", False))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # one micro-batch feeds two outputs; each batch owns its directory and
-        # overwrites it, so a batch replayed after a failure rewrites, never duplicates
-        normalise_events(batch, **options).write.mode("overwrite").parquet(f"{out_dir}/events/batch_id={batch_id}")
-        quarantine_events(batch, every_second=every_second).write.mode("overwrite").parquet(
-            f"{out_dir}/quarantine/batch_id={batch_id}"
-        )
+        # one micro-batch (bounded) is parsed once and feeds two outputs; each
+        # batch owns its directories and overwrites them, so a batch replayed
+        # after a failure rewrites, never duplicates
+        parsed = parse_with_reason(batch, every_second).persist()
+        try:
+            events_from_parsed(parsed, **options).write.mode("overwrite").parquet(
+                f"{out_dir}/events/batch_id={batch_id}"
+            )
+            quarantine_from_parsed(parsed).write.mode("overwrite").parquet(
+                f"{out_dir}/quarantine/batch_id={batch_id}"
+            )
+        finally:
+            parsed.unpersist()
 
     w = lines.writeStream.foreachBatch(write_batch).option(
         "checkpointLocation", checkpoint or work_path(spark, "normalise-stream", unique=True)

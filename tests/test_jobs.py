@@ -32,10 +32,11 @@ def test_log_jobs_round_trip(spark, tmp_dir):
     _gz(f"{base}/2024-01-02/00/a.gz", [_click("u1", "d3", 2, 0), "{bad"])
     _gz(f"{base}/2024-01-02/05/a.gz", [_click("u3", "d4", 2, 5, app="vivobrowser")])
 
-    m = normalise_job(spark, f"{base}/*/*/*", f"{tmp_dir}/norm", quarantine_output=f"{tmp_dir}/quar")
+    m = normalise_job(spark, f"{base}/*/*/*", f"{tmp_dir}/norm")
     assert m == {"events": 4, "quarantined": 1}
-    assert len(_read(spark, f"{tmp_dir}/norm")) == 4
-    assert _read(spark, f"{tmp_dir}/quar") == ["bad_json\t{bad"]
+    assert len(_read(spark, f"{tmp_dir}/norm/kind=events")) == 4
+    assert _read(spark, f"{tmp_dir}/norm/kind=quarantine") == ["bad_json\t{bad"]
+    assert normalise_job(spark, f"{base}/*/*/*", f"{tmp_dir}/norm2", with_quarantine=False) == {"events": 4}
 
     click_extract_job(spark, f"{base}/*/*/*", f"{tmp_dir}/clicks", run="2024-01", reducers=2)
     assert _read(spark, f"{tmp_dir}/clicks/run=2024-01") == ["u1\td1\tclickDoc:9\t2", "u1\td3\tclickDoc:9\t2"]

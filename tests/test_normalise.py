@@ -135,3 +135,18 @@ def test_mistyped_fields(lines):
     reasons = sorted(r.reason for r in quarantine_events(df).collect())
     assert reasons == ["bad_json", "bad_shape", "bad_shape", "bad_shape"]
     assert normalise_events(df).count() == 0
+
+
+def test_single_pass_normalise_with_quarantine_equals_separate_outputs(lines):
+    from clickweave.operators.normalise import normalise_with_quarantine, render_tsv
+
+    recs = [{"userid": "u", "appid": "oppo", "views": V3},
+            {"userid": "u", "appid": "mibrowser", "click": {"event": "like", "docid": "d", "date": "t"}},
+            {"userid": "u", "click": {"event": "like", "docid": "d", "date": "t"}}, "{bad"]
+    for es in (False, True):
+        df = lines(recs)
+        both = normalise_with_quarantine(df, every_second=es).collect()
+        ev = sorted(r.value for r in both if r.kind == "events")
+        q = sorted(r.value for r in both if r.kind == "quarantine")
+        assert ev == sorted(r.value for r in render_tsv(normalise_events(df, every_second=es)).collect())
+        assert q == sorted(f"{r.reason}\t{r.value}" for r in quarantine_events(df, every_second=es).collect())
