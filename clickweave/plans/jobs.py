@@ -32,6 +32,7 @@ from clickweave.operators.enrich import doc_enrich, doc_filter, doc_records, ins
 from clickweave.operators.history import render_history, user_history
 from clickweave.operators.normalise import normalise_events, normalise_with_quarantine, render_tsv
 from clickweave.operators.training import render_train_rows, shuffle_rows, train_rows
+from clickweave.session import materialize
 from clickweave.sinks.text import write_snapshot, write_text, write_tsv
 from clickweave.sources.documents import scan_doc_days
 from clickweave.sources.events_tsv import scan_events_tsv
@@ -150,7 +151,9 @@ def enrich_job(
     enrichment (with ``status``) for reporting.
     """
     docs = doc_filter(doc_records(scan_doc_days(spark, roots, start, end, day_dir, depth)))
-    enriched = doc_enrich(docs, scorer, batch_size=batch_size)
+    # written once: the scorer (possibly a remote service) runs exactly once per
+    # document, for the snapshot and for whatever the caller does with the result
+    enriched = materialize(doc_enrich(docs, scorer, batch_size=batch_size), "enriched")
     feats = enriched.select("_id", "htc_key", "htc_value")
     snap = update_matched(store, feats) if mode == "update" else insert_new(store, feats)
     write_snapshot(snap, output)
