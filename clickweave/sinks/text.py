@@ -20,6 +20,7 @@ def write_text(
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
     balance: bool = False,
+    max_records_per_file: int | None = None,
 ) -> None:
     """Write a ``value`` column (plus optional partition columns) as text files.
 
@@ -27,12 +28,15 @@ def write_text(
     ``coalesce`` is not used because it would also shrink the upstream
     parallelism. ``balance`` instead lets AQE cut the final shuffle into
     partitions of the advisory size (``rebalance``): file size stays bounded
-    whatever the input volume.
+    whatever the input volume. ``max_records_per_file`` caps file size
+    without any shuffle (a task rolls over to a new file).
     """
     df = lines.repartition(num_files) if num_files else (lines.hint("rebalance") if balance else lines)
     w = df.write.mode(mode)
     if compression:
         w = w.option("compression", compression)
+    if max_records_per_file:
+        w = w.option("maxRecordsPerFile", max_records_per_file)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.text(path)

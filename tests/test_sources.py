@@ -82,3 +82,10 @@ def test_blank_lines_of_any_whitespace_are_skipped(spark, tmp_dir):
     with open(os.path.join(d, "a.txt"), "w") as f:
         f.write('{"a":1}\n\t\n \r\n\n{"b":2}\r\n')
     assert sorted(r.value.strip() for r in read_text_lines(spark, d).collect()) == ['{"a":1}', '{"b":2}']
+
+
+def test_max_records_per_file(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "capped")
+    write_text(spark.range(100).selectExpr("cast(id as string) as value").coalesce(1), out, max_records_per_file=30)
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(parts) == 4 and read_text_lines(spark, out).count() == 100
