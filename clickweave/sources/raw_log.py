@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -40,6 +40,22 @@ def _matches(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
+_WHITESPACE = " \t\r\n\f\v"
+
+
+def _not_blank(value: Column) -> Column:
+    """False for an empty or whitespace-only line.
+
+    A blank line must start with whitespace, so the (copying) trim runs only
+    for the rare lines that do; every other line is kept after a one-character
+    test.
+    """
+    first = F.substring(value, 1, 1)
+    return F.when(
+        (F.length(value) == 0) | first.isin(*_WHITESPACE), F.length(F.btrim(value, F.lit(_WHITESPACE))) > 0
+    ).otherwise(F.lit(True))
+
+
 def read_text_lines(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -68,7 +84,7 @@ def read_text_lines(
         raise
     df = df.select("value")
     if skip_blank:  # whitespace-only lines (any whitespace, as str.strip) carry no record
-        df = df.filter(F.length(F.btrim("value", F.lit(" \t\r\n\f\v"))) > 0)
+        df = df.filter(_not_blank(F.col("value")))
     return df
 
 
