@@ -49,3 +49,26 @@ def test_all_queries_match_oracles(spark):
         if sorted(df.columns) != sorted(dcols) or _rows(df.columns, df.collect()) != _rows(dcols, res.fetchall()):
             bad.append(k)
     assert not bad
+
+
+TIME_KEYS = ["event_weights", "user_stats", "qualified_users", "doc_labels", "train_rows", "fn_time"]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver data")
+def test_time_queries_do_not_depend_on_session_zone(spark):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        bad = []
+        for k in TIME_KEYS:
+            df = E.queries()[k](spark, SF)
+            res = con.execute(E.oracle_sql()[k])
+            dcols = [d[0] for d in res.description]
+            if _rows(df.columns, df.collect()) != _rows(dcols, res.fetchall()):
+                bad.append(k)
+        assert not bad
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
