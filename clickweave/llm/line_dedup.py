@@ -4,7 +4,9 @@ Texts are split into lines, each line is normalised and hashed, the documents
 of every hash are counted, and lines whose hash is found in many documents are
 dropped; the others are put together again by position.
 
-Only hashes and positions are shuffled for the counting. The text moves once,
+Only hashes and positions are shuffled for the counting. The repeated hashes
+are a written table, so Spark knows its size: it broadcasts them if few, and
+splits the rows of a very common line otherwise. The text moves once,
 to meet the positions to drop, and not at all when those are few enough for
 Spark to broadcast.
 """
@@ -15,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.llm.common import ASCII_SPACE, ascii_lower, fresh
+from clickweave.session import materialize
 
 
 def line_key(line: Column) -> Column:
@@ -63,7 +66,7 @@ def dedup_lines(
         .select(own, digest, "pos", line_key(F.col("line")).alias("key"))
         .filter(F.char_length("key") >= min_chars)
         .select(own, digest, "pos", F.md5("key").alias("line_hash"))
-        .join(repeated_lines(docs, text, min_docs, min_chars), "line_hash")
+        .join(materialize(repeated_lines(docs, text, min_docs, min_chars), "repeated_lines"), "line_hash")
         .groupBy(own, digest)
         .agg(F.collect_list("pos").alias(drop))
     )
