@@ -16,6 +16,24 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (WHERE
 FROM marked GROUP BY r
 """
 
+LLM_ORACLES["op9_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS e,
+         label IS NOT NULL AND embedding IS NOT NULL
+         AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS fine
+  FROM embeddings),
+links AS (
+  SELECT a.r AS a, b.r AS b, b.vec_id AS id FROM v a JOIN v b
+  ON a.label = b.label AND a.fine AND b.fine AND a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) >= 0.93 ELSE false END),
+reach(r, other) AS (SELECT r, r FROM v UNION SELECT reach.r, links.b FROM reach JOIN links ON reach.other = links.a),
+comp AS (SELECT reach.r, min(v.vec_id) AS component_id FROM reach JOIN v ON v.r = reach.other GROUP BY reach.r),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, comp.component_id, coalesce(v.vec_id = comp.component_id, false) AS kept
+FROM v JOIN comp ON comp.r = v.r LEFT JOIN n ON n.a = v.r
+"""
+
 
 def _share(level: str, parent: str, keys: str, parents: str) -> str:
     """The nodes of ``level`` with their budgets, from their parents' in ``parent``."""

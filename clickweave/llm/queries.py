@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.llm.common import hashed_fold, table
+from clickweave.llm.ego_join import embedding_components
 from clickweave.llm.language_id import fit_dictionaries, identify_language
 from clickweave.llm.line_dedup import dedup_lines
 from clickweave.llm.mixing import mix_sources
 from clickweave.llm.packing import pack_documents
+from clickweave.llm.pii import find_pii
 from clickweave.llm.simhash_pivots import simhash_components
+from clickweave.llm.toxicity import fit_toxicity, score_toxicity
 
 #: The production mixture. The documents have no domain, so the number in their source's name deals them to four.
 MIX_DOMAINS = 4
@@ -51,6 +54,14 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = hashed_fold(F.col("doc_id"), 5) == 0
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").filter(~held_out)
+    scored = score_toxicity(docs, fit_toxicity(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = hashed_fold(F.col("doc_id"), 4) == 2
@@ -65,10 +76,21 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
+    "op9_embedding_dedup": op9_embedding_dedup,
+    "op10_pii": op10_pii,
 }
