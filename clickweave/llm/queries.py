@@ -14,6 +14,7 @@ from clickweave.llm.line_dedup import dedup_lines
 from clickweave.llm.mixing import mix_sources
 from clickweave.llm.packing import pack_documents
 from clickweave.llm.pii import find_pii
+from clickweave.llm.simhash_blocks import compare_with_edits
 from clickweave.llm.simhash_pivots import simhash_components
 from clickweave.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -54,6 +55,10 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"), radius=3)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = hashed_fold(F.col("doc_id"), 5) == 0
@@ -88,6 +93,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
     "op8_line_dedup": op8_line_dedup,
