@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm.common import hashed_fold, table
 from clickweave.llm.ego_join import embedding_components
+from clickweave.llm.gru_lm import score_documents
 from clickweave.llm.language_id import fit_dictionaries, identify_language
 from clickweave.llm.line_dedup import dedup_lines
 from clickweave.llm.mixing import mix_sources
@@ -55,6 +56,11 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_documents(docs, hashed_fold(F.col("doc_id"), 10) == 0)
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"), radius=3)
 
@@ -93,6 +99,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_lm_scores": op4_lm_scores,
     "op5_fingerprints": op5_fingerprints,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
