@@ -156,29 +156,27 @@ def mix_sources(
         plan.withColumn("whole", F.expr("budget div tokens")).withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens")),
         "leaf_plan",
     )
-    planned = base.join(plan, _same(base, plan, path)).drop(*(plan[k] for k in path))
-    epoch_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    planned = planned.withColumn("order_key", epoch_key).withColumn(
-        "bucket", F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)
-    ).withColumn("bucket", F.floor("bucket"))
-
-    sums = planned.filter("rest > 0").groupBy(*path, "bucket", "rest").agg(F.sum("n_tokens").alias("held"))
+    def placed(rows: DataFrame, leaf: DataFrame) -> DataFrame:
+        epoch_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+        at = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)
+        joined = rows.join(leaf, _same(rows, leaf, path)).drop(*(leaf[k] for k in path))
+        return joined.withColumn("order_key", epoch_key).withColumn("bucket", F.floor(at))
+
+    # One row a leaf: the bucket in which its budget ends, and what the buckets before it hold.
+    sums = placed(base, plan).filter("rest > 0").groupBy(*path, "bucket", "rest").agg(F.sum("n_tokens").alias("held"))
     ahead = W.partitionBy(*path).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    cuts = sums.withColumn("before", F.coalesce(F.sum("held").over(ahead), F.lit(0))).filter("before < rest")
-    cuts = materialize(
-        cuts.select(*path, "bucket", "before", (F.col("before") + F.col("held") < F.col("rest")).alias("fits")), "cuts"
+    ends = sums.withColumn("before", F.coalesce(F.sum("held").over(ahead), F.lit(0)))
+    ends = ends.filter("before < rest and before + held >= rest").select(*path, F.col("bucket").alias("edge"), "before")
+    plan = materialize(
+        plan.join(ends, _same(plan, ends, path), "left").select(*(plan[c] for c in plan.columns), "edge", "before"), "leaf_edges"
     )
 
     out = [*columns, "epoch", "n_tokens", F.col("budget").alias("leaf_budget")]
-    same_bucket = _same(planned, cuts, path) & (planned["bucket"] == cuts["bucket"])
-    fits = cuts.filter("fits")
-    taken = planned.join(fits, same_bucket, "left").select(
-        *(planned[c] for c in planned.columns if c not in path), (F.col("whole") + F.when(F.col("fits"), 1).otherwise(0)).alias("times")
-    )
-    whole = taken.filter("times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
-    last = planned.join(cuts.filter("not fits"), same_bucket).select(
-        *(planned[c] for c in planned.columns), "before"
-    )
+    planned = placed(base, plan)
+    times = F.col("whole") + F.when(F.col("bucket") < F.col("edge"), 1).otherwise(0)
+    taken = planned.withColumn("times", times).filter("times > 0")
+    whole = taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
+    last = planned.filter(F.col("bucket") == F.col("edge"))
     upto = W.partitionBy(*path).orderBy("order_key", "doc_id", "text").rowsBetween(W.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("n_tokens").over(upto), F.lit(0))
     edge = last.withColumn("start", start).filter("start < rest").withColumn("epoch", F.col("whole"))
