@@ -26,9 +26,11 @@ Set-based form used here (no per-user list is ever built):
   ``raw_pos`` of the third member of group ``g``.
 
 Shuffles: (user, doc) aggregate with partial combine -> per-user statistics
-(small) -> semi join of qualified users -> ONE exchange on ``userid`` shared by
-all windows and the final per-(user, slot) assembly. Users above the event
-cap never reach a window, so a window partition holds at most ``cap`` docs.
+(small, one aggregate, written) -> semi join of qualified users -> ONE exchange
+on ``userid`` shared by all windows and the final per-(user, slot) assembly.
+Users above the event cap never reach a window, so a window partition holds at
+most ``cap`` docs. Both caps are rules of the original job; ``None`` switches
+either off, and :func:`removed_counts` says what each rule removes.
 """
 
 from __future__ import annotations
@@ -83,7 +85,7 @@ def _as_of_epoch(as_of: str | None, tz: str, fmt: str) -> Column:
     return wall_clock_literal_epoch(as_of, tz, fmt)
 
 
-def qualified_users(
+def user_rules(
     stats: DataFrame,
     as_of: str | None = None,
     tz: str = DEFAULT_TIME_ZONE,
@@ -91,26 +93,57 @@ def qualified_users(
     recent_days: int = 30,
     settle_days: int = 5,
     min_span_days: int = 3,
-    max_events: int = MAX_EVENTS_PER_USER,
+    max_events: int | None = MAX_EVENTS_PER_USER,
     fmt: str = DATE_TIME_FORMAT,
 ) -> DataFrame:
-    """Users fit for training (``as_of`` wall clock in ``tz``; None = now).
+    """``stats`` with one boolean per rule (``as_of`` wall clock in ``tz``; None = now).
 
     strong >= min_strong; last event >= as_of - recent_days; first event <=
     as_of - settle_days; 2 * strong <= events; span >= min_span_days; events
-    <= max_events.
+    <= max_events (None: no cap).
     """
     now = _as_of_epoch(as_of, tz, fmt)
-    return stats.filter(
-        (F.col("n_strong") >= min_strong)
-        & (F.col("t_max") >= now - recent_days * DAY)
-        & (F.col("t_min") <= now - settle_days * DAY)
-        & (F.col("n_strong") * 2 <= F.col("n_events"))
-        & (F.col("t_max") - F.col("t_min") >= min_span_days * DAY)
-        & (F.col("n_events") <= max_events)
+    return stats.withColumns(
+        {
+            "enough_strong": F.col("n_strong") >= min_strong,
+            "recent": F.col("t_max") >= now - recent_days * DAY,
+            "settled": F.col("t_min") <= now - settle_days * DAY,
+            "mostly_weak": F.col("n_strong") * 2 <= F.col("n_events"),
+            "long_enough": F.col("t_max") - F.col("t_min") >= min_span_days * DAY,
+            "under_cap": F.lit(True) if max_events is None else F.col("n_events") <= max_events,
+        }
     )
 
 
+USER_RULES = ("enough_strong", "recent", "settled", "mostly_weak", "long_enough", "under_cap")
+
+
+def qualified_users(stats: DataFrame, as_of: str | None = None, tz: str = DEFAULT_TIME_ZONE, **thresholds) -> DataFrame:
+    """Users fit for training: those that keep every rule of :func:`user_rules`."""
+    judged = user_rules(stats, as_of, tz, **thresholds)
+    for rule in USER_RULES:
+        judged = judged.filter(rule)
+    return judged.drop(*USER_RULES)
+
+
+def removed_counts(
+    events: DataFrame,
+    as_of: str | None = None,
+    tz: str = DEFAULT_TIME_ZONE,
+    max_rows: int | None = MAX_ROWS_PER_USER,
+    checkpoint: bool = True,
+    **thresholds,
+) -> DataFrame:
+    """(rule, n): users that break each rule (a user may break several), and
+    under ``max_rows`` the training rows that the row limit cuts off."""
+    judged = user_rules(user_stats(events), as_of, tz, **thresholds)
+    users = judged.agg(*(F.count_if(~F.col(r)).alias(r) for r in USER_RULES))
+    broken = users.select(F.explode(F.array(*(F.struct(F.lit(r).alias("rule"), F.col(r).alias("n")) for r in USER_RULES))).alias("x")).select("x.*")
+    rows = train_rows(events, as_of, tz, max_rows=None, checkpoint=checkpoint, **thresholds)
+    over = F.lit(False) if max_rows is None else F.col("r") > max_rows
+    return broken.unionByName(rows.agg(F.lit("max_rows").alias("rule"), F.count_if(over).alias("n")))
+
+
 def doc_labels(docs: DataFrame) -> DataFrame:
     """(userid, docid, w, tm, tl, wl) from :func:`doc_stats` rows."""
     return docs.select(
@@ -181,8 +214,8 @@ def negative_pool(labels: DataFrame) -> DataFrame:
     )
 
 
-def assemble_rows(slots: DataFrame, max_rows: int = MAX_ROWS_PER_USER) -> DataFrame:
-    """(userid, pos, neg1, neg2, neg3, n_negs, r) from :func:`ranked_slots`."""
+def assemble_rows(slots: DataFrame, max_rows: int | None = MAX_ROWS_PER_USER) -> DataFrame:
+    """(userid, pos, neg1, neg2, neg3, n_negs, r) from :func:`ranked_slots` (``max_rows`` None: no limit)."""
     g = F.floor((F.col("n") + 2) / 3).cast("int")
     j = ((F.col("n") - 1) % 3).cast("int")
     contrib = F.struct  # (slot, pos, j, neg, end)
@@ -214,7 +247,9 @@ def assemble_rows(slots: DataFrame, max_rows: int = MAX_ROWS_PER_USER) -> DataFr
         F.max("size").alias("size"),
     )
     prev_end = F.when(F.col("slot") == 1, F.lit(0)).otherwise(F.col("prev_end"))
-    keep = F.col("pos").isNotNull() & (F.col("slot") <= max_rows) & (F.col("size") - prev_end >= 3)
+    keep = F.col("pos").isNotNull() & (F.col("size") - prev_end >= 3)
+    if max_rows is not None:
+        keep = keep & (F.col("slot") <= max_rows)
     return agg.filter(keep).select(
         "userid",
         "pos",
@@ -232,39 +267,32 @@ def qualified_doc_labels(
     as_of: str | None = None,
     tz: str = DEFAULT_TIME_ZONE,
     checkpoint: bool = True,
-    max_hot_users: int = 1000,
     **thresholds,
 ) -> DataFrame:
     """Doc labels of qualified users only (unqualified users never reach a window).
 
-    ``checkpoint`` materialises the (user, doc) aggregate once (see
-    :func:`materialize`); turn it off for tiny inputs.
+    ``checkpoint`` materialises the (user, doc) aggregate and the qualified
+    users once (see :func:`materialize`); turn it off for tiny inputs.
 
-    Skew: the ``max_hot_users`` heaviest users above the event cap (a top-k of
-    the small per-user statistics, so the broadcast is bounded by
-    construction) are removed map-side by a broadcast anti join before the
-    shuffle on ``userid``; a user holding a large share of all rows thus never
-    lands in one task. Every other user goes through the semi join, so the
-    result is exact for any number of capped users.
+    Skew: the qualified users are a written table of known size, so Spark
+    either broadcasts them and every other user is dropped map-side, or joins
+    two plain exchanges, in which AQE splits the rows of any heavy user. A user
+    over the cap thus never lands whole in one task, however many there are.
     """
     ds = doc_stats(events)
     if checkpoint:
         ds = materialize(ds, "doc-stats")
-    stats = user_stats_from_docs(ds)
-    q = qualified_users(stats, as_of=as_of, tz=tz, **thresholds)
-    kept = ds
-    if max_hot_users:
-        cap = thresholds.get("max_events", MAX_EVENTS_PER_USER)
-        hot = stats.filter(F.col("n_events") > cap).orderBy(F.col("n_events").desc(), "userid").limit(max_hot_users)
-        kept = ds.join(F.broadcast(hot.select("userid")), "userid", "left_anti")
-    return doc_labels(kept.join(q.select("userid"), "userid", "left_semi"))
+    q = qualified_users(user_stats_from_docs(ds), as_of=as_of, tz=tz, **thresholds).select("userid")
+    if checkpoint:
+        q = materialize(q, "qualified-users")
+    return doc_labels(ds.join(q, "userid", "left_semi"))
 
 
 def train_rows(
     events: DataFrame,
     as_of: str | None = None,
     tz: str = DEFAULT_TIME_ZONE,
-    max_rows: int = MAX_ROWS_PER_USER,
+    max_rows: int | None = MAX_ROWS_PER_USER,
     checkpoint: bool = True,
     **thresholds,
 ) -> DataFrame:

@@ -263,6 +263,23 @@ SELECT userid, CASE WHEN has_details THEN dwell END AS dwell,
 FROM ev WHERE NOT bad AND has_click""",
 }
 
+# tight thresholds, under which every rule rejects some users and both limits cut rows
+ORACLES["user_rules"] = f"""{NORM_ALL}, {WEIGHTED}, {USTATS}
+SELECT *, n_strong >= 12 AS enough_strong, t_max >= {ASOF} - 2 * 86400 AS recent, t_min <= {ASOF} - 28 * 86400 AS settled,
+       n_strong * 2 <= n_events AS mostly_weak, t_max - t_min >= 27 * 86400 AS long_enough, n_events <= 80 AS under_cap
+FROM ustats"""
+TRAIN_CAPPED = TRAIN_ALL.replace("n_events <= 20000", "n_events <= 80")
+ORACLES["train_rows_limited"] = f"{TRAIN_CAPPED} SELECT * FROM train WHERE r <= 3"
+ORACLES["train_removed"] = f"""{TRAIN_CAPPED.replace("p.r <= 250 AND ", "")},
+broken AS (
+  SELECT count(*) FILTER (WHERE n_strong < 10) AS a, count(*) FILTER (WHERE t_max < {ASOF} - 30 * 86400) AS b,
+         count(*) FILTER (WHERE t_min > {ASOF} - 5 * 86400) AS c, count(*) FILTER (WHERE n_strong * 2 > n_events) AS d,
+         count(*) FILTER (WHERE t_max - t_min < 3 * 86400) AS e, count(*) FILTER (WHERE n_events > 80) AS f FROM ustats)
+SELECT unnest(['enough_strong', 'recent', 'settled', 'mostly_weak', 'long_enough', 'under_cap']) AS rule,
+       unnest([a, b, c, d, e, f]) AS n FROM broken
+UNION ALL SELECT 'max_rows', count(*) FROM train WHERE r > 3"""
+ORACLES["event_weights_floor"] = ORACLES["event_weights"].replace("2017-09-29 00:00:00", "2024-01-10 12:00:00")
+
 # same rows as their base query
 ORACLES["click_extract_sorted"] = ORACLES["click_extract"]
 ORACLES["train_rows_shuffled"] = ORACLES["train_rows"]

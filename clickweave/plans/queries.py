@@ -20,6 +20,7 @@ from clickweave.operators import (
     platform_classify, qualified_doc_labels, qualified_users, quarantine_events, render_tsv,
     shuffle_rows, train_rows, update_matched, user_history, user_stats, view_events,
 )
+from clickweave.operators.training import removed_counts, user_rules
 from clickweave.plans import adapter as A
 from clickweave.plans.materialize import materialized
 from clickweave.sinks import compact_files, write_text, write_tsv
@@ -31,6 +32,10 @@ TZ = "UTC"
 AS_OF = "2024-01-31 00:00:00"
 MIN_CLICKS = 10
 HISTORY_K = 20
+#: Thresholds under which each training rule rejects some users, and both limits cut.
+TIGHT = {"min_strong": 12, "recent_days": 2, "settle_days": 28, "min_span_days": 27, "max_events": 80}
+TIGHT_CAP, TIGHT_ROWS = 80, 3
+LATE_FLOOR = "2024-01-10 12:00:00"
 RANGE_A = ("2024-01-03-22", "2024-01-06-01")
 UNION_A = ("2024-01-02-00", "2024-01-04-23")
 UNION_B = ("2024-01-04-00", "2024-01-05-12")
@@ -186,6 +191,22 @@ def q_train_rows(spark, sf):
     return train_rows(_weighted(spark, sf), as_of=AS_OF, tz=TZ)
 
 
+def q_user_rules(spark, sf):
+    return user_rules(user_stats(_weighted(spark, sf)), as_of=AS_OF, tz=TZ, **TIGHT)
+
+
+def q_train_rows_limited(spark, sf):
+    return train_rows(_weighted(spark, sf), as_of=AS_OF, tz=TZ, max_rows=TIGHT_ROWS, max_events=TIGHT_CAP)
+
+
+def q_train_removed(spark, sf):
+    return removed_counts(_weighted(spark, sf), as_of=AS_OF, tz=TZ, max_rows=TIGHT_ROWS, max_events=TIGHT_CAP)
+
+
+def q_event_weights_floor(spark, sf):
+    return prepare_training_events(_normalised(spark, sf), tz=TZ, floor=LATE_FLOOR)
+
+
 def q_train_rows_shuffled(spark, sf):
     return shuffle_rows(train_rows(_weighted(spark, sf), as_of=AS_OF, tz=TZ), num_partitions=100, seed=7)
 
@@ -374,6 +395,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "negative_pool": q_negative_pool,
     "train_rows": q_train_rows,
     "train_rows_shuffled": q_train_rows_shuffled,
+    "user_rules": q_user_rules,
+    "train_rows_limited": q_train_rows_limited,
+    "train_removed": q_train_removed,
+    "event_weights_floor": q_event_weights_floor,
     "scan_raw_log": q_scan_raw_log,
     "hour_range_scan": q_hour_range_scan,
     "union_logs": q_union_logs,

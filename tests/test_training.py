@@ -7,7 +7,7 @@ import pytest
 
 from clickweave.functions.codes import EVENT_WEIGHTS
 from clickweave.operators.training import (
-    assemble_rows, doc_labels, doc_stats, qualified_users, ranked_slots, train_rows, user_stats,
+    assemble_rows, doc_labels, doc_stats, qualified_users, ranked_slots, removed_counts, train_rows, user_stats,
 )
 from clickweave.sources.events_tsv import parse_events_tsv, prepare_training_events
 
@@ -196,17 +196,37 @@ def test_tsv_source_rules(spark):
     assert set(EVENT_WEIGHTS) == {"vw", "clk", "ac", "shr", "lk", "dlk"}
 
 
-def test_hot_user_over_cap_removed_before_shuffle(spark):
-    # "hot" holds most rows and is over a (lowered) cap; "ok" qualifies
-    ev = [("hot", f"d{i % 300}", NOW - 20 * DAY + i * 30, i % 5) for i in range(3000)]
+def _two_hot_users(spark):
+    # two users hold most rows and are over a (lowered) cap; "ok" qualifies
+    ev = [(h, f"d{i % 300}", NOW - 20 * DAY + i * 300, [1, 0, 0, 4, 3][(i + i // 5) % 5]) for h in ("hot1", "hot2") for i in range(3000)]
     ev += [("ok", f"d{i % 40}", NOW - 20 * DAY + i * 3600, [1, 0, 0, 4, 3][i % 5]) for i in range(300)]
-    df = weighted(spark, ev)
-    for hot_users in (0, 1000):
-        rows = train_rows(df, as_of=AS_OF, tz="UTC", checkpoint=False, max_hot_users=hot_users, max_events=2000)
+    return weighted(spark, ev)
+
+
+def test_every_user_over_the_cap_is_removed_and_split(spark):
+    df = _two_hot_users(spark)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = train_rows(df, as_of=AS_OF, tz="UTC", max_events=2000)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
         assert {r.userid for r in rows.collect()} == {"ok"}
-    plan = train_rows(df, as_of=AS_OF, tz="UTC", checkpoint=False, max_events=2000)._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "LeftAnti" in plan
+        # the semi join meets two plain exchanges of written tables, which AQE can split at a heavy user
+        join = plan[plan.index("SortMergeJoin"):]
+        assert "LeftSemi" in join.splitlines()[0]
+        sides = [x for x in join.splitlines() if "Exchange hashpartitioning(userid" in x]
+        assert len(sides) == 2 and "Aggregate" not in join
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_caps_can_be_switched_off_and_are_counted(spark):
+    df = _two_hot_users(spark)
+    free = train_rows(df, as_of=AS_OF, tz="UTC", checkpoint=False, max_events=None, max_rows=None, min_strong=1).collect()
+    assert {"ok", "hot1", "hot2"} == {r.userid for r in free}
+    counts = {r.rule: r.n for r in removed_counts(df, as_of=AS_OF, tz="UTC", checkpoint=False, max_events=2000, max_rows=2).collect()}
+    kept = train_rows(df, as_of=AS_OF, tz="UTC", checkpoint=False, max_events=2000, max_rows=None).collect()
+    assert counts["under_cap"] == 2 and counts["max_rows"] == sum(r.r > 2 for r in kept) > 0
 
 
 def test_all_blank_pool_and_short_pool(spark):
