@@ -10,3 +10,10 @@ Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+import sys  # noqa: E402
+
+from pyspark import cloudpickle  # noqa: E402
+
+# functions that run in Python workers are sent by value: the workers need not have this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

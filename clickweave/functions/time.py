@@ -19,8 +19,16 @@ def _c(col) -> Column:
 
 
 def parse_wall_clock(col, fmt: str = DATE_TIME_FORMAT) -> Column:
-    """Text -> TIMESTAMP_NTZ wall clock; NULL for text not matching ``fmt``."""
-    return F.try_to_timestamp(_c(col), F.lit(fmt)).cast("timestamp_ntz")
+    """Text -> TIMESTAMP_NTZ wall clock; NULL for text not matching ``fmt``.
+
+    The text is read with an explicit UTC offset and the instant is turned
+    back from its epoch, so the session zone (and its clock changes) never
+    takes part.
+    """
+    instant = F.try_to_timestamp(F.concat(_c(col), F.lit(" +00:00")), F.lit(f"{fmt} xxx"))
+    seconds = (F.unix_micros(instant) / F.lit(1_000_000)).cast("decimal(18,6)")
+    epoch0 = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return epoch0 + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
 def wall_clock_to_epoch(ntz, tz: str) -> Column:

@@ -11,5 +11,6 @@ from clickweave.operators.training import (  # noqa: F401
     render_train_rows, shuffle_rows, train_rows, user_stats,
 )
 from clickweave.operators.enrich import (  # noqa: F401
-    doc_enrich, doc_filter, doc_records, doc_rejects, insert_new, score_batches, update_matched,
+    doc_enrich, doc_filter, doc_records, doc_rejects, insert_new, latest_per_key, score_batches, scored_features,
+    status_counts, update_matched,
 )

@@ -16,6 +16,10 @@ def app_log_extract(lines: DataFrame, app: str = LOG_EXTRACT_APP, num_partitions
     gzip-sized) input partitions over that many output files; leave it None
     to keep input partitioning (no shuffle).
     """
-    p = parse_raw(lines, "appid", keep_line=True)
-    out = p.filter(~F.col("_bad") & (F.col("appid") == app)).select("value")
+    out = app_lines(parse_raw(lines, "appid", keep_line=True), app)
     return out.repartition(num_partitions) if num_partitions else out
+
+
+def app_lines(parsed: DataFrame, app: str = LOG_EXTRACT_APP) -> DataFrame:
+    """:func:`app_log_extract` on the output of ``parse_raw(lines, "appid", keep_line=True)``."""
+    return parsed.filter(~F.col("_bad") & (F.col("appid") == app)).select("value")

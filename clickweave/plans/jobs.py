@@ -26,17 +26,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.codes import CLICK_EXTRACT_APP, DEFAULT_TIME_ZONE, EVENT_TIME_FLOOR, LOG_EXTRACT_APP
-from clickweave.operators.app_extract import app_log_extract
+from clickweave.functions.columns import evaluate_once
+from clickweave.operators.app_extract import app_lines
 from clickweave.operators.click_extract import click_extract_sorted
-from clickweave.operators.enrich import doc_enrich, doc_filter, doc_records, insert_new, update_matched
+from clickweave.operators.enrich import (
+    doc_enrich, doc_filter, doc_records, doc_rejects, insert_new, scored_features, update_matched,
+)
 from clickweave.operators.history import render_history, user_history
 from clickweave.operators.normalise import normalise_events, normalise_with_quarantine, render_tsv
+from clickweave.operators.parse import parse_raw
 from clickweave.operators.training import render_train_rows, shuffle_rows, train_rows
 from clickweave.session import materialize
 from clickweave.sinks.text import write_snapshot, write_text, write_tsv
 from clickweave.sources.documents import scan_doc_days
-from clickweave.sources.events_tsv import scan_events_tsv
-from clickweave.sources.raw_log import hour_range_scan, read_text_lines
+from clickweave.sources.events_tsv import TSV_REASONS, parse_events_tsv, prepare_training_events, tsv_reject_reason
+from clickweave.sources.raw_log import hour_range_scan, missing_hours, read_text_lines
 
 
 def normalise_job(
@@ -51,7 +55,7 @@ def normalise_job(
     (``reason\tline``) from one scan and parse of the input; with
     ``with_quarantine=False`` only the events, directly under ``output``.
     Returns run metrics collected while writing (no extra pass)."""
-    lines = read_text_lines(spark, inputs, gz_only=gz_only)
+    lines = read_text_lines(spark, inputs, gz_only=gz_only, allow_empty=False)
     if not with_quarantine:
         obs = Observation("normalise")
         events = normalise_events(lines, **options).observe(obs, F.count(F.lit(1)).alias("events"))
@@ -76,7 +80,9 @@ def click_extract_job(
     app: str = CLICK_EXTRACT_APP,
     gz_only: bool = False,
 ) -> None:
-    rows = click_extract_sorted(read_text_lines(spark, inputs, gz_only=gz_only), reducers, app)
+    rows = click_extract_sorted(
+        read_text_lines(spark, inputs, gz_only=gz_only, allow_empty=False), reducers, app
+    )
     write_tsv(rows, output, run=run)
 
 
@@ -89,7 +95,7 @@ def history_job(
     num_files: int | None = None,
     gz_only: bool = False,
 ) -> None:
-    lines = read_text_lines(spark, inputs, gz_only=gz_only)
+    lines = read_text_lines(spark, inputs, gz_only=gz_only, allow_empty=False)
     write_text(render_history(user_history(lines, min_clicks=min_clicks, k=k)), output, num_files=num_files)
 
 
@@ -103,11 +109,21 @@ def training_job(
     num_files: int | None = None,
     seed: int = 0,
     **thresholds,
-) -> None:
-    """``num_files=None``: AQE-sized random partitions (the original fixed 100 is ``num_files=100``)."""
-    events = scan_events_tsv(spark, inputs, tz=tz, floor=floor)
+) -> dict:
+    """``num_files=None``: AQE-sized random partitions (the original fixed 100 is ``num_files=100``).
+    Returns how many input lines were read and dropped, by reason (counted in the same pass)."""
+    lines = read_text_lines(spark, inputs, gz_only=False, skip_blank=False, allow_empty=False)
+    obs = Observation("training")
+    reason = tsv_reject_reason(tz=tz, floor=floor)
+    counted = lines.withColumn("_reason", evaluate_once(reason)).observe(
+        obs,
+        F.count(F.lit(1)).alias("lines"),
+        *(F.count_if(F.col("_reason") == r).alias(r) for r in TSV_REASONS),
+    )
+    events = prepare_training_events(parse_events_tsv(counted), tz=tz, floor=floor)
     rows = train_rows(events, as_of=as_of, tz=tz, **thresholds)
     write_text(shuffle_rows(render_train_rows(rows), num_files, seed), output, compression="gzip")
+    return dict(obs.get)
 
 
 def extract_job(
@@ -123,12 +139,18 @@ def extract_job(
     gz_only: bool = False,
 ) -> dict:
     """``num_files=None``: AQE-sized output files (the original fixed 100 is ``num_files=100``).
-    Returns ``{"lines": n}`` written."""
-    lines = hour_range_scan(spark, base, start, end, day_dir=day_dir, hour_dir=hour_dir, gz_only=gz_only)
-    obs = Observation("extract")
-    kept = app_log_extract(lines, app).observe(obs, F.count(F.lit(1)).alias("lines"))
+    Returns ``{"lines": n written, "bad_lines": n not JSON or without a usable
+    appid, "missing_hours": [...]}``."""
+    lines = hour_range_scan(
+        spark, base, start, end, day_dir=day_dir, hour_dir=hour_dir, gz_only=gz_only, allow_empty=False
+    )
+    obs, read = Observation("extract"), Observation("extract_read")
+    parsed = parse_raw(lines, "appid", keep_line=True).observe(
+        read, F.count_if(F.col("_bad") | F.col("appid").isNull()).alias("bad_lines")
+    )
+    kept = app_lines(parsed, app).observe(obs, F.count(F.lit(1)).alias("lines"))
     write_text(kept, output, compression="gzip", num_files=num_files, balance=True)
-    return dict(obs.get)
+    return {**obs.get, **read.get, "missing_hours": missing_hours(spark, base, start, end, day_dir, hour_dir)}
 
 
 def enrich_job(
@@ -136,25 +158,37 @@ def enrich_job(
     roots: Sequence[str],
     start: str,
     end: str,
-    scorer: Callable | DataFrame,
+    scorer: Callable | DataFrame | None,
     store: DataFrame,
     output: str,
     mode: str = "update",
     batch_size: int = 100,
     day_dir: str = "{day}",
     depth: int = 2,
+    make_scorer: Callable | None = None,
+    on_error: str = "batch",
+    rejects: str | None = None,
 ) -> DataFrame:
     """Score the documents of days ``start..end`` and write a new feature-table snapshot.
 
     ``mode="update"`` sets features of ``_id``s already in ``store`` (no insert);
-    ``mode="insert"`` appends ``_id``s absent from ``store``. Returns the per-doc
-    enrichment (with ``status``) for reporting.
+    ``mode="insert"`` appends ``_id``s absent from ``store``. Only documents the
+    scorer replied to (``status = "ok"``) reach the store, one row per ``_id``;
+    after a failure the stored features stay as they were. ``scorer`` or
+    ``make_scorer`` and ``on_error`` as in :func:`score_batches`; ``rejects``
+    names a path for the lines that cannot be scored, with their reason.
+    Returns the per-doc enrichment (with ``status``) for reporting.
     """
-    docs = doc_filter(doc_records(scan_doc_days(spark, roots, start, end, day_dir, depth)))
+    records = doc_records(scan_doc_days(spark, roots, start, end, day_dir, depth, allow_empty=False))
+    if rejects is not None:
+        write_tsv(doc_rejects(records), rejects, columns=("reason", "raw"))
     # written once: the scorer (possibly a remote service) runs exactly once per
     # document, for the snapshot and for whatever the caller does with the result
-    enriched = materialize(doc_enrich(docs, scorer, batch_size=batch_size), "enriched")
-    feats = enriched.select("_id", "htc_key", "htc_value")
+    enriched = doc_enrich(
+        doc_filter(records), scorer, batch_size=batch_size, make_scorer=make_scorer, on_error=on_error
+    )
+    enriched = materialize(enriched, "enriched")
+    feats = scored_features(enriched)
     snap = update_matched(store, feats) if mode == "update" else insert_new(store, feats)
     write_snapshot(snap, output)
     return enriched

@@ -154,6 +154,18 @@ REPLIES = """replies AS (
   FROM labels
 )"""
 
+LAST_REPLIES = """last_replies AS (
+  SELECT CAST(doc_id AS VARCHAR) AS _id, '[["quality"],["toxic"]]' AS htc_key,
+         CAST(to_json([[CAST(quality + x AS DOUBLE)], [CAST(toxic + x AS DOUBLE)]]) AS VARCHAR) AS htc_value
+  FROM (SELECT *, CASE WHEN doc_id % 3 = 0 THEN 10 ELSE 0 END AS x FROM labels)
+)"""
+
+SCORED = """scored AS (
+  SELECT d._id, d.ctype, d.text, o.lang, CASE WHEN d.doc_id % 100 = 77 THEN 'error' WHEN d.doc_id % 4 = 1 THEN 'skipped'
+         ELSE 'ok' END AS status
+  FROM docs d JOIN documents o ON o.doc_id = d.doc_id WHERE d._id IS NOT NULL AND d.ctype <> 'video'
+)"""
+
 PARSED_VIEW = """SELECT CASE WHEN bad THEN NULL ELSE userid END AS userid,
        CASE WHEN bad THEN NULL ELSE appid END AS appid,
        CASE WHEN bad THEN NULL ELSE type END AS type FROM ev"""
@@ -230,14 +242,26 @@ UNION ALL
 SELECT d._id, d.ctype, coalesce(r.htc_key, '[[],[]]') AS htc_key, coalesce(r.htc_value, '[[],[]]') AS htc_value,
        CASE WHEN r._id IS NULL THEN 'default' ELSE 'ok' END AS status
 FROM docs d LEFT JOIN replies r ON r._id = d._id WHERE d._id IS NOT NULL AND d.ctype <> 'video'""",
-    "features_update_matched": f"""WITH {DOCS}, {REPLIES}
-SELECT d._id, d.ctype, r.htc_key, r.htc_value, r._id IS NOT NULL AS updated
-FROM docs d LEFT JOIN replies r ON r._id = d._id WHERE d._id IS NOT NULL""",
-    "features_insert_new": f"""WITH {DOCS}, {REPLIES}
-SELECT _id, htc_key, htc_value FROM replies
+    "features_update_matched": f"""WITH {DOCS}, {LAST_REPLIES}
+SELECT d._id, d.ctype, coalesce(r.htc_key, '[["old"],[]]') AS htc_key,
+       coalesce(r.htc_value, '[[' || CAST(CAST(d._id AS DOUBLE) AS VARCHAR) || '],[]]') AS htc_value, r._id IS NOT NULL AS updated
+FROM docs d LEFT JOIN last_replies r ON r._id = d._id WHERE d._id IS NOT NULL""",
+    "features_insert_new": f"""WITH {DOCS}, {LAST_REPLIES}
+SELECT _id, '[["old"],[]]' AS htc_key, '[[' || CAST(CAST(_id AS DOUBLE) AS VARCHAR) || '],[]]' AS htc_value
+FROM last_replies WHERE CAST(_id AS BIGINT) % 2 = 0
 UNION ALL
-SELECT d._id, '[[],[]]' AS htc_key, '[[],[]]' AS htc_value FROM docs d
-WHERE d._id IS NOT NULL AND d.ctype <> 'video' AND d._id NOT IN (SELECT _id FROM replies)""",
+SELECT d._id, r.htc_key, r.htc_value FROM docs d JOIN last_replies r ON r._id = d._id
+WHERE d.ctype <> 'video' AND d.doc_id % 2 = 1""",
+    "doc_score": f"""WITH {DOCS}, {SCORED}
+SELECT _id, ctype, CASE WHEN status = 'ok' THEN '[["chars"],["' || lang || '"]]' ELSE '[[],[]]' END AS htc_key,
+       CASE WHEN status = 'ok' THEN '[[' || CAST(CAST(length(text) AS DOUBLE) AS VARCHAR) || '],[' ||
+            CAST(length(text) / 2 AS VARCHAR) || ']]' ELSE '[[],[]]' END AS htc_value, status FROM scored""",
+    "doc_score_counts": f"""WITH {DOCS}, {SCORED} SELECT status, count(*) AS n FROM scored GROUP BY status""",
+    "events_tsv_rejects": f"""{NORM_ALL}
+SELECT reason, count(*) AS n FROM (
+  SELECT CASE WHEN event NOT IN ('vw','clk','ac','shr','lk','dlk') THEN 'no_weight'
+              WHEN strptime(date, '%Y-%m-%d %H:%M:%S') < TIMESTAMP '2024-01-10 12:00:00' THEN 'too_early' END AS reason
+  FROM norm) WHERE reason IS NOT NULL GROUP BY reason""",
     "fn_string": f"""{NORM_ALL}
 SELECT userid, docid, substr(date, 1, 10) AS day, substr(date, 12, 2) AS hour,
        split_part(substr(date, 1, 10), '-', 1) AS year, strpos(docid, '_') > 0 AS is_compound,

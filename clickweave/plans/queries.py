@@ -16,7 +16,7 @@ from clickweave.functions import strings as S
 from clickweave.functions.time import epoch_seconds, parse_wall_clock
 from clickweave.operators import (
     active_user_clicks, active_users, app_log_extract, click_events, click_extract, click_extract_sorted,
-    doc_enrich, doc_filter, doc_records, insert_new, negative_pool, normalise_events, parse_raw,
+    doc_enrich, doc_filter, doc_records, insert_new, negative_pool, scored_features, status_counts, normalise_events, parse_raw,
     platform_classify, qualified_doc_labels, qualified_users, quarantine_events, render_tsv,
     shuffle_rows, train_rows, update_matched, user_history, user_stats, view_events,
 )
@@ -25,7 +25,7 @@ from clickweave.plans import adapter as A
 from clickweave.plans.materialize import materialized
 from clickweave.sinks import compact_files, write_text, write_tsv
 from clickweave.sources import hour_range_scan, read_text_lines, scan_doc_days, scan_events_tsv, union_logs
-from clickweave.sources.events_tsv import prepare_training_events
+from clickweave.sources.events_tsv import prepare_training_events, tsv_reject_reason
 
 # parameters of the registered runs (driver data: UTC wall clock, January 2024)
 TZ = "UTC"
@@ -309,22 +309,79 @@ def q_doc_enrich(spark, sf):
     return e.select("_id", "ctype", *_json_features(e), "status")
 
 
+def _old_features(store: DataFrame) -> DataFrame:
+    """Existing features that differ from every reply: [["old"],[]] and [[id],[]]."""
+    return store.withColumns({
+        "htc_key": F.array(F.array(F.lit("old")), F.array().cast("array<string>")),
+        "htc_value": F.array(F.array(F.col("_id").cast("double")), F.array().cast("array<double>")),
+    })
+
+
+def _repeated_replies(spark, sf) -> DataFrame:
+    """Scorer replies, a third of them followed by a second version (values + 10)."""
+    first = A.label_replies(spark, sf)
+    again = first.filter(F.col("_id").cast("long") % 3 == 0).withColumn(
+        "htc_value", F.transform("htc_value", lambda v: F.transform(v, lambda x: x + 10)))
+    return first.withColumn("version", F.lit(1)).unionByName(again.withColumn("version", F.lit(2)))
+
+
 def q_features_update_matched(spark, sf):
-    target = _docs(spark, sf).filter(F.col("_id").isNotNull()).select(
-        "_id", "ctype", F.lit(None).cast("array<array<string>>").alias("htc_key"),
-        F.lit(None).cast("array<array<double>>").alias("htc_value"),
-    )
-    u = update_matched(target, A.label_replies(spark, sf))
+    target = _old_features(_docs(spark, sf).filter(F.col("_id").isNotNull()).select("_id", "ctype"))
+    u = update_matched(target, _repeated_replies(spark, sf), order=("version",))
     return u.select("_id", "ctype", *_json_features(u), "updated")
 
 
 def q_features_insert_new(spark, sf):
-    store = A.label_replies(spark, sf)
-    new = doc_enrich(doc_filter(_docs(spark, sf)), A.label_replies(spark, sf))
-    out = insert_new(store, new.select("_id", "htc_key", "htc_value"))
+    """The store holds old features of the even ids; every scored document is offered, some twice."""
+    store = _old_features(A.label_replies(spark, sf).filter(F.col("_id").cast("long") % 2 == 0).select("_id"))
+    replies = _repeated_replies(spark, sf)
+    new = None
+    for v in (1, 2):
+        scored = scored_features(doc_enrich(doc_filter(_docs(spark, sf)), replies.filter(F.col("version") == v)))
+        scored = scored.withColumn("version", F.lit(v))
+        new = scored if new is None else new.unionByName(scored)
+    out = insert_new(store, new, order=("version",))
     return out.select("_id", *_json_features(out))
 
 
+def make_length_scorer():
+    """A local scorer: the lengths of a document's text; nothing for every
+    fourth id, and an error whenever a batch holds an id that ends in 77."""
+    import json
+
+    def score(lines):
+        out = []
+        for line in lines:
+            d = json.loads(line)
+            if d["_id"].endswith("77"):
+                raise ValueError("cannot score")
+            n = len(d.get("text") or "")
+            out.append(None if int(d["_id"]) % 4 == 1 else {"htc_key": [["chars"], [d["lang"]]], "htc_value": [[float(n)], [n / 2]]})
+        return out
+
+    return score
+
+
+def _scored(spark, sf):
+    return doc_enrich(doc_filter(_docs(spark, sf)), make_scorer=make_length_scorer, on_error="line")
+
+
+def q_doc_score(spark, sf):
+    e = _scored(spark, sf)
+    return e.select("_id", "ctype", *_json_features(e), "status")
+
+
+def q_doc_score_counts(spark, sf):
+    return status_counts(_scored(spark, sf))
+
+
+def q_events_tsv_rejects(spark, sf):
+    """Why lines of the whole normalised log are no training events after the late floor."""
+    lines = spark.read.text(_events_tsv_dir(spark, sf))
+    reason = tsv_reject_reason(tz=TZ, floor=LATE_FLOOR)
+    return lines.select(reason.alias("reason")).filter("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- scalar functions ------------------------------------------------------------
 
 def q_fn_string(spark, sf):
@@ -409,6 +466,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "doc_enrich": q_doc_enrich,
     "features_update_matched": q_features_update_matched,
     "features_insert_new": q_features_insert_new,
+    "doc_score": q_doc_score,
+    "doc_score_counts": q_doc_score_counts,
+    "events_tsv_rejects": q_events_tsv_rejects,
     "fn_string": q_fn_string,
     "fn_time": q_fn_time,
     "fn_cast": q_fn_cast,

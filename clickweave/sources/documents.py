@@ -40,7 +40,14 @@ def _common_parent(paths: Sequence[str]) -> str:
 
 
 def scan_doc_days(
-    spark: SparkSession, roots: Sequence[str], start: str, end: str, day_dir: str = "{day}", depth: int = 2
+    spark: SparkSession,
+    roots: Sequence[str],
+    start: str,
+    end: str,
+    day_dir: str = "{day}",
+    depth: int = 2,
+    allow_empty: bool = True,
 ) -> DataFrame:
     """Document JSON lines of every day in ``start..end`` (order of days is irrelevant)."""
-    return read_text_lines(spark, doc_day_glob(roots, start, end, day_dir, depth), gz_only=False)
+    glob = doc_day_glob(roots, start, end, day_dir, depth)
+    return read_text_lines(spark, glob, gz_only=False, allow_empty=allow_empty)

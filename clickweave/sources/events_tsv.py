@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.codes import DATE_TIME_FORMAT, DEFAULT_TIME_ZONE, EVENT_TIME_FLOOR, EVENT_WEIGHTS
@@ -53,6 +53,29 @@ def parse_events_tsv(lines: DataFrame, min_fields: int = 5) -> DataFrame:
     )
 
 
+#: Why a line is no training event, in the order in which the rules apply.
+TSV_REASONS = ("too_short", "no_weight", "bad_date", "too_early")
+
+
+def tsv_reject_reason(
+    tz: str = DEFAULT_TIME_ZONE,
+    floor: str | None = EVENT_TIME_FLOOR,
+    fmt: str = DATE_TIME_FORMAT,
+    weights: Mapping[str, int] = EVENT_WEIGHTS,
+    min_fields: int = 5,
+) -> Column:
+    """The first of :data:`TSV_REASONS` that keeps the line ``value`` out, else NULL."""
+    f = java_split("value", "\t")
+    t = epoch_seconds(f[3], tz, fmt)
+    early = t < 0 if floor is None else (t < 0) | (t < wall_clock_literal_epoch(floor, tz, fmt))
+    return (
+        F.when(F.size(f) < min_fields, F.lit("too_short"))
+        .when(~F.coalesce(f[2].isin(list(weights)), F.lit(False)), F.lit("no_weight"))
+        .when(t.isNull(), F.lit("bad_date"))
+        .when(early, F.lit("too_early"))
+    )
+
+
 def scan_events_tsv(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -66,12 +66,17 @@ def read_text_lines(
     """``value`` string per text line of every file matched by ``paths`` (globs ok).
 
     ``gz_only`` keeps only ``*.gz`` files (decoded transparently by extension).
-    ``allow_empty`` turns a glob with no match into an empty result.
+    ``allow_empty`` turns a glob with no match into an empty result; without it
+    every given path must match something, or :class:`FileNotFoundError` is
+    raised before anything is read (the jobs do so, lest a mistyped path
+    overwrite good output with nothing).
     """
     reader = spark.read
     if gz_only:
         reader = reader.option("pathGlobFilter", "*.gz")
     plist = [paths] if isinstance(paths, str) else list(paths)
+    if not allow_empty and (missing := [p for p in plist if not _matches(spark, p)]):
+        raise FileNotFoundError(f"no input matches {', '.join(missing)}")
     if allow_empty and len(plist) > 1:
         plist = [p for p in plist if _matches(spark, p)]
         if not plist:
@@ -128,9 +133,32 @@ def hour_range_scan(
     day_dir: str = "{day}",
     hour_dir: str = "{hour}",
     gz_only: bool = True,
+    allow_empty: bool = True,
 ) -> DataFrame:
-    """Raw lines of every file in hours ``start..end``; missing hours are skipped."""
-    return read_text_lines(spark, hour_range_glob(base, start, end, day_dir, hour_dir), gz_only=gz_only)
+    """Raw lines of every file in hours ``start..end``; missing hours are skipped (see :func:`missing_hours`)."""
+    return read_text_lines(
+        spark, hour_range_glob(base, start, end, day_dir, hour_dir), gz_only=gz_only, allow_empty=allow_empty
+    )
+
+
+def missing_hours(
+    spark: SparkSession, base: str, start: str, end: str, day_dir: str = "{day}", hour_dir: str = "{hour}"
+) -> list[str]:
+    """The hours (``yyyy-MM-dd-HH``) of ``start..end`` without a directory that holds files.
+
+    One listing per day that the range touches (driver-side, names only).
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    by_day: dict[str, list[str]] = {}
+    for h in hours_in_range(start, end):
+        by_day.setdefault(h.strftime("%Y-%m-%d"), []).append(h.strftime("%H"))
+    out = []
+    for day, hours in by_day.items():
+        path = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{day_dir.format(day=day)}/*/*")
+        found = path.getFileSystem(conf).globStatus(path) or []
+        held = {f.getPath().getParent().getName() for f in found}
+        out += [f"{day}-{h}" for h in hours if hour_dir.format(hour=h).split("/")[-1] not in held]
+    return out
 
 
 def union_logs(spark: SparkSession, path_sets: Iterable[str | Sequence[str]], gz_only: bool = True) -> DataFrame:

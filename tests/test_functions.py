@@ -66,3 +66,16 @@ def test_java_split_property(spark):
     got = df.select("s", java_split("s", "\t").alias("t"), java_split("s", "-").alias("d")).collect()
     for r in got:
         assert list(r.t) == _java_split(r.s, "\t") and list(r.d) == _java_split(r.s, "-"), r.s
+
+
+@pytest.mark.parametrize("session_tz", ["America/New_York", "Europe/Paris", "UTC"])
+def test_patterns_at_a_clock_change_of_the_session_zone(spark, session_tz):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session_tz)
+    try:
+        # these hours do not exist in New York and in Paris
+        df = spark.createDataFrame([("2024-03-10-02",), ("2024-03-31-02",), ("x",)], "s string")
+        got = [r.e for r in df.select(epoch_seconds("s", "Asia/Shanghai", "yyyy-MM-dd-HH").alias("e")).collect()]
+        assert got == [1710007200, 1711821600, None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

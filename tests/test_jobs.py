@@ -44,7 +44,8 @@ def test_log_jobs_round_trip(spark, tmp_dir):
     history_job(spark, f"{base}/*/*/*", f"{tmp_dir}/hist", min_clicks=2, num_files=1)
     assert _read(spark, f"{tmp_dir}/hist") == ["u1\td3 2024-01-02 00:00:00 d1 2024-01-01 23:00:00"]
 
-    assert extract_job(spark, base, "2024-01-01-23", "2024-01-02-04", f"{tmp_dir}/viv", num_files=3) == {"lines": 1}
+    assert extract_job(spark, base, "2024-01-01-23", "2024-01-02-04", f"{tmp_dir}/viv", num_files=3) == {
+        "lines": 1, "bad_lines": 1, "missing_hours": [f"2024-01-02-0{h}" for h in range(1, 5)]}
     got = [json.loads(v)["userid"] for v in _read(spark, f"{tmp_dir}/viv")]
     assert got == ["u2"]
 
@@ -60,8 +61,12 @@ def test_training_job(spark, tmp_dir):
     os.makedirs(f"{tmp_dir}/tsv")
     with open(f"{tmp_dir}/tsv/part-0", "w") as f:
         f.write("\n".join(lines) + "\n")
-    training_job(spark, f"{tmp_dir}/tsv", f"{tmp_dir}/train", as_of="2024-01-22 00:00:00", tz="UTC", num_files=4,
+    with open(f"{tmp_dir}/tsv/part-1", "w") as f:
+        f.write("u\td1\tclk\nu\td1\tzzz\t2024-01-01 00:00:00\tx\nu\td1\tclk\t2024-1-1 9:00:00\tx\n"
+                "u\td1\tclk\t2010-01-01 00:00:00\tx\n")
+    counts = training_job(spark, f"{tmp_dir}/tsv", f"{tmp_dir}/train", as_of="2024-01-22 00:00:00", tz="UTC", num_files=4,
                  min_strong=5)
+    assert counts == {"lines": 64, "too_short": 1, "no_weight": 1, "bad_date": 1, "too_early": 1}
     rows = _read(spark, f"{tmp_dir}/train")
     assert rows and all(r.startswith("u\t") for r in rows)
     assert len([f for f in os.listdir(f"{tmp_dir}/train") if f.endswith(".gz")]) == 4
@@ -94,3 +99,54 @@ def test_balanced_outputs_without_fixed_count(spark, tmp_dir):
     write_text(df, f"{tmp_dir}/bal", balance=True)
     assert spark.read.text(f"{tmp_dir}/bal").count() == 5000
     assert shuffle_rows(df, None, seed=3).count() == 5000
+
+
+def _store(spark):
+    return spark.createDataFrame(
+        [("1", [["old"], []], [[7.0], []]), ("9", [["old"], []], [[8.0], []])],
+        "_id string, htc_key array<array<string>>, htc_value array<array<double>>")
+
+
+def test_failing_scorer_leaves_the_store_unchanged(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "docs")
+    _gz(f"{root}/2017-06-01/00/a.gz", [{"_id": "1", "body": "x"}, {"_id": "3"}, {"body": "no id"}, "{bad"])
+
+    def scorer(batch):
+        raise RuntimeError("service down")
+
+    before = sorted(map(tuple, _store(spark).collect()))
+    for mode in ("update", "insert"):
+        out = enrich_job(spark, [root], "2017-06-01", "2017-06-01", scorer, _store(spark), f"{tmp_dir}/{mode}", mode=mode,
+                         rejects=f"{tmp_dir}/{mode}-rejects", on_error="line")
+        assert {r.status for r in out.collect()} == {"error"}
+        snap = spark.read.parquet(f"{tmp_dir}/{mode}").select("_id", "htc_key", "htc_value")
+        assert sorted(map(tuple, snap.collect())) == before
+        assert [x.split("\t")[0] for x in _read(spark, f"{tmp_dir}/{mode}-rejects")] == ["bad_json", "missing_id"]
+
+
+def test_repeated_ids_change_one_row(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "docs")
+    _gz(f"{root}/2017-06-01/00/a.gz", [{"_id": "1"}, {"_id": "3"}])
+    _gz(f"{root}/2017-06-02/00/a.gz", [{"_id": "1"}, {"_id": "3"}])
+
+    def make():
+        return lambda batch: [{"htc_key": [["new"], []], "htc_value": [[1.0], []]} for _ in batch]
+
+    for mode, ids in (("update", ["1", "9"]), ("insert", ["1", "3", "9"])):
+        enrich_job(spark, [root], "2017-06-01", "2017-06-02", None, _store(spark), f"{tmp_dir}/{mode}", mode=mode, make_scorer=make)
+        assert sorted(r._id for r in spark.read.parquet(f"{tmp_dir}/{mode}").collect()) == ids
+
+
+def test_mistyped_path_raises_and_keeps_the_output(spark, tmp_dir):
+    import pytest
+
+    base = os.path.join(tmp_dir, "raw")
+    _gz(f"{base}/2024-01-01/23/a.gz", [_click("u1", "d1", 1, 23)])
+    normalise_job(spark, f"{base}/*/*/*", f"{tmp_dir}/norm", with_quarantine=False)
+    kept = _read(spark, f"{tmp_dir}/norm")
+    for bad in (f"{base}x/*/*/*", [f"{base}/*/*/*", f"{base}x/*/*/*"]):
+        with pytest.raises(FileNotFoundError):
+            normalise_job(spark, bad, f"{tmp_dir}/norm", with_quarantine=False)
+    with pytest.raises(FileNotFoundError):
+        extract_job(spark, base, "2025-01-01-00", "2025-01-01-05", f"{tmp_dir}/norm")
+    assert _read(spark, f"{tmp_dir}/norm") == kept and len(kept) == 1
