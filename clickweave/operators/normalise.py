@@ -17,18 +17,26 @@ out of the data and returned by :func:`quarantine_events` with a reason:
   missing_docid     a click without ``docid``
   bad_dwell         a ``clickDoc`` click without ``details.dwell`` or with a
                     dwell that is not a number
+  bad_view          a ``views`` element that is no object: the elements before
+                    it are kept, it and those behind it are not
   odd_views         (every_second only) a ``views`` list of odd length
+
+Only the fields that a record uses are judged: with ``views`` present, its
+``click`` is not looked at. ``views`` elements and ``click`` are therefore read
+as JSON text first and parsed where they are used.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickweave.functions.codes import CLICK_EVENT_CODES, UNKNOWN_EVENT_CODE, VIEW_EVENT_CODE
-from clickweave.operators.parse import parse_raw, platform_of
+from clickweave.functions.columns import evaluate_once
+from clickweave.operators.parse import not_an_object, platform_of
+from clickweave.sources.schemas import CLICK, CORRUPT, VIEW_ITEM
 
-NORMALISE_FIELDS = ("userid", "appid", "views", "click")
 EVENT_COLUMNS = ("userid", "docid", "event", "date", "platform")
 
 
@@ -44,24 +52,61 @@ def _dwell_value() -> Column:
 
 def _reason(every_second: bool) -> Column:
     has_views = F.col("views").isNotNull()
-    click_only = ~has_views & F.col("click").isNotNull()
+    click_only = ~has_views & F.col("_has_click")
     r = (
         F.when(F.col("_not_object"), F.lit("bad_json"))
-        .when(F.col("_bad"), F.lit("bad_shape"))
+        .when(F.col("_bad") | (click_only & F.col("_bad_click")), F.lit("bad_shape"))
         .when(F.col("userid").isNull(), F.lit("missing_userid"))
         .when(F.col("appid").isNull(), F.lit("missing_appid"))
         .when(click_only & F.col("click.docid").isNull(), F.lit("missing_docid"))
         .when(click_only & (F.col("click.event") == "clickDoc") & _dwell_value().isNull(), F.lit("bad_dwell"))
     )
+    r = r.when(has_views & (F.size("views") < F.col("_n_views")), F.lit("bad_view"))
     if every_second:
-        r = r.when(has_views & (F.size("views") % 2 == 1), F.lit("odd_views"))
+        r = r.when(has_views & (F.col("_n_views") % 2 == 1), F.lit("odd_views"))
     return r
 
 
+#: Reasons of records that still yield rows.
+PARTIAL_REASONS = ("bad_view", "odd_views")
+
+
+def _with_corrupt(fields: T.StructType) -> T.StructType:
+    return T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def _parse_events(lines: DataFrame) -> DataFrame:
+    """value, userid, appid, views, click and the flags that :func:`_reason` reads.
+
+    ``views`` holds the elements before the first one that is no object.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    outer = "userid string, appid string, views array<string>, click string, " + f"{CORRUPT} string"
+    first = lines.select("value", evaluate_once(F.from_json("value", outer, options)).alias("r"))
+    corrupt = F.col(f"r.{CORRUPT}")
+    bad = F.col("r").isNull() | corrupt.isNotNull()
+    item = _with_corrupt(VIEW_ITEM)
+    parsed = F.transform("r.views", lambda v: F.from_json(v, item, options))
+    # the click of a record with views is not parsed at all
+    click = F.when(F.col("r.views").isNull(), F.from_json("r.click", _with_corrupt(CLICK), options))
+    inner = first.select(
+        "value", "r.userid", "r.appid", bad.alias("_bad"), not_an_object(F.col("r"), corrupt).alias("_not_object"),
+        F.col("r.click").isNotNull().alias("_has_click"), F.size("r.views").alias("_n_views"),
+        evaluate_once(F.struct(parsed.alias("views"), click.alias("click"))).alias("p"),
+    )
+    wrong = F.transform("p.views", lambda v: v.isNull() | v[CORRUPT].isNotNull())
+    at = F.array_position(wrong, F.lit(True))
+    views = F.when(at > 0, F.slice("p.views", F.lit(1), (at - 1).cast("int"))).otherwise(F.col("p.views"))
+    bad_click = F.col("p.click").isNull() | F.col(f"p.click.{CORRUPT}").isNotNull()
+    return inner.select(
+        "value", "userid", "appid", views.alias("views"), "p.click", "_bad", "_not_object", "_has_click", "_n_views",
+        bad_click.alias("_bad_click"),
+    )
+
+
 def parse_with_reason(lines: DataFrame, every_second: bool = False) -> DataFrame:
     """Parsed records with their line and ``_reason`` (NULL = good record)."""
-    p = parse_raw(lines, *NORMALISE_FIELDS, keep_line=True)
-    return p.withColumn("_reason", _reason(every_second))
+    return _parse_events(lines).withColumn("_reason", _reason(every_second))
 
 
 _with_reason = parse_with_reason
@@ -126,7 +171,7 @@ def events_from_parsed(
 ) -> DataFrame:
     """:func:`normalise_events` on the output of :func:`parse_with_reason`."""
     reason = F.col("_reason")
-    p = parsed.filter(reason.isNull() | (reason == "odd_views"))
+    p = parsed.filter(reason.isNull() | reason.isin(*PARTIAL_REASONS))
     if kinds == ("views",):
         p = p.filter(F.col("views").isNotNull())
     elif kinds == ("click",):
@@ -152,8 +197,8 @@ def click_events(
 def quarantine_events(lines: DataFrame, every_second: bool = False) -> DataFrame:
     """(value, reason) for every record kept out of :func:`normalise_events`.
 
-    With ``every_second`` an odd-length ``views`` record is reported here AND
-    still yields its rows, as in the reference.
+    Records with a :data:`PARTIAL_REASONS` reason (a bad ``views`` element; with
+    ``every_second`` an odd-length list) are reported here AND still yield rows.
     """
     return quarantine_from_parsed(_with_reason(lines, every_second))
 
@@ -195,7 +240,7 @@ def normalise_with_quarantine(
     reason = F.col("_reason")
     out = (
         F.when(reason.isNull(), events)
-        .when(reason == "odd_views", F.concat(events, reject))
+        .when(reason.isin(*PARTIAL_REASONS), F.concat(events, reject))
         .otherwise(reject)
     )
     return p.select(F.explode(out).alias("o")).select("o.kind", "o.value")

@@ -29,16 +29,21 @@ def parse_raw(lines: DataFrame, *fields: str, keep_line: bool = False) -> DataFr
     cols = [F.col(f"{PARSED}.{n}").alias(n) for n in (fields or schema.fieldNames()[:-1])]
     corrupt = F.col(f"{PARSED}.{CORRUPT}")
     bad = F.col(PARSED).isNull() | corrupt.isNotNull()
-    not_object = F.col(PARSED).isNull() | F.when(
-        corrupt.isNotNull(),
-        F.try_parse_json("value").isNull() | ~F.ltrim("value").startswith("{"),
-    ).otherwise(F.lit(False))
+    not_object = not_an_object(F.col(PARSED), corrupt)
     out = lines.select("value", parse_once(parsed).alias(PARSED))
     return out.select(
         *(["value"] if keep_line else []), *cols, bad.alias("_bad"), not_object.alias("_not_object")
     )
 
 
+def not_an_object(parsed: Column, corrupt: Column) -> Column:
+    """Whether the line ``value`` is no JSON object at all; a second parse, only for lines flagged by the first."""
+    return parsed.isNull() | F.when(
+        corrupt.isNotNull(),
+        F.try_parse_json("value").isNull() | ~F.ltrim("value").startswith("{"),
+    ).otherwise(F.lit(False))
+
+
 def parse_once(parsed: Column) -> Column:
     """Evaluate ``parsed`` exactly once per row.
 

@@ -120,6 +120,30 @@ def raw_record(events: DataFrame) -> DataFrame:
     )
 
 
+#: Records with mistyped or missing fields, by event_id % 12; N is the event's number.
+ODD_RECORDS = [
+    '{"n":"N","userid":"u","appid":"oppo","views":[{"docid":"aN","date":"t"},{"docid":"bN","date":"t"}],"click":"x"}',
+    '{"n":"N","userid":"u","appid":"oppo","views":[{"docid":"aN","date":"t"},"oops",{"docid":"cN","date":"t"}]}',
+    '{"n":"N","userid":"u","appid":"oppo","views":{"docid":"aN"}}',
+    '{"n":"N","userid":"u","appid":"oppo","click":"x"}',
+    '{"n":"N","userid":"u","appid":"oppo","click":{"event":"like","docid":"dN","date":"t","details":"none"}}',
+    '{"n":"N","appid":"oppo","views":[]}',
+    '{"n":"N","userid":"u","views":[]}',
+    '{"n":"N","userid":"u","appid":"oppo","click":{"event":"like","date":"t"}}',
+    '{"n":"N","userid":"u","appid":"oppo","click":{"event":"clickDoc","docid":"dN","date":"t","details":{"dwell":"n/a"}}}',
+    '{"n":"N","userid":"u","appid":"oppo","views":[{"docid":"aN","date":"t"},{"docid":"bN","date":"t"},{"docid":"cN","date":"t"}]}',
+    '[{"n":"N","userid":"u"}]',
+    '{"n":"N","userid":"u","appid":"oppo","click":{"event":"like","docid":"dN","date":"t"}}',
+]
+
+
+def odd_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: one record of :data:`ODD_RECORDS` per event."""
+    ev = load(spark, sf_dir, "events")
+    record = _pick(ODD_RECORDS, F.col("event_id") % len(ODD_RECORDS))
+    return ev.select(F.replace(record, F.lit("N"), F.col("event_id").cast("string")).alias("value"))
+
+
 def raw_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw log as a ``value`` DataFrame, derived from ``events``."""
     return raw_record(load(spark, sf_dir, "events")).select("value")

@@ -3,11 +3,11 @@
 Scan queries need real files (gzip hour directories, document day
 directories, TSV outputs). They are written by Spark from the driver tables
 under ``spark.checkpoint.dir`` and reused while the input files are unchanged.
+All bookkeeping goes through Hadoop's file systems, so any URI form works.
 """
 
 from __future__ import annotations
 
-import glob
 import hashlib
 import os
 import uuid
@@ -29,16 +29,24 @@ def _code_digest() -> str:
     return h.hexdigest()
 
 
-def _stamp(sf_dir: str, tables: tuple[str, ...]) -> str:
-    """Key of a cached build: input path, input files, and the package's code
-    (builds run adapters and operators, so any code change rebuilds)."""
-    h = hashlib.sha1(os.path.abspath(sf_dir).encode())
-    h.update(_code_digest().encode())
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _stamp(spark: SparkSession, sf_dir: str, tables: tuple[str, ...]) -> str:
+    """Key of a cached build: input path, the input files' names, sizes and
+    times, and the package's code (builds run adapters and operators, so any
+    code change rebuilds)."""
+    h = hashlib.sha1(_code_digest().encode())
     for t in tables:
-        p = os.path.join(sf_dir, f"{t}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{int(st.st_mtime)}".encode())
+        p, fs = _fs(spark, f"{sf_dir.rstrip('/')}/{t}.parquet")
+        h.update(fs.makeQualified(p).toString().encode())
+        if fs.exists(p):
+            status = fs.getFileStatus(p)
+            files = fs.listStatus(p) if status.isDirectory() else [status]
+            seen = sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files)
+            h.update(repr(seen).encode())
     return h.hexdigest()[:16]
 
 
@@ -51,16 +59,13 @@ def materialized(
     marker; readers take the first published build. Concurrent runs therefore
     never write into the same directory.
     """
-    base = work_path(spark, f"{name}-{_stamp(sf_dir, tables)}")
-    if "://" in base:  # remote storage: no local cache bookkeeping, build fresh
-        path = f"{base}/{uuid.uuid4().hex[:12]}"
-        write(path)
-        return path
-    ready = sorted(glob.glob(os.path.join(base, "READY-*")))
+    base = work_path(spark, f"{name}-{_stamp(spark, sf_dir, tables)}")
+    markers, fs = _fs(spark, f"{base}/READY-*")
+    ready = sorted(f.getPath().getName() for f in fs.globStatus(markers) or [])
     if ready:
-        return os.path.join(base, os.path.basename(ready[0])[len("READY-"):])
+        return f"{base}/{ready[0][len('READY-'):]}"
     build = uuid.uuid4().hex[:12]
-    path = os.path.join(base, build)
-    write(path)
-    open(os.path.join(base, f"READY-{build}"), "w").close()
-    return path
+    write(f"{base}/{build}")
+    marker, fs = _fs(spark, f"{base}/READY-{build}")
+    fs.create(marker).close()
+    return f"{base}/{build}"

@@ -287,6 +287,17 @@ SELECT userid, CASE WHEN has_details THEN dwell END AS dwell,
 FROM ev WHERE NOT bad AND has_click""",
 }
 
+ORACLES["quarantine_rows"] = """
+SELECT event_id, reason FROM (
+  SELECT event_id, (['', 'bad_view', 'bad_shape', 'bad_shape', 'bad_shape', 'missing_userid', 'missing_appid', 'missing_docid',
+                     'bad_dwell', 'odd_views', 'bad_json', ''])[event_id % 12 + 1] AS reason FROM events) WHERE reason <> ''"""
+ORACLES["odd_events"] = """
+WITH docs AS (
+  SELECT event_id, event_id % 12 AS k, unnest(CASE event_id % 12 WHEN 0 THEN ['a', 'b'] WHEN 1 THEN ['a'] WHEN 9 THEN ['a', 'b', 'c']
+    WHEN 11 THEN ['d'] ELSE [] END) AS d FROM events)
+SELECT 'u' AS userid, d || event_id AS docid, CASE WHEN k = 11 THEN 'lk' ELSE 'vw' END AS event, 't' AS date, 'app_oppo' AS platform
+FROM docs"""
+
 # tight thresholds, under which every rule rejects some users and both limits cut rows
 ORACLES["user_rules"] = f"""{NORM_ALL}, {WEIGHTED}, {USTATS}
 SELECT *, n_strong >= 12 AS enough_strong, t_max >= {ASOF} - 2 * 86400 AS recent, t_min <= {ASOF} - 28 * 86400 AS settled,

@@ -35,6 +35,8 @@ HISTORY_K = 20
 #: Thresholds under which each training rule rejects some users, and both limits cut.
 TIGHT = {"min_strong": 12, "recent_days": 2, "settle_days": 28, "min_span_days": 27, "max_events": 80}
 TIGHT_CAP, TIGHT_ROWS = 80, 3
+#: Lines at most in a gzip file of the built trees (a gzip file is one task).
+LINES_PER_FILE = 500_000
 LATE_FLOOR = "2024-01-10 12:00:00"
 RANGE_A = ("2024-01-03-22", "2024-01-06-01")
 UNION_A = ("2024-01-02-00", "2024-01-04-23")
@@ -44,7 +46,7 @@ HIVE_DAY, HIVE_HOUR = "day={day}", "hour={hour}"
 
 
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
-    """The whole raw log as large gzip files (one per core), like production's
+    """The whole raw log as gzip files of bounded size, like production's
     ~200 MB files; hour-range queries read the day/hour tree instead."""
     return read_text_lines(spark, f"{_raw_flat(spark, sf)}/*", gz_only=True)
 
@@ -52,7 +54,7 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
 def _raw_flat(spark, sf):
     def write(path):
         rec = A.raw_record(A.load(spark, sf, "events")).select("value")
-        write_text(rec, path, compression="gzip", num_files=spark.sparkContext.defaultParallelism)
+        write_text(rec, path, compression="gzip", max_records_per_file=LINES_PER_FILE)
 
     return materialized(spark, sf, "raw-log-flat", ("events",), write)
 
@@ -120,6 +122,17 @@ def q_quarantine_events(spark, sf):
     return quarantine_events(_lines(spark, sf)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_quarantine_rows(spark, sf):
+    """Every rejected record of a log with mistyped fields: user, number and reason, row by row."""
+    q = quarantine_events(A.odd_records(spark, sf), every_second=True)
+    return q.select(F.regexp_extract("value", '"n":"([0-9]+)"', 1).cast("long").alias("event_id"), "reason")
+
+
+def q_odd_events(spark, sf):
+    """The rows that the same log still yields."""
+    return normalise_events(A.odd_records(spark, sf))
+
+
 def q_click_extract(spark, sf):
     return click_extract(_lines(spark, sf))
 
@@ -215,8 +228,9 @@ def q_train_rows_shuffled(spark, sf):
 
 def _raw_tree(spark, sf):
     def write(path):
-        rec = A.raw_record(A.load(spark, sf, "events")).repartition("day", "hour")
-        write_text(rec, path, compression="gzip", partition_by=("day", "hour"))
+        # rows of an hour may come from many tasks: no hour is written by one task alone
+        rec = A.raw_record(A.load(spark, sf, "events")).hint("rebalance", "day", "hour")
+        write_text(rec, path, compression="gzip", partition_by=("day", "hour"), max_records_per_file=LINES_PER_FILE)
 
     return materialized(spark, sf, "raw-log-v2", ("events",), write)
 
@@ -242,10 +256,10 @@ def q_union_logs(spark, sf):
 def _doc_tree(spark, sf):
     def write(path):
         d = A.load(spark, sf, "documents")
-        rec = A.doc_record(d.filter(F.col("lang") == "en")).repartition("day")
-        write_text(rec, f"{path}/documents_info", compression="gzip", partition_by=("day",))
-        rec = A.doc_record(d.filter(~(F.col("lang") == "en") | F.col("lang").isNull())).repartition("day")
-        write_text(rec, f"{path}/vertical_documents", compression="gzip", partition_by=("day",))
+        rec = A.doc_record(d.filter(F.col("lang") == "en")).hint("rebalance", "day")
+        write_text(rec, f"{path}/documents_info", compression="gzip", partition_by=("day",), max_records_per_file=LINES_PER_FILE)
+        rec = A.doc_record(d.filter(~(F.col("lang") == "en") | F.col("lang").isNull())).hint("rebalance", "day")
+        write_text(rec, f"{path}/vertical_documents", compression="gzip", partition_by=("day",), max_records_per_file=LINES_PER_FILE)
 
     return materialized(spark, sf, "doc-days-v2", ("documents",), write)
 
@@ -284,10 +298,10 @@ def q_compact_files(spark, sf):
 # --- documents -----------------------------------------------------------------
 
 def _doc_lines(spark, sf):
-    """All document records as large gzip files (one per core); day-range scans read the day tree."""
+    """All document records as gzip files of bounded size; day-range scans read the day tree."""
     def write(path):
         rec = A.doc_record(A.load(spark, sf, "documents")).select("value")
-        write_text(rec, path, compression="gzip", num_files=spark.sparkContext.defaultParallelism)
+        write_text(rec, path, compression="gzip", max_records_per_file=LINES_PER_FILE)
 
     return read_text_lines(spark, f"{materialized(spark, sf, 'docs-flat', ('documents',), write)}/*", gz_only=True)
 
@@ -438,6 +452,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "click_events_min_dwell": q_click_events_min_dwell,
     "normalise_events": q_normalise_events,
     "quarantine_events": q_quarantine_events,
+    "quarantine_rows": q_quarantine_rows,
+    "odd_events": q_odd_events,
     "click_extract": q_click_extract,
     "click_extract_sorted": q_click_extract_sorted,
     "app_log_extract": q_app_log_extract,

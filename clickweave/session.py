@@ -8,7 +8,6 @@ as the cluster names it; a private folder is chosen only when that is unset
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -66,7 +65,15 @@ def work_path(spark: SparkSession, name: str, unique: bool = False) -> str:
     """
     base = shared_dir(spark)
     leaf = f"{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}" if unique else name
-    return os.path.join(base, "clickweave", leaf) if "://" not in base else f"{base}/clickweave/{leaf}"
+    return f"{base}/clickweave/{leaf}"
+
+
+def remove_stage_tables(spark: SparkSession) -> None:
+    """Remove the stage tables of this application. Call it when no DataFrame
+    that reads one is used any more; cached input trees stay."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/clickweave/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -15,11 +15,10 @@ from pyspark.sql.streaming import StreamingQuery
 from clickweave.operators.normalise import (
     events_from_parsed, normalise_events, parse_with_reason, quarantine_from_parsed,
 )
-from clickweave.session import work_path
 
 
-def _text_stream(spark: SparkSession, source_dir: str, gz_only: bool = True) -> DataFrame:
-    r = spark.readStream.format("text").option("recursiveFileLookup", "true")
+def _text_stream(spark: SparkSession, source_dir: str, gz_only: bool = True, max_files: int = 1000) -> DataFrame:
+    r = spark.readStream.format("text").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files)
     if gz_only:
         r = r.option("pathGlobFilter", "*.gz")
     return r.load(source_dir)
@@ -34,13 +33,19 @@ def start_normalise_stream(
     spark: SparkSession,
     source_dir: str,
     out_dir: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = True,
     gz_only: bool = True,
+    max_files: int = 1000,
     **options,
 ) -> StreamingQuery:
-    """Write normalised events to ``out_dir/events`` and rejects to ``out_dir/quarantine`` (parquet)."""
-    lines = _text_stream(spark, source_dir, gz_only)
+    """Write normalised events to ``out_dir/events`` and rejects to ``out_dir/quarantine`` (parquet).
+
+    ``checkpoint`` names the query's checkpoint folder: a restart with the same
+    one goes on where the last run stopped. A micro-batch takes ``max_files``
+    files at most, so a backlog is never held as one batch.
+    """
+    lines = _text_stream(spark, source_dir, gz_only, max_files)
     every_second = bool(options.get("every_second", False))
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -58,8 +63,6 @@ def start_normalise_stream(
         finally:
             parsed.unpersist()
 
-    w = lines.writeStream.foreachBatch(write_batch).option(
-        "checkpointLocation", checkpoint or work_path(spark, "normalise-stream", unique=True)
-    )
+    w = lines.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()

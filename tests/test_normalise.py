@@ -150,3 +150,22 @@ def test_single_pass_normalise_with_quarantine_equals_separate_outputs(lines):
         q = sorted(r.value for r in both if r.kind == "quarantine")
         assert ev == sorted(r.value for r in render_tsv(normalise_events(df, every_second=es)).collect())
         assert q == sorted(f"{r.reason}\t{r.value}" for r in quarantine_events(df, every_second=es).collect())
+
+
+def test_only_the_fields_in_use_are_judged(lines):
+    good = {"docid": "d1", "date": "t"}
+    recs = [
+        {"userid": "a", "appid": "oppo", "views": [good], "click": "x"},
+        {"userid": "b", "appid": "oppo", "views": [good, "oops", {"docid": "d3", "date": "t"}]},
+        {"userid": "c", "appid": "oppo", "views": [7]},
+        {"userid": "d", "appid": "oppo", "views": {"docid": "d1"}},
+        {"userid": "e", "appid": "oppo", "click": "x"},
+        {"userid": "f", "appid": "oppo", "click": {"event": "like", "docid": "d9", "date": "t", "details": "none"}},
+        {"userid": "g", "appid": "oppo", "views": []},
+    ]
+    df = lines(recs)
+    assert rows(normalise_events(df), "userid", "docid") == [("a", "d1"), ("b", "d1")]
+    import json
+
+    got = sorted((json.loads(r.value)["userid"], r.reason) for r in quarantine_events(df).collect())
+    assert got == [("b", "bad_view"), ("c", "bad_view"), ("d", "bad_shape"), ("e", "bad_shape"), ("f", "bad_shape")]

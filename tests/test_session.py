@@ -30,3 +30,27 @@ def test_no_machine_local_fallback_on_a_cluster():
 def test_work_folder_comes_from_the_session(spark):
     d = shared_dir(spark)
     assert d == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_stage_tables_are_removed_and_file_uris_work(spark, tmp_dir, monkeypatch):
+    import os
+
+    from clickweave import session
+    from clickweave.plans.materialize import materialized
+
+    monkeypatch.setattr(session, "shared_dir", lambda spark: f"file:{tmp_dir}")
+    assert session.materialize(spark.range(5), "five").count() == 5
+    built = []
+
+    def write(path):
+        built.append(path)
+        spark.range(3).write.parquet(path)
+
+    spark.range(1).write.parquet(f"{tmp_dir}/in/t.parquet")
+    first = materialized(spark, f"{tmp_dir}/in", "tree", ("t",), write)
+    assert materialized(spark, f"file://{tmp_dir}/in", "tree", ("t",), write) == first == built[0] and len(built) == 1
+    spark.range(9).write.mode("overwrite").parquet(f"{tmp_dir}/in/t.parquet")
+    assert materialized(spark, f"{tmp_dir}/in", "tree", ("t",), write) != first  # changed input, new build
+    session.remove_stage_tables(spark)
+    assert not os.path.exists(f"{tmp_dir}/clickweave/{spark.sparkContext.applicationId}")
+    assert spark.read.parquet(first).count() == 3
