@@ -50,7 +50,7 @@ class WordIds(dict):
         self.byte_chars = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
         #: ASCII and the accented Latin-1 letters: lower-casing and NFC are plain there.
         self.plain = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
-        self.cut = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zà-öø-ÿ]+|[0-9]|[^a-zà-öø-ÿ0-9]+").findall
+        self.cut = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
@@ -118,8 +118,9 @@ def shortest_pack_first(histogram: dict[int, int], max_tokens: int) -> list[tupl
                 room, first, count = heapq.heappop(open_patterns)
                 room = -room
             else:
-                room, first, count = max_tokens, n_sequences, left
-                n_sequences += left
+                # as few new sequences as can hold what is left
+                room, first, count = max_tokens, n_sequences, -(-left // (max_tokens // length))
+                n_sequences += count
             n = min(left, count)
             placed.append((length, rank, n, first, max_tokens - room))
             if count > n:
