@@ -27,6 +27,8 @@ from clickweave.llm.components import connected_components
 from clickweave.session import materialize
 
 GRID_DIMS, BOX_DIMS, FAN_BITS = 4, 12, 5
+#: Children of a node in the tree that says which vectors of two blocks are in one group.
+TREE = 16
 BLOCK_SCHEMA = "label string, dim int, block long, n int, lo array<double>, hi array<double>, cids binary, counts binary, vectors binary"
 
 
@@ -141,7 +143,7 @@ def _near_blocks(blocks: DataFrame, eps: float) -> DataFrame:
     size = blocks.select(F.max(F.size("lo"))).collect()[0][0]
 
     def level(shift: int) -> DataFrame:
-        box = [f(F.col(c)[i]).alias(f"{c}{i}") for i in range(size) for f, c in ((F.min, "lo"), (F.max, "hi"))]
+        box = [f(F.get(F.col(c), F.lit(i))).alias(f"{c}{i}") for i in range(size) for f, c in ((F.min, "lo"), (F.max, "hi"))]
         grouped = blocks.groupBy("label", "dim", F.shiftright("block", shift).alias("node")).agg(*box)
         return grouped.select(
             "label", "dim", "node",
@@ -233,10 +235,12 @@ def _join_blocks(a: dict, b: dict, same: bool, axes: np.ndarray, eps: float, thr
     if parts:
         label = _groups(len(cids), parts, shift)
         order = np.lexsort((np.arange(len(cids)), label))
-        chained = np.r_[False, label[order][1:] == label[order][:-1]]
+        firsts = np.flatnonzero(np.r_[True, label[order][1:] != label[order][:-1]])
+        first = np.repeat(firsts, np.diff(np.r_[firsts, len(order)]))
         for k, node in enumerate(order):
-            if links[node]:
-                out.append((int(cids[node]), int(links[node]), int(cids[order[k - 1]]) if chained[k] else None))
+            if links[node]:  # a tree of few levels without hubs
+                up = first[k] + (k - first[k] - 1) // TREE
+                out.append((int(cids[node]), int(links[node]), int(cids[order[up]]) if k > first[k] else None))
     return out
 
 

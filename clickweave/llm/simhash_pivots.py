@@ -124,9 +124,8 @@ def fingerprint_links(
         meet = F.array(*(F.struct(F.lit(i).alias("i"), fp.bitwiseAND(F.bitwise_not(b)).alias("z")) for i, b in enumerate(bits)))
     if max_bits:
         near = crowded.select("fp", F.explode(meet).alias("m")).groupBy("m").agg(F.collect_set("fp").alias("all"))
-        chain = F.array_sort("all")  # at most 65 long
-        step = near.filter(F.size("all") > 1).select(F.explode(F.arrays_zip(chain.alias("a"), F.slice(chain, 2, 65).alias("b"))).alias("s"))
-        links = links.unionByName(step.select("s.a", "s.b").filter("b is not null"))
+        one = F.array_min("all")  # of at most 65
+        links = links.unionByName(near.filter(F.size("all") > 1).select(one.alias("a"), F.explode("all").alias("b")).filter("a <> b"))
     return links
 
 
