@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from clickweave.llm.components import connected_components
 from clickweave.session import materialize
 
-GRID_DIMS, BOX_DIMS, FAN_BITS = 4, 12, 5
+GRID_DIMS, BOX_DIMS, FAN_BITS = 4, 12, 8
 #: Children of a node in the tree that says which vectors of two blocks are in one group.
 TREE = 16
-BLOCK_SCHEMA = "label string, dim int, block long, n int, lo array<double>, hi array<double>, cids binary, counts binary, vectors binary"
+BLOCK_SCHEMA = "label string, dim int, part int, run int, n int, lo array<double>, hi array<double>, cids binary, counts binary, vectors binary"
 
 
 def _lists(column: pa.Array) -> list[np.ndarray]:
@@ -112,10 +112,10 @@ def _block_rows(classes: DataFrame, axes: dict[int, np.ndarray], eps: float, blo
             x = np.stack([h[2] for h in held])
             s = _shadow(_unit(x), sent.value[dim])
             row = (
-                label, dim, (at << 24) + made, len(held), s.min(0).tolist(), s.max(0).tolist(),
+                label, dim, at, made, len(held), s.min(0).tolist(), s.max(0).tolist(),
                 np.array([h[0] for h in held], np.int64).tobytes(), np.array([h[1] for h in held], np.int64).tobytes(), x.tobytes(),
             )
-            kinds = (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), *[pa.binary()] * 3)
+            kinds = (pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), *[pa.binary()] * 3)
             names = [c.split()[0] for c in BLOCK_SCHEMA.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
 
@@ -134,24 +134,29 @@ def _block_rows(classes: DataFrame, axes: dict[int, np.ndarray], eps: float, blo
     return ordered.mapInArrow(cut, BLOCK_SCHEMA)
 
 
-def _near_blocks(blocks: DataFrame, eps: float) -> DataFrame:
+def _numbered(blocks: DataFrame) -> tuple[DataFrame, int]:
+    """``blocks`` with their number in the sorted sequence, and its bits."""
+    top = blocks.agg(F.max("part").alias("part"), F.max("run").alias("run")).collect()[0]
+    low = int(top["run"]).bit_length()
+    return blocks.withColumn("block", F.shiftleft(F.col("part").cast("long"), low) + F.col("run")), int(top["part"]).bit_length() + low
+
+
+def _near_blocks(blocks: DataFrame, bits: int, eps: float) -> DataFrame:
     """Pairs ``a`` <= ``b`` of blocks of one label whose boxes are within eps,
-    found from the whole sequence downward, FAN_BITS bits of the block number
-    a level."""
-    bits = int(blocks.agg(F.max("block")).collect()[0][0] or 0).bit_length()
-    depth = max(1, -(-bits // FAN_BITS))
-    size = blocks.select(F.max(F.size("lo"))).collect()[0][0]
+    found from the whole sequence downward: a level cuts each interval by the
+    next FAN_BITS bits of the block number and keeps the pairs of intervals
+    whose boxes are near enough. A level's pairs are a written table."""
+    slim = materialize(blocks.select("label", "dim", "block", "lo", "hi"), "boxes")
+    size = slim.select(F.max(F.size("lo"))).collect()[0][0]
 
     def level(shift: int) -> DataFrame:
         box = [f(F.get(F.col(c), F.lit(i))).alias(f"{c}{i}") for i in range(size) for f, c in ((F.min, "lo"), (F.max, "hi"))]
-        grouped = blocks.groupBy("label", "dim", F.shiftright("block", shift).alias("node")).agg(*box)
+        grouped = slim.groupBy("label", "dim", F.shiftright("block", shift).alias("node")).agg(*box)
         return grouped.select(
             "label", "dim", "node",
             F.array(*(f"lo{i}" for i in range(size))).alias("lo"), F.array(*(f"hi{i}" for i in range(size))).alias("hi"),
         )
 
-    root = level(depth * FAN_BITS).select("label", "dim", F.col("node").alias("a"), F.col("node").alias("b"))
-    pairs = root
     gap = F.aggregate(
         F.zip_with(
             F.zip_with("alo", "bhi", lambda x, y: x - y), F.zip_with("blo", "ahi", lambda x, y: x - y),
@@ -159,20 +164,20 @@ def _near_blocks(blocks: DataFrame, eps: float) -> DataFrame:
         ),
         F.lit(0.0), lambda s, g: s + F.coalesce(g * g, F.lit(0.0)),
     )
+    depth = max(1, -(-bits // FAN_BITS))
+    pairs = slim.select("label", "dim", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")).distinct()
     for d in range(depth - 1, -1, -1):
-        nodes = level(d * FAN_BITS).withColumn("up", F.shiftright("node", FAN_BITS))
-        if d % 2:
-            nodes = materialize(nodes, "intervals")
+        nodes = slim.withColumnRenamed("block", "node") if d == 0 else materialize(level(d * FAN_BITS), "intervals")
+        nodes = nodes.withColumn("up", F.shiftright("node", FAN_BITS))
         a = nodes.select("label", "dim", F.col("up").alias("a"), F.col("node").alias("na"), F.col("lo").alias("alo"), F.col("hi").alias("ahi"))
         b = nodes.select("label", "dim", F.col("up").alias("b"), F.col("node").alias("nb"), F.col("lo").alias("blo"), F.col("hi").alias("bhi"))
-        pairs = (
+        near = (
             pairs.join(a, ["label", "dim", "a"])
             .join(b, ["label", "dim", "b"])
             .filter((F.col("na") <= F.col("nb")) & (gap <= (eps + 1e-6) ** 2))
             .select("label", "dim", F.col("na").alias("a"), F.col("nb").alias("b"))
         )
-        if d % 2 == 0 and d:
-            pairs = materialize(pairs, "interval_pairs")
+        pairs = materialize(near, "interval_pairs")
     return pairs
 
 
@@ -277,8 +282,8 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.93, block_rows
             "*", alone
         )
     axes = principal_dimensions(classes)
-    blocks = materialize(_block_rows(classes, axes, eps, block_rows), "blocks")
-    pairs = materialize(_near_blocks(blocks, eps), "block_pairs")
+    blocks, bits = _numbered(materialize(_block_rows(classes, axes, eps, block_rows), "blocks"))
+    pairs = _near_blocks(blocks, bits, eps)
     sent = vectors.sparkSession.sparkContext.broadcast(axes)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
