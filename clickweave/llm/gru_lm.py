@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from clickweave.session import materialize
 
 END = ""
-CLASSES, PER_CLASS, HIDDEN, EMBEDDED, WORD_TYPES = 32, 64, 12, 12, 64
+CLASSES, PER_CLASS, HIDDEN, EMBEDDED, WORD_TYPES = 32, 64, 8, 8, 64
 VOCABULARY = CLASSES * PER_CLASS
 SMOOTH = 0.1
 
