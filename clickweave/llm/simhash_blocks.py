@@ -152,10 +152,10 @@ def edited_documents(docs: DataFrame, buckets: int = 4096) -> DataFrame:
     placed, firsts = _places(docs.withColumn("text", F.coalesce("text", F.lit(""))), buckets)
     firsts = materialize(firsts, "bucket_firsts")  # a row a bucket at most
     around = W.orderBy("bucket")
-    last = firsts.agg(F.max("bucket").alias("last"))
-    before = firsts.withColumn("previous", F.lag("bucket").over(around)).crossJoin(F.broadcast(last)).select(
+    last = F.max("bucket").over(around.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
+    before = firsts.select(
         F.col("bucket").alias("own"), F.col("lowest.doc_id").alias("first_id"), F.col("lowest.digest").alias("first_digest"),
-        F.coalesce("previous", "last").alias("previous"),
+        F.coalesce(F.lag("bucket").over(around), last).alias("previous"),
     )
     match = (F.col("bucket") == F.col("own")) & F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
     sent = placed.join(F.broadcast(before), match, "left")  # bounded by ``buckets``
