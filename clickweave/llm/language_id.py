@@ -37,10 +37,16 @@ def fit_dictionaries(
     its middle. Rows without text or language teach nothing. The number of
     languages is that of distinct values of ``lang``.
     """
-    rank = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
+    draw = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    rank = W.partitionBy("lang").orderBy(draw, "doc_id", "text")
     half = F.greatest(F.lit(1), F.floor((F.char_length("text") - chars_per_doc) / 2)).cast("int")
+    known = labelled.filter("text is not null and lang is not null")
+    # Hashes below a language's share leave about twice as many documents as wanted, however many tasks read them.
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("held"))  # a row a language, like the result
+    low = (draw / F.lit(float(1 << 63)) + 1) / 2 * F.col("held") <= 2 * docs_per_lang + 100
     sample = (
-        labelled.filter("text is not null and lang is not null")
+        known.join(F.broadcast(sizes), "lang")
+        .filter(low)
         .withColumn("rank", F.row_number().over(rank))
         .filter(F.col("rank") <= docs_per_lang)
         .select("lang", F.col("text").substr(half, F.lit(chars_per_doc)).alias("text"))
