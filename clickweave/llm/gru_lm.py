@@ -24,7 +24,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
-from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -432,7 +431,7 @@ def score_documents(
         names = ["row", "doc_id", "n_tokens", "n_known", "logs", "oov_logs", "model", "rare"]
         for batch in batches:
             read, columns = [], [[] for _ in range(4)]
-            rare: list[list[dict[str, Any]]] = []
+            rare_words, rare_uses, ends = [], [], [0]
             for text in batch.column(2):
                 tokens = tokens_of(text.as_py())
                 found = np.fromiter(map(known.get, tokens, repeat(-1)), np.int32, len(tokens))
@@ -445,11 +444,14 @@ def score_documents(
                 oov -= sum(n * log_type[word_type(w)] for w, n in others.items())
                 for column, value in zip(columns, (len(tokens) + 1, len(held), logs, oov)):
                     column.append(value)
-                rare.append([{"word": w.decode(), "uses": n} for w, n in others.items()])
+                rare_words += [w.decode() for w in others]
+                rare_uses += others.values()
+                ends.append(len(rare_words))
             logs10 = score_texts(model, read, end_id, lanes, steps) / math.log(10)
             kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            rare_kind = pa.list_(pa.struct([("word", pa.string()), ("uses", pa.int64())]))
-            arrays = [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(logs10), pa.array(rare, rare_kind)]
+            uses = pa.StructArray.from_arrays([pa.array(rare_words, pa.string()), pa.array(rare_uses, pa.int64())], names=["word", "uses"])
+            rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), uses)
+            arrays = [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(logs10), rare]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     doc_type = texts.schema["doc_id"].dataType.simpleString()
