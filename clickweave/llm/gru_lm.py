@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from clickweave.session import materialize
 
 END = ""
-CLASSES, PER_CLASS, HIDDEN, EMBEDDED, WORD_TYPES = 32, 64, 8, 8, 64
+CLASSES, PER_CLASS, HIDDEN, EMBEDDED, WORD_TYPES = 32, 64, 12, 12, 64
 VOCABULARY = CLASSES * PER_CLASS
 SMOOTH = 0.1
 
@@ -51,119 +51,146 @@ def word_type(word: bytes) -> int:
 # --- the network -------------------------------------------------------------
 
 
-def first_params(unigram: np.ndarray, seed: int = 11) -> Params:
+def first_params(unigram: np.ndarray, seed: int = 11, units: int | None = None, classes: int | None = None) -> Params:
     """Random weights; the output's biases are the unigram distribution."""
     rng = np.random.default_rng(seed)
-    by_class = unigram.reshape(CLASSES, PER_CLASS)
+    hidden, embedded, classes = units or HIDDEN, units or EMBEDDED, classes or CLASSES
+    by_class = unigram.reshape(classes, -1)
     mass = by_class.sum(1)
 
     def normal(*shape: int) -> np.ndarray:
         return (rng.standard_normal(shape) / math.sqrt(shape[0])).astype(np.float32)
 
     return {
-        "embed": (0.3 * rng.standard_normal((VOCABULARY, EMBEDDED))).astype(np.float32),
-        "into": normal(EMBEDDED, 3 * HIDDEN),
-        "bias": np.zeros(3 * HIDDEN, np.float32),
-        "back": normal(HIDDEN, 3 * HIDDEN),
-        "to_class": (0.1 * normal(HIDDEN, CLASSES)),
+        "embed": (0.3 * rng.standard_normal((len(unigram), embedded))).astype(np.float32),
+        "into": normal(embedded, 3 * hidden),
+        "bias": np.zeros(3 * hidden, np.float32),
+        "back": normal(hidden, 3 * hidden),
+        "to_class": (0.1 * normal(hidden, classes)),
         "class_bias": np.log(mass + 1e-9).astype(np.float32),
-        "to_word": (0.1 * rng.standard_normal((CLASSES, HIDDEN, PER_CLASS)) / math.sqrt(HIDDEN)).astype(np.float32),
+        "to_word": (0.1 * rng.standard_normal((classes, hidden, by_class.shape[1])) / math.sqrt(hidden)).astype(np.float32),
         "word_bias": np.log(by_class / (mass[:, None] + 1e-30) + 1e-9).astype(np.float32),
     }
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(1, keepdims=True)
-    x -= np.log(np.exp(x).sum(1, keepdims=True))
-    return x
+def _softmax(x: np.ndarray, target: np.ndarray, weight: np.ndarray | None):
+    """Log probabilities of the targets under the columns of ``x`` ([choices, tokens], overwritten);
+    with ``weight``, the gradient of minus their weighted sum by ``x`` as well."""
+    at = np.arange(len(target))
+    x -= x.max(0)
+    picked = x[target, at]
+    np.exp(x, out=x)
+    total = x.sum(0)
+    logs = picked - np.log(total)
+    if weight is None:
+        return logs, None
+    x *= weight / total
+    x[target, at] -= weight
+    return logs, x
+
+
+def _by_lane(x: np.ndarray) -> np.ndarray:
+    return x.transpose(0, 2, 1)
 
 
 def forward(p: Params, read: np.ndarray, start: np.ndarray, state: np.ndarray):
-    """States of a window: ``read`` and ``start`` are [steps, lanes]; a start empties the state first."""
+    """States of a window: ``read`` and ``start`` are [steps, lanes]; a start empties the state first.
+
+    Inside, lanes come last, so that every gate is one contiguous block."""
     steps, lanes = read.shape
-    h = HIDDEN
-    x = p["embed"][read.ravel()]
-    gates_in = (x @ p["into"] + p["bias"]).reshape(steps, lanes, 3 * h)
-    before, zr, new, back_n = (np.empty((steps, lanes, n), np.float32) for n in (h, 2 * h, h, h))
-    after = np.empty((steps, lanes, h), np.float32)
+    h = len(p["back"])
+    x = p["embed"][read.ravel()].reshape(steps, lanes, -1)
+    # a gate is tanh(half its input) / 2 + 1/2: the halves are taken before the steps
+    half = np.r_[np.full(2 * h, 0.5, np.float32), np.ones(h, np.float32)]
+    gates_in = np.matmul((p["into"] * half).T, _by_lane(x))
+    gates_in += (p["bias"] * half)[:, None]
+    into_back = np.ascontiguousarray((p["back"] * half).T)
+    before, zr, new, back_n, after = (np.empty((steps, n, lanes), np.float32) for n in (h, 2 * h, h, h, h))
+    back = np.empty((3 * h, lanes), np.float32)
+    starts = start.any(1)
+    state = state.T
     for t in range(steps):
-        state = np.where(start[t][:, None], np.float32(0), state)
-        before[t] = state
-        back = state @ p["back"]
-        gate = np.tanh((gates_in[t, :, : 2 * h] + back[:, : 2 * h]) * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
-        back_n[t] = back[:, 2 * h :]
-        n = np.tanh(gates_in[t, :, 2 * h :] + gate[:, h:] * back_n[t])
-        z = gate[:, :h]
-        state = n + z * (state - n)
-        zr[t], new[t], after[t] = gate, n, state
-    return after, (x, before, zr, new, back_n)
+        before[t] = np.where(start[t], np.float32(0), state) if starts[t] else state
+        np.matmul(into_back, before[t], out=back)
+        gate, n, state = zr[t], new[t], after[t]
+        np.add(gates_in[t, : 2 * h], back[: 2 * h], out=gate)
+        np.tanh(gate, out=gate)
+        gate *= np.float32(0.5)
+        gate += np.float32(0.5)
+        back_n[t] = back[2 * h :]
+        np.multiply(gate[h:], back[2 * h :], out=n)
+        n += gates_in[t, 2 * h :]
+        np.tanh(n, out=n)
+        np.subtract(before[t], n, out=state)
+        state *= gate[:h]
+        state += n
+    return _by_lane(after), (x, before, zr, new, back_n)
 
 
 def log_probs(p: Params, states: np.ndarray, target: np.ndarray, grads: Params | None = None, weight: np.ndarray | None = None):
     """Natural log probabilities of the targets ([tokens]); with ``grads``,
     adds the gradients of minus their weighted sum and returns that of the
     states as well."""
-    of_class, of_word = target // PER_CLASS, target % PER_CLASS
-    out = np.zeros(len(target), np.float32)
-    rows = np.arange(len(target))
-    by_class = _log_softmax(states @ p["to_class"] + p["class_bias"])
-    out += by_class[rows, of_class]
-    d_states = np.zeros_like(states) if grads is not None else None
+    classes, per_class = p["word_bias"].shape
+    order = np.argsort(target // per_class, kind="stable")  # tokens of one class lie together
+    of_class, of_word = np.divmod(target[order], per_class)
+    ends = np.searchsorted(of_class, np.arange(classes + 1))
+    states = states[order]
+    weight = None if grads is None else weight[order]
+    x = np.matmul(p["to_class"].T, states.T)
+    x += p["class_bias"][:, None]
+    logs, d = _softmax(x, of_class, weight)
+    d_states = None
     if grads is not None:
-        d = np.exp(by_class)
-        d[rows, of_class] -= 1
-        d *= weight[:, None]
-        grads["to_class"] += states.T @ d
-        grads["class_bias"] += d.sum(0)
-        d_states += d @ p["to_class"].T
-    order = np.argsort(of_class, kind="stable")
-    ends = np.searchsorted(of_class[order], np.arange(CLASSES + 1))
-    sorted_states, sorted_word = states[order], of_word[order]
-    sorted_out = np.empty(len(target), np.float32)
-    sorted_d = np.empty_like(states) if grads is not None else None
-    for c in range(CLASSES):
-        a, b = ends[c], ends[c + 1]
-        if a == b:
-            continue
-        s = sorted_states[a:b]
-        logs = _log_softmax(s @ p["to_word"][c] + p["word_bias"][c])
-        at = np.arange(b - a)
-        sorted_out[a:b] = logs[at, sorted_word[a:b]]
+        grads["to_class"] += (d @ states).T
+        grads["class_bias"] += d.sum(1)
+        d_states = d.T @ p["to_class"].T
+    for c in np.flatnonzero(np.diff(ends)):
+        part = slice(ends[c], ends[c + 1])
+        s = states[part]
+        x = np.matmul(p["to_word"][c].T, s.T)
+        x += p["word_bias"][c][:, None]
+        more, d = _softmax(x, of_word[part], None if weight is None else weight[part])
+        logs[part] += more
         if grads is not None:
-            d = np.exp(logs)
-            d[at, sorted_word[a:b]] -= 1
-            d *= weight[order[a:b]][:, None]
-            grads["to_word"][c] += s.T @ d
-            grads["word_bias"][c] += d.sum(0)
-            sorted_d[a:b] = d @ p["to_word"][c].T
-    out[order] += sorted_out
-    if grads is not None:
-        d_states[order] += sorted_d
-    return out, d_states
+            grads["to_word"][c] += (d @ s).T
+            grads["word_bias"][c] += d.sum(1)
+            d_states[part] += d.T @ p["to_word"][c].T
+    out = np.empty(len(target), np.float32)
+    out[order] = logs
+    if grads is None:
+        return out, None
+    d_out = np.empty_like(d_states)
+    d_out[order] = d_states
+    return out, d_out
 
 
 def backward(p: Params, grads: Params, read: np.ndarray, start: np.ndarray, kept, d_after: np.ndarray) -> None:
     """Backpropagation through the window's steps, no further."""
     x, before, zr, new, back_n = kept
-    steps, lanes, h = before.shape
-    d_in = np.empty((steps, lanes, 3 * h), np.float32)
-    d_back = np.empty((steps, lanes, 3 * h), np.float32)
-    carried = np.zeros((lanes, h), np.float32)
+    steps, h, lanes = before.shape
+    d_after = np.ascontiguousarray(_by_lane(d_after))
+    z, r = zr[:, :h], zr[:, h:]
+    by_n, by_z, by_r = (1 - z) * (1 - new * new), (before - new) * z * (1 - z), back_n * r * (1 - r)
+    d_in, d_back = (np.empty((steps, 3 * h, lanes), np.float32) for _ in range(2))
+    carried = np.zeros((h, lanes), np.float32)
+    starts = start.any(1)
     for t in range(steps - 1, -1, -1):
-        d = d_after[t] + carried
-        z, r, n = zr[t, :, :h], zr[t, :, h:], new[t]
-        d_n = d * (1 - z) * (1 - n * n)
-        d_z = d * (before[t] - n) * z * (1 - z)
-        d_r = d_n * back_n[t] * r * (1 - r)
-        d_in[t, :, :h], d_in[t, :, h : 2 * h], d_in[t, :, 2 * h :] = d_z, d_r, d_n
-        d_back[t, :, : 2 * h] = d_in[t, :, : 2 * h]
-        d_back[t, :, 2 * h :] = d_n * r
-        carried = (d * z + d_back[t] @ p["back"].T) * ~start[t][:, None]
-    flat_in, flat_back = d_in.reshape(-1, 3 * h), d_back.reshape(-1, 3 * h)
-    grads["back"] += before.reshape(-1, h).T @ flat_back
-    grads["into"] += x.T @ flat_in
-    grads["bias"] += flat_in.sum(0)
-    d_x, words = flat_in @ p["into"].T, read.ravel()
+        carried += d_after[t]
+        own, own_back = d_in[t], d_back[t]
+        np.multiply(carried, by_z[t], out=own[:h])
+        d_n = np.multiply(carried, by_n[t], out=own[2 * h :])
+        np.multiply(d_n, by_r[t], out=own[h : 2 * h])
+        own_back[: 2 * h] = own[: 2 * h]
+        np.multiply(d_n, r[t], out=own_back[2 * h :])
+        carried *= z[t]
+        carried += p["back"] @ own_back
+        if starts[t]:
+            carried *= ~start[t]
+    grads["back"] += np.matmul(before, _by_lane(d_back)).sum(0)
+    grads["into"] += np.matmul(_by_lane(x), _by_lane(d_in)).sum(0)
+    grads["bias"] += d_in.sum((0, 2))
+    d_x, words = np.matmul(_by_lane(d_in), p["into"].T).reshape(steps * lanes, -1), read.ravel()
     order = np.argsort(words, kind="stable")
     firsts = np.flatnonzero(np.r_[True, np.diff(words[order]) > 0])
     grads["embed"][words[order][firsts]] += np.add.reduceat(d_x[order], firsts, axis=0)
@@ -231,14 +258,14 @@ def train_texts(params: Params, adam: Adam, texts: list[np.ndarray], end_id: int
     seen = 0
     if not texts:
         return seen
-    state = np.zeros((min(width, len(texts)), HIDDEN), np.float32)
+    state = np.zeros((min(width, len(texts)), len(params["back"])), np.float32)
     for reads, follows, starts, text, n in windows(texts, width, steps, end_id):
         after, kept = forward(params, reads, starts, state[:n])
         real = text.ravel() >= 0
         total = int(real.sum())
         grads = {k: np.zeros_like(v) for k, v in params.items()}
         weight = real.astype(np.float32) / max(total, 1)
-        _, d = log_probs(params, after.reshape(-1, HIDDEN), follows.ravel(), grads, weight)
+        _, d = log_probs(params, after.reshape(-1, after.shape[2]), follows.ravel(), grads, weight)
         backward(params, grads, reads, starts, kept, d.reshape(after.shape))
         size = math.sqrt(sum(float((g * g).sum()) for g in grads.values()))
         if size > 1:
@@ -254,11 +281,11 @@ def score_texts(params: Params, texts: list[np.ndarray], end_id: int, width: int
     out = np.zeros(len(texts))
     if not texts:
         return out
-    state = np.zeros((min(width, len(texts)), HIDDEN), np.float32)
+    state = np.zeros((min(width, len(texts)), len(params["back"])), np.float32)
     for reads, follows, starts, text, n in windows(texts, width, steps, end_id):
         after, _ = forward(params, reads, starts, state[:n])
         real = text.ravel() >= 0
-        logs, _ = log_probs(params, after.reshape(-1, HIDDEN)[real], follows.ravel()[real])
+        logs, _ = log_probs(params, after.reshape(-1, after.shape[2])[real], follows.ravel()[real])
         out += np.bincount(text.ravel()[real], logs, len(texts))
         state = after[-1]
     return out
@@ -325,6 +352,8 @@ def score_documents(
     rate: float = 0.005,
     lanes: int = 512,
     steps: int = 32,
+    units: int = HIDDEN,
+    vocabulary: int = VOCABULARY,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     each row of ``docs`` (``doc_id``, ``text``).
@@ -336,10 +365,18 @@ def score_documents(
     are returned each; null doc_ids stay null. Other columns are not read. An
     empty table gives an empty table.
 
-    Bounded, whatever the corpus: ``frequent_words`` words in the workers'
-    dictionary, ``warm_docs`` documents (first by hash of their ids) for the
-    common start of training.
+    Bounded, whatever the corpus: ``vocabulary`` outputs, ``units`` hidden and
+    embedded units, ``frequent_words`` words in the workers' dictionary,
+    ``warm_docs`` documents (first by hash of their ids) for the common start
+    of training. Of the outputs one is the end of a text and 64 are types;
+    the most frequent words have the others. The network predicts any other
+    word as its type alone, times its unigram probability within the type, so
+    the larger a corpus's vocabulary, the more ``vocabulary`` leaves to that.
     """
+    if units < 1 or vocabulary < WORD_TYPES + 1:
+        raise ValueError(f"units must be at least 1 and vocabulary at least {WORD_TYPES + 1}")
+    classes = max(1, round(math.sqrt(vocabulary / 2)))
+    outputs = classes * -(-vocabulary // classes)  # classes of one size; places behind the vocabulary stay unused
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.col("text").cast("string"))
     training = texts.filter(~held_out)
@@ -352,7 +389,7 @@ def score_documents(
     type_of = F.crc32(F.substring(F.col("word").cast("binary"), -2, 2)) % WORD_TYPES
     by_type = {r["t"]: (r["n"], r["v"]) for r in words.groupBy(type_of.alias("t")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect()}
     type_n, type_v = (np.array([by_type.get(t, (0, 0))[i] for t in range(WORD_TYPES)], float) for i in (0, 1))
-    chosen = frequent[: VOCABULARY - WORD_TYPES - 1]
+    chosen = frequent[: vocabulary - WORD_TYPES - 1]
     for w, n in chosen:
         t = word_type(w.encode())
         type_n[t] -= n
@@ -362,7 +399,7 @@ def score_documents(
     entries = [("end", 0, n_ends), *(("type", t, type_n[t]) for t in range(WORD_TYPES)), *(("word", i, n) for i, (_, n) in enumerate(chosen))]
     entries.sort(key=lambda e: (-e[2], e[0], e[1]))
     ids = {(kind, i): at for at, (kind, i, _) in enumerate(entries)}
-    unigram = np.zeros(VOCABULARY)
+    unigram = np.zeros(outputs)
     unigram[: len(entries)] = [n + SMOOTH for _, _, n in entries]
     end_id = ids["end", 0]
     type_ids = np.array([ids["type", t] for t in range(WORD_TYPES)], np.int32)
@@ -385,7 +422,7 @@ def score_documents(
         out[-1] = end_id
         return out
 
-    start = first_params(unigram / unigram.sum())
+    start = first_params(unigram / unigram.sum(), units=units, classes=classes)
     train_schema = "tokens long, params binary"
 
     def trainer(params_now: bytes, passes: int):

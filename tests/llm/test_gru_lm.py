@@ -1,3 +1,4 @@
+import inspect
 import math
 import zlib
 from collections import Counter
@@ -109,3 +110,16 @@ def test_training_lowers_the_loss(monkeypatch):
     for _ in range(15):
         G.train_texts(p, adam, texts, 0, 4, 8)
     assert G.score_texts(p, texts, 0, 4, 8).sum() > 0.4 * before
+
+
+def test_units_and_vocabulary_are_parameters(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    defaults = {k: v.default for k, v in inspect.signature(G.score_documents).parameters.items()}
+    assert defaults["units"] >= 12 and defaults["vocabulary"] >= 2048
+
+    def gain(**sizes):
+        got = G.score_documents(docs, hashed_fold(F.col("doc_id"), 10) == 0, **sizes).filter("held_out")
+        return got.agg(F.sum(F.col("score") - F.col("base_score"))).first()[0]
+
+    gains = [gain(units=1, vocabulary=65), gain(vocabulary=500), gain()]  # 500: classes of unlike size are filled up
+    assert all(map(math.isfinite, gains)) and gains == sorted(set(gains))
