@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from clickweave.llm.common import fresh
 from clickweave.llm.language_id import letters_only
 
-#: Savings in bytes from which a window counts as toxic.
-WINDOW_THRESHOLDS = (2, 4)
+#: Window lengths in words, and savings in bytes from which a window counts as toxic, to choose from.
+WINDOW_WORDS = (4, 12)
+WINDOW_THRESHOLDS = ((2, 4), (2, 3, 4, 5, 6, 7, 8))
 
 
 @dataclass
@@ -31,7 +32,8 @@ class ToxicityModel:
     ordinary: bytes
     toxic: bytes
     weights: np.ndarray | None = None
-    window_words: int = 12
+    window_words: int = WINDOW_WORDS[0]
+    thresholds: tuple[int, ...] = WINDOW_THRESHOLDS[0]
 
 
 def _compressor(words: bytes):
@@ -45,18 +47,23 @@ def _compressor(words: bytes):
     return z.ZstdCompressor(dict_data=z.ZstdCompressionDict(words, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=settings)
 
 
-def text_features(text: str | None, ordinary, toxic, window_words: int) -> list[float]:
-    """What the windows of a text save: on average, at most, and how many of
-    them reach each threshold; the last is 1."""
+def savings(text: str | None, ordinary, toxic, window_words: int) -> np.ndarray:
+    """What the toxic dictionary saves on each window of a text, in bytes."""
     words = letters_only(text or "").split()
-    total, most, reached, n = 0, 0, [0] * len(WINDOW_THRESHOLDS), 0
+    saved = []
     for at in range(0, len(words), window_words):
         window = b" " + b" ".join(words[at : at + window_words]) + b" "
-        saved = len(ordinary.compress(window)) - len(toxic.compress(window))
-        total, most, n = total + saved, max(most, saved), n + 1
-        for i, t in enumerate(WINDOW_THRESHOLDS):
-            reached[i] += saved >= t
-    return [total / max(n, 1), float(most), *(r / max(n, 1) for r in reached), *(float(min(r, 4)) for r in reached), 1.0]
+        saved.append(len(ordinary.compress(window)) - len(toxic.compress(window)))
+    return np.array(saved, int)
+
+
+def window_features(saved: np.ndarray, thresholds: tuple[int, ...]) -> list[float]:
+    """What the windows of a text save: on average, at most, and how many of
+    them reach each threshold; the last is 1."""
+    n = max(len(saved), 1)
+    reached = [int((saved >= t).sum()) for t in thresholds]
+    most = max(0, int(saved.max(initial=0)))
+    return [float(saved.sum()) / n, float(most), *(r / n for r in reached), *(float(min(r, 4)) for r in reached), 1.0]
 
 
 def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -73,6 +80,15 @@ def _calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int =
     return w
 
 
+def _held_out_loss(x: np.ndarray, y: np.ndarray, folds: int = 5) -> float:
+    """Mean log loss of rows under weights that the other folds gave."""
+    fold, loss = np.arange(len(y)) % folds, 0.0
+    for k in range(folds):
+        z = np.clip(x[fold == k] @ _calibrate(x[fold != k], y[fold != k]), -30, 30)
+        loss += float(np.log1p(np.exp(np.where(y[fold == k] == 1, -z, z))).sum())
+    return loss / len(y)
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -82,7 +98,8 @@ def fit_toxicity(
     toxic_bytes: int = 4096,
     min_docs: int = 5,
     min_evidence: float = 25.0,
-    window_words: int = 12,
+    window_words: tuple[int, ...] = WINDOW_WORDS,
+    thresholds: tuple[tuple[int, ...], ...] = WINDOW_THRESHOLDS,
 ) -> ToxicityModel:
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
@@ -91,7 +108,9 @@ def fit_toxicity(
     and null ids teach nothing. A toxic word is one that at least ``min_docs``
     toxic documents have, behind different words (so copies of one passage
     count little), and ordinary documents hardly have: a log-likelihood ratio of
-    at least ``min_evidence`` and a rate over eight times theirs. Without documents of
+    at least ``min_evidence`` and a rate over eight times theirs. Of ``window_words`` and
+    ``thresholds`` the pair is taken whose calibration has the smallest loss on
+    parts of the sample it was not calibrated on (ties: the first). Without documents of
     both labels every score is 0.
     """
     rank = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -122,7 +141,7 @@ def fit_toxicity(
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_ordinary = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_ordinary:
-        return ToxicityModel(b"", b"", None, window_words)
+        return ToxicityModel(b"", b"")
     is_toxic = F.col("toxic") == 1
     uses = sample.select(F.col("toxic").cast("int"), "text").mapInArrow(first_uses, "toxic int, word string, before string")
     counts = uses.groupBy("word").agg(
@@ -154,19 +173,28 @@ def fit_toxicity(
         return out
 
     shared = content(common, common_bytes) + b" "
-    model = ToxicityModel(shared, content(toxic, toxic_bytes) + shared, None, window_words)
+    model = ToxicityModel(shared, content(toxic, toxic_bytes) + shared)
+
+    pairs = [(n, t) for n in window_words for t in thresholds]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _compressor(model.ordinary), _compressor(model.toxic)
         for batch in batches:
-            rows = [text_features(t.as_py(), a, b, window_words) for t in batch.column(1)]
+            rows = []
+            for text in batch.column(1):
+                saved = {n: savings(text.as_py(), a, b, n) for n in window_words}
+                rows.append([window_features(saved[n], t) for n, t in pairs])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(rows, pa.list_(pa.float64()))], names=["toxic", "x"]
+                [batch.column(0), pa.array(rows, pa.list_(pa.list_(pa.float64())))], names=["toxic", "x"]
             )
 
-    seen = sample.select(F.col("toxic").cast("int"), "text").mapInArrow(features, "toxic int, x array<double>").collect()
+    seen = sample.select(F.col("toxic").cast("int"), "text").mapInArrow(features, "toxic int, x array<array<double>>").collect()
     seen.sort(key=lambda r: (r["toxic"], r["x"]))
-    model.weights = _calibrate(np.array([r["x"] for r in seen]), np.array([r["toxic"] for r in seen], float))
+    y = np.array([r["toxic"] for r in seen], float)
+    of_pair = [np.array([r["x"][i] for r in seen]) for i in range(len(pairs))]
+    best = min(range(len(pairs)), key=lambda i: (_held_out_loss(of_pair[i], y), i))
+    model.window_words, model.thresholds = pairs[best]
+    model.weights = _calibrate(of_pair[best], y)
     return model
 
 
@@ -190,7 +218,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         for batch in batches:
             score = np.zeros(batch.num_rows)
             if m.weights is not None and batch.num_rows:
-                x = np.array([text_features(t.as_py(), a, b, m.window_words) for t in batch.column(len(columns))])
+                x = np.array([window_features(savings(t.as_py(), a, b, m.window_words), m.thresholds) for t in batch.column(len(columns))])
                 score = 1 / (1 + np.exp(-np.clip(x @ m.weights, -30, 30)))
             new = [pa.array(score), pa.array((score >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(columns)], *new], names=[*columns, *added])

@@ -33,3 +33,20 @@ def test_awkward_rows(spark):
     assert {r.score for r in score_toxicity(docs, none).collect()} == {0.0}
     assert score_toxicity(empty(spark), model).count() == 0
     assert fit_toxicity(empty(spark), labels).weights is None
+
+
+def test_every_language_group_is_found(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    held_out = hashed_fold(F.col("doc_id"), 5) == 0
+    model = fit_toxicity(docs, labels.filter(~held_out))
+    rows = score_toxicity(docs.filter(held_out).join(labels, "doc_id"), model).collect()
+    figures = {}
+    for english in (True, False):
+        bad, good = ([r.score for r in rows if (r.lang == "en") == english and r.toxic == k] for k in (1, 0))
+        auc = sum((x > y) + (x == y) / 2 for x in bad for y in good) / (len(bad) * len(good))
+        recall, marked = (sum(x >= 0.5 for x in part) / len(part) for part in (bad, good))
+        figures["en" if english else "other"] = (round(auc, 3), round(recall, 3), round(marked, 3))
+    print(model.window_words, model.thresholds, figures)
+    for auc, recall, marked in figures.values():
+        assert auc > 0.88 and recall > 0.5 and marked < 0.05, figures
