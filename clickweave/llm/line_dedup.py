@@ -68,7 +68,7 @@ def dedup_lines(
         .select(own, digest, "pos", F.md5("key").alias("line_hash"))
         .join(materialize(repeated_lines(docs, text, min_docs, min_chars), "repeated_lines"), "line_hash")
         .groupBy(own, digest)
-        .agg(F.collect_list("pos").alias(drop))
+        .agg(F.collect_set("pos").alias(drop))  # each position once, however many rows share the text
     )
     split = keyed.join(found, [own, digest], "left").withColumn(
         lines, F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)

@@ -1,5 +1,6 @@
 from collections import Counter
 
+from clickweave.llm import line_dedup
 from clickweave.llm.line_dedup import dedup_lines
 
 from .helpers import AWKWARD, SPACE, awkward, empty
@@ -38,3 +39,14 @@ def test_clashing_columns_and_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = dedup_lines(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_rows_that_share_a_text_hold_each_position_once(spark, monkeypatch):
+    collected = []
+    for name in ("collect_list", "collect_set"):
+        real = getattr(line_dedup.F, name)
+        monkeypatch.setattr(line_dedup.F, name, lambda c, real=real, name=name: collected.append(name) or real(c))
+    rows = [(1, "same\nline")] * 40 + [(None, "same\nline")] * 3
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), min_docs=2).collect()
+    assert collected == ["collect_set"]  # a list would have one position a row and line
+    assert sorted((str(r.doc_id), r.text, r.n_lines, r.n_dropped) for r in got) == sorted((str(i), "", 2, 2) for i, _ in rows)
