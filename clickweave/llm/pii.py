@@ -1,9 +1,9 @@
 """Personal data by anchor expansion.
 
 One Aho-Corasick pass over a text finds anchors: at-signs, ``+`` before a
-digit, a dot before a digit, digits next to each other, schemes (``mailto:``,
-``tel:``, ``://``) and identifier cues (``iban``, ``ssn``, ...). A parser of the
-anchor's kind expands it to both sides, finds the boundaries and validates.
+digit, a dot before a digit, digits next to each other, ``://`` and cues of
+accounts and secrets (``iban``, ``password``, ...; behind an account cue only
+IBANs are read, no other account numbers and no SSNs). A parser of the anchor's kind expands it to both sides, finds the boundaries and validates.
 Text without anchors costs the automaton's pass only.
 
 Base kinds (code points, end exclusive; per kind leftmost, not overlapping):

@@ -70,3 +70,11 @@ def test_whole_table_and_awkward_rows(spark):
         for r in got:
             assert r.spans or not (r.n_email + r.n_ip + r.n_card + r.n_phone)
     assert len(AWKWARD) == find_pii(awkward(spark)).count() and find_pii(empty(spark)).count() == 0
+
+
+def test_the_anchors_named_exist():
+    from clickweave.llm import pii
+
+    anchors = automaton()
+    first = pii.__doc__.split("A parser of")[0]
+    assert all(name == "+" or anchors.exists(name) for name in re.findall("``(.+?)``", first))
