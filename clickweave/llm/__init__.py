@@ -10,6 +10,7 @@
   line_dedup      repeated-line removal (DataFrame functions only)
   ego_join        embedding near-duplicates by an epsilon grid order join
   pii             personal data found by anchor expansion
+  importance      target-distribution importance resampling, distributed radix sort
   queries         the registered opN_<name> queries and their DuckDB SQL
 
 Nothing outside this package imports it. Functions that run in Python workers

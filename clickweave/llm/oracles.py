@@ -102,6 +102,48 @@ SELECT doc_id, lang, source, unnest(range(0, whole::BIGINT + CASE WHEN start < r
 FROM planned
 """
 
+#: crc32 by its own table: 256 numbers from eight halving steps each, then one lookup a byte.
+_CRC = """
+crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i::BIGINT] || range(8),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+crcs AS (
+  SELECT w, xor(list_reduce([4294967295] || list_transform(range(strlen(w)),
+           lambda i: 16 * (strpos('0123456789ABCDEF', substr(hex(w), 2 * i + 1, 1)) - 1)
+                     + strpos('0123456789ABCDEF', substr(hex(w), 2 * i + 2, 1)) - 1),
+           lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS crc
+  FROM words_once, crc_table)"""
+
+LLM_ORACLES["op13_importance"] = rf"""
+WITH doc_words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+target_words AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+held AS (SELECT r, unnest(ws) AS w FROM doc_words),
+words_once AS (SELECT w FROM held UNION SELECT w FROM target_words),{_CRC},
+s AS (SELECT crc % 10000 AS b, count(*) AS n FROM held JOIN crcs USING (w) GROUP BY 1),
+t AS (SELECT crc % 10000 AS b, count(*) AS n FROM target_words JOIN crcs USING (w) GROUP BY 1),
+sums AS (SELECT coalesce((SELECT sum(n) FROM s), 0)::DOUBLE AS sa, coalesce((SELECT sum(n) FROM t), 0)::DOUBLE AS ta),
+gain AS (
+  SELECT s.b, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (sa + 10000) / ((s.n + 1)::DOUBLE * (ta + 10000))))::BIGINT AS g
+  FROM s LEFT JOIN t ON s.b = t.b, sums),
+weights AS (SELECT r, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM held JOIN crcs USING (w) JOIN gain ON gain.b = crc % 10000 GROUP BY r),
+scored AS (
+  SELECT doc_id, len(ws)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                     / 4294967296))))::BIGINT AS score
+  FROM doc_words LEFT JOIN weights USING (r)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         count(*) FILTER (WHERE n_features >= 20) OVER () AS enough FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= 10 * enough // 100 THEN place END AS rank
+FROM ranked
+"""
+
 
 def _add_mixing() -> None:
     from clickweave.llm.queries import MIX_DOMAINS, MIX_SEED, MIX_WEIGHTS

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from clickweave.llm.common import hashed_fold, table
 from clickweave.llm.ego_join import embedding_components
 from clickweave.llm.gru_lm import score_documents
+from clickweave.llm.importance import importance_resample
 from clickweave.llm.language_id import fit_dictionaries, identify_language
 from clickweave.llm.line_dedup import dedup_lines
 from clickweave.llm.mixing import mix_sources
@@ -95,6 +96,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance_resample(docs, table(spark, sf_dir, "benchmark").select("text"), percent=10, min_words=20, seed=2024)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_packing": op2_packing,
@@ -106,4 +112,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_pii": op10_pii,
+    "op13_importance": op13_importance,
 }
