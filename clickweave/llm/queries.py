@@ -18,6 +18,7 @@ from clickweave.llm.packing import pack_documents
 from clickweave.llm.pii import find_pii
 from clickweave.llm.simhash_blocks import compare_with_edits
 from clickweave.llm.simhash_pivots import simhash_components
+from clickweave.llm.token_align import align_tokens
 from clickweave.llm.toxicity import fit_toxicity, score_toxicity
 
 #: The production mixture. The documents have no domain, so the number in their source's name deals them to four.
@@ -43,10 +44,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "epoch", "lang", "source", "n_tokens", "leaf_budget")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,6 +97,11 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align_tokens(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return importance_resample(docs, table(spark, sf_dir, "benchmark").select("text"), percent=10, min_words=20, seed=2024)
@@ -112,5 +118,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_pii": op10_pii,
+    "op12_token_alignment": op12_token_alignment,
     "op13_importance": op13_importance,
 }
