@@ -10,6 +10,7 @@
   line_dedup      repeated-line removal (DataFrame functions only)
   ego_join        embedding near-duplicates by an epsilon grid order join
   pii             personal data found by anchor expansion
+  licenses        license scan by an exact set-similarity join (DataFrame functions only)
   token_align     tokens of two tokenizers aligned by byte offsets
   importance      target-distribution importance resampling, distributed radix sort
   queries         the registered opN_<name> queries and their DuckDB SQL

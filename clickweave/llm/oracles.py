@@ -145,6 +145,51 @@ FROM ranked
 """
 
 
+def licenses_sql(threshold: float, source: str = "documents") -> str:
+    """Every block of every text against every template, without filters."""
+    from clickweave.llm.licenses import NOTICES, PHRASES, templates_of
+
+    def words(values: list[str]) -> str:
+        return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+    templates = templates_of(PHRASES, NOTICES, threshold)
+    rows = ", ".join(f"({i}, '{t.label}', {words(t.tokens)}, {t.need}, {t.stride})" for i, t in enumerate(templates) if not t.phrase)
+    phrases = ", ".join(f"('{t.label}', {words(t.words)})" for t in templates if t.phrase)
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM {source}),
+phrases(label, ps) AS (VALUES {phrases}),
+places AS (
+  SELECT r, label, unnest(list_filter(range(len(ws)), lambda i: ws[i + 1 : i + len(ps)] = ps)) AS place FROM docs, phrases),
+base AS (
+  SELECT r, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY r),
+notices(id, label, ts, need, stride) AS (VALUES {rows}),
+blocks AS (
+  SELECT r, stride, start, list_distinct(ws[start + 1 : start + 2 * stride]) AS b
+  FROM (SELECT r, ws, stride, unnest(range(0, len(ws), stride)) AS start FROM docs, (SELECT DISTINCT stride FROM notices))),
+held AS (
+  SELECT r, b.stride, start, id, label, list_intersect(ts, b) AS h, len(ts) AS n FROM blocks b JOIN notices t ON b.stride = t.stride
+  WHERE len(list_intersect(ts, b)) >= need),
+own AS (
+  SELECT * FROM held x WHERE NOT EXISTS (
+    SELECT 1 FROM held u WHERE u.r = x.r AND u.stride = x.stride AND u.start = x.start AND len(u.h) > len(x.h)
+    AND list_has_all(u.h, x.h))),
+all_labels AS (SELECT r, label FROM own UNION SELECT r, label FROM places),
+named AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM all_labels GROUP BY r),
+best AS (SELECT r, max(len(h)::DOUBLE / n) AS score FROM own GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(score, 0)::DOUBLE END AS score
+FROM docs LEFT JOIN base USING (r) LEFT JOIN named USING (r) LEFT JOIN best USING (r)
+"""
+
+
+LLM_ORACLES["op11_licenses"] = licenses_sql(0.8)
+
+
 def _add_mixing() -> None:
     from clickweave.llm.queries import MIX_DOMAINS, MIX_SEED, MIX_WEIGHTS
 

@@ -12,6 +12,7 @@ from clickweave.llm.ego_join import embedding_components
 from clickweave.llm.gru_lm import score_documents
 from clickweave.llm.importance import importance_resample
 from clickweave.llm.language_id import fit_dictionaries, identify_language
+from clickweave.llm.licenses import scan_licenses
 from clickweave.llm.line_dedup import dedup_lines
 from clickweave.llm.mixing import mix_sources
 from clickweave.llm.packing import pack_documents
@@ -97,6 +98,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), threshold=0.8)
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return align_tokens(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
@@ -118,6 +123,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_pii": op10_pii,
+    "op11_licenses": op11_licenses,
     "op12_token_alignment": op12_token_alignment,
     "op13_importance": op13_importance,
 }
