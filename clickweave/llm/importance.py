@@ -24,8 +24,8 @@ from clickweave.session import work_path
 
 #: Distinct features that a worker remembers the bucket of before it starts anew.
 CACHE_FEATURES = 500_000
-#: Digits of the radix sort, and rows of a block (the unit that is counted and ranked in one task).
-DIGIT_BITS, BLOCK_BITS = 11, 16
+#: Digits of the radix sort, and places of a block (the unit that is counted and ranked in one task).
+DIGIT_BITS, BLOCK_BITS = 11, 12
 
 #: Every byte that is no word byte becomes a blank; A-Z become a-z. Bytes of other characters are word bytes.
 WORD_BYTES = bytes(
@@ -114,7 +114,7 @@ def radix_ranks(rows: DataFrame, keys: list[Column], rank: str = "rank") -> Data
 
     LSD radix sort. A key less its minimum is cut into digits of 11 bits, as
     many as its range needs. A pass is a stable counting sort: rows are counted
-    by digit and block (65,536 places in a row), the counts' prefix sums over
+    by digit and block (4,096 places in a row), the counts' prefix sums over
     (digit, block) tell where each of these groups begins, and a row's new
     place is that beginning plus its rank among the group's rows. So only rows
     of one block and digit are ever sorted together, however often a key
