@@ -36,6 +36,10 @@ PHONE = frozenset(digits + " ().-")
 UPPER_OR_DIGIT = frozenset(ascii_letters[26:] + digits)
 USER_INFO = frozenset(ascii_letters + digits + "._~%!$&'()*+,;=:-")
 
+ACCOUNT_GAP = frozenset(" :.#=\t")
+#: Places of an IBAN with its blanks: 34 characters in groups of four.
+IBAN_PLACES = 42
+
 #: Cues before a value that is private; fixed values.
 SECRET_CUES = ("password", "passwd", "pwd", "api_key", "apikey", "secret", "token")
 ACCOUNT_CUES = ("iban", "account", "konto", "compte", "cuenta")
@@ -147,20 +151,22 @@ def iban(text: str) -> bool:
 
 
 def _account(text: str, at: int) -> tuple[int, int] | None:
-    """An IBAN among the first places behind an account cue: groups of capitals and digits, one blank between."""
-    start = _run(text, at, frozenset(" :.#=\t"))
-    if start - at > 8:
+    """An IBAN among the first places behind an account cue: groups of capitals and digits, one blank between.
+    Only the places that an IBAN can take are looked at, however long the run is."""
+    near = text[at : at + 9 + IBAN_PLACES + 1]
+    start = _run(near, 0, ACCOUNT_GAP)
+    if start > 8:
         return None
-    end, ends = start, []
-    while end < len(text) and end - start < 42 and (stop := _run(text, end, UPPER_OR_DIGIT)) > end:
+    end, ends, most = start, [], start + IBAN_PLACES
+    while end < most and (stop := _run(near, end, UPPER_OR_DIGIT)) > end and stop <= most:
         ends.append(stop)
-        end = stop + 1 if stop < len(text) and text[stop] == " " else stop
-        if end == stop:
+        if stop >= len(near) or near[stop] != " ":
             break
+        end = stop + 1
     for stop in reversed(ends):
-        code = text[start:stop].replace(" ", "")
+        code = near[start:stop].replace(" ", "")
         if len(code) <= 34 and code.isascii() and iban(code):
-            return start, stop
+            return at + start, at + stop
     return None
 
 
@@ -185,7 +191,7 @@ def _secret(text: str, at: int) -> tuple[int, int] | None:
 def find_spans(text: str, anchors) -> list[Span]:
     """All spans of one text, by start and kind."""
     out: list[Span] = []
-    email_end = ip_end = card_end = 0
+    email_end = ip_end = card_end = secret_end = 0
     for last, (anchor, size) in anchors.iter(text):
         at = last + 1 - size
         if anchor == "number":
@@ -207,11 +213,16 @@ def find_spans(text: str, anchors) -> list[Span]:
             found = _phone(text, at)
             if found and 9 <= sum(c in DIGITS for c in text[found[0] : found[1]]) <= 15:
                 out.append((found[0], 3, found[1]))
-        else:
-            parser = {"account": _account, "scheme": _login, "secret": _secret}[anchor]
-            kind = KINDS.index({"account": "account", "scheme": "url_login", "secret": "secret"}[anchor])
-            if found := parser(text, last + 1):
-                out.append((found[0], kind, found[1]))
+        elif anchor == "secret":
+            # a cue inside a value belongs to the value, which is read once however many cues it holds
+            if at >= secret_end and (found := _secret(text, last + 1)):
+                secret_end = found[1]
+                out.append((found[0], KINDS.index("secret"), found[1]))
+        elif anchor == "account":
+            if found := _account(text, last + 1):
+                out.append((found[0], KINDS.index("account"), found[1]))
+        elif found := _login(text, last + 1):
+            out.append((found[0], KINDS.index("url_login"), found[1]))
     return sorted(set(out))
 
 
@@ -222,9 +233,9 @@ def show_spans(spans: list[Span]) -> str:
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row its id, n_email, n_ip, n_card, n_phone, base_sha256 and spans.
 
-    Null and empty texts have no spans. Each row is read for itself, whole,
-    however long; repeated rows and null ids are returned as they come. Other
-    columns are not read.
+    Null and empty texts have no spans. Each row is read for itself, whole, in
+    time that grows with its length; spans of one kind do not overlap. Repeated
+    rows and null ids are returned as they come. Other columns are not read.
     """
     id_type = docs.schema[id_col].dataType
     schema = f"`{id_col}` {id_type.simpleString()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"

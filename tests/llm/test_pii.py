@@ -78,3 +78,26 @@ def test_the_anchors_named_exist():
     anchors = automaton()
     first = pii.__doc__.split("A parser of")[0]
     assert all(name == "+" or anchors.exists(name) for name in re.findall("``(.+?)``", first))
+
+
+def test_long_texts_of_cues_take_linear_time():
+    import time
+
+    anchors = automaton()
+    for text in ("token=" * 200_000, "IBAN" * 300_000, "password:" * 150_000 + "'", "account " * 150_000, "secret = \"" * 100_000):
+        began = time.time()
+        spans = find_spans(text, anchors)
+        assert time.time() - began < 6, text[:10]
+        ends = {}
+        for start, kind, end in spans:
+            assert start >= ends.get(kind, 0)
+            ends[kind] = end
+    assert find_spans("token=" * 4000, anchors) == [(6, 6, 24_000)]
+
+
+def test_ibans_end_at_the_run():
+    anchors = automaton()
+    code = "DE89 3704 0044 0532 0130 00"
+    assert [(s, e) for s, k, e in find_spans(f"IBAN: {code} x", anchors) if k == 4] == [(6, 6 + len(code))]
+    assert [(s, e) for s, k, e in find_spans(f"iban {code.replace(' ', '')}", anchors) if k == 4] == [(5, 27)]
+    assert not [s for s in find_spans("iban " + code.replace(" ", "") + "A" * 60, anchors) if s[1] == 4]
