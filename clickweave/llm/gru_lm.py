@@ -24,6 +24,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -196,10 +197,22 @@ def backward(p: Params, grads: Params, read: np.ndarray, start: np.ndarray, kept
     grads["embed"][words[order][firsts]] += np.add.reduceat(d_x[order], firsts, axis=0)
 
 
-def lanes_of(texts: list[np.ndarray], width: int):
-    """Texts laid behind each other in at most ``width`` lanes of like length,
-    longest lane first: per step and lane what is read, what follows, whether
-    a text starts and which text it is (-1 behind a lane's end)."""
+class Lanes(NamedTuple):
+    """Texts laid behind each other in lanes of like length, longest lane
+    first. The lanes stand behind each other in flat arrays of one entry a
+    token, so memory follows the tokens, not the longest text times the lanes;
+    one more entry stands for the places behind a lane's end."""
+
+    first: np.ndarray  #: where each lane begins
+    length: np.ndarray  #: tokens of each lane
+    reads: np.ndarray
+    follows: np.ndarray
+    starts: np.ndarray  #: whether a text starts
+    text: np.ndarray  #: which text it is, -1 behind a lane's end
+
+
+def lanes_of(texts: list[np.ndarray], width: int, end_id: int) -> Lanes:
+    """``texts`` in at most ``width`` lanes; before its first word a text reads ``end_id``."""
     width = max(1, min(width, len(texts)))
     lanes: list[list[int]] = [[] for _ in range(width)]
     free = [(0, i) for i in range(width)]
@@ -207,34 +220,33 @@ def lanes_of(texts: list[np.ndarray], width: int):
         used, i = heapq.heappop(free)
         lanes[i].append(k)
         heapq.heappush(free, (used + len(texts[k]), i))
-    lengths = {i: used for used, i in free}
-    by_length = sorted(range(width), key=lambda i: (-lengths[i], i))
-    steps = lengths[by_length[0]]
-    follows = np.zeros((steps, width), np.int32)
-    reads = np.zeros((steps, width), np.int32)
-    starts = np.zeros((steps, width), bool)
-    text = np.full((steps, width), -1, np.int32)
-    for at, i in enumerate(by_length):
-        row = 0
-        for k in lanes[i]:
-            n = len(texts[k])
-            follows[row : row + n, at] = texts[k]
-            reads[row + 1 : row + n, at] = texts[k][:-1]  # the end of a text is read before the first word
-            starts[row, at] = True
-            text[row : row + n, at] = k
-            row += n
-    return reads, follows, starts, text
+    length = np.zeros(width, np.int64)
+    for used, i in free:
+        length[i] = used
+    order = sorted(range(width), key=lambda i: (-length[i], i))
+    length = length[order]
+    of = np.array([k for i in order for k in lanes[i]], np.int32)
+    sizes = np.array([len(texts[k]) for k in of], np.int64)
+    follows = np.concatenate([*(texts[k] for k in of), np.zeros(1, np.int32)]).astype(np.int32, copy=False)
+    text = np.append(np.repeat(of, sizes), np.int32(-1))
+    starts = np.zeros(len(text), bool)
+    starts[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    reads = np.roll(follows, 1)
+    reads[starts] = end_id
+    reads[-1] = 0
+    return Lanes(np.cumsum(length) - length, length, reads, follows, starts, text)
 
 
 def windows(texts: list[np.ndarray], width: int, steps: int, end_id: int):
-    """Windows of the lanes: reads, follows, starts, text, lanes still alive."""
-    reads, follows, starts, text = lanes_of(texts, width)
-    reads[starts] = end_id
-    alive = (text >= 0).sum(0)
-    for at in range(0, len(reads), steps):
-        n = int((alive > at).sum())
-        part = slice(at, at + steps), slice(0, n)
-        yield reads[part], follows[part], starts[part], text[part], n
+    """Windows of the lanes: reads, follows, starts, text, lanes still alive.
+    Each is gathered when its turn comes."""
+    lanes = lanes_of(texts, width, end_id)
+    behind = len(lanes.text) - 1
+    for at in range(0, int(lanes.length[0]), steps):
+        n = int((lanes.length > at).sum())
+        step = np.arange(at, min(at + steps, int(lanes.length[0])))[:, None]
+        where = np.where(step < lanes.length[:n], lanes.first[:n] + step, behind)
+        yield lanes.reads[where], lanes.follows[where], lanes.starts[where], lanes.text[where], n
 
 
 class Adam:

@@ -123,3 +123,29 @@ def test_units_and_vocabulary_are_parameters(spark):
 
     gains = [gain(units=1, vocabulary=65), gain(vocabulary=500), gain()]  # 500: classes of unlike size are filled up
     assert all(map(math.isfinite, gains)) and gains == sorted(set(gains))
+
+
+def test_memory_follows_the_tokens_not_the_longest_text():
+    import tracemalloc
+
+    texts = [np.zeros(1_000_000, np.int32)] + [np.ones(200, np.int32)] * 511
+    tracemalloc.start()
+    seen = sum(int((text >= 0).sum()) for _, _, _, text, _ in G.windows(texts, 512, 64, 0))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 1_000_000 + 511 * 200 and peak < 100e6
+
+
+def test_windows_read_each_text_in_order():
+    texts = [np.array([k * 10 + i + 1 for i in range(n)], np.int32) for k, n in enumerate((7, 1, 3, 3, 12, 2))]
+    for width in (1, 2, 4, 10):
+        read, follow = {}, {}
+        for reads, follows, starts, text, n in G.windows(texts, width, 5, 99):
+            assert reads.shape[1] == n
+            for at, k in np.ndenumerate(text):
+                if k >= 0:
+                    assert starts[at] == (k not in follow)
+                    read.setdefault(k, []).append(int(reads[at]))
+                    follow.setdefault(k, []).append(int(follows[at]))
+        assert {k: v for k, v in follow.items()} == {k: t.tolist() for k, t in enumerate(texts)}
+        assert {k: v for k, v in read.items()} == {k: [99, *t.tolist()[:-1]] for k, t in enumerate(texts)}
