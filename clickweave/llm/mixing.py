@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import fresh
 from clickweave.session import materialize
 
 SPACE = r"[ \t\n\x0B\f\r]+"
@@ -139,16 +138,23 @@ def mix_sources(
 
     Null levels are a branch of their own; null texts have no tokens; rows
     that repeat a doc_id follow each other in the order of their texts.
-    Columns named like those added are replaced. An empty table gives an
+    Columns named like those added are replaced; all others keep their names
+    and values, whatever they are called. An empty table gives an
     empty table.
     """
     keys = list(levels)
     added = {"epoch", "n_tokens", "leaf_budget"}
     columns = [c for c in docs.columns if c.lower() not in added]
-    names = {k: fresh(docs, f"level_{k}") for k in keys}
+    # the columns of docs go under numbers until the end, so none meets a name that is used in between
+    hidden = {c: f"column_{i}" for i, c in enumerate(columns)}
+    doc_id, text = (next(h for c, h in hidden.items() if c.lower() == name) for name in ("doc_id", "text"))
     size = word_count(F.col("text")) if tokens is None else tokens
-    base = docs.select(*columns, size.alias("n_tokens"), *(levels[k].cast("string").alias(names[k]) for k in keys))
-    path = list(names.values())
+    path = [f"level_{i}" for i in range(len(keys))]
+    base = docs.select(
+        *(F.col(f"`{c}`").alias(h) for c, h in hidden.items()),
+        size.alias("n_tokens"),
+        *(levels[k].cast("string").alias(p) for k, p in zip(keys, path)),
+    )
 
     leaves = base.groupBy(*path).agg(F.sum("n_tokens").alias("tokens"))
     plan = leaf_budgets(leaves, path, weights, total_tokens, max_epochs).filter("budget > 0")
@@ -157,7 +163,7 @@ def mix_sources(
         "leaf_plan",
     )
     def placed(rows: DataFrame, leaf: DataFrame) -> DataFrame:
-        epoch_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+        epoch_key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("whole").cast("string"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))))
         at = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)
         joined = rows.join(leaf, _same(rows, leaf, path)).drop(*(leaf[k] for k in path))
         return joined.withColumn("order_key", epoch_key).withColumn("bucket", F.floor(at))
@@ -171,13 +177,14 @@ def mix_sources(
         plan.join(ends, _same(plan, ends, path), "left").select(*(plan[c] for c in plan.columns), "edge", "before"), "leaf_edges"
     )
 
-    out = [*columns, "epoch", "n_tokens", F.col("budget").alias("leaf_budget")]
+    shown = [F.col(h).alias(c) for c, h in hidden.items()]
+    out = [*shown, "epoch", "n_tokens", F.col("budget").alias("leaf_budget")]
     planned = placed(base, plan)
     times = F.col("whole") + F.when(F.col("bucket") < F.col("edge"), 1).otherwise(0)
     taken = planned.withColumn("times", times).filter("times > 0")
     whole = taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
     last = planned.filter(F.col("bucket") == F.col("edge"))
-    upto = W.partitionBy(*path).orderBy("order_key", "doc_id", "text").rowsBetween(W.unboundedPreceding, -1)
+    upto = W.partitionBy(*path).orderBy("order_key", doc_id, text).rowsBetween(W.unboundedPreceding, -1)
     start = F.col("before") + F.coalesce(F.sum("n_tokens").over(upto), F.lit(0))
     edge = last.withColumn("start", start).filter("start < rest").withColumn("epoch", F.col("whole"))
     return whole.select(*out).unionByName(edge.select(*out))

@@ -79,3 +79,16 @@ def test_clashing_columns_and_empty_table(spark):
     assert "level_lang" in got.columns and got.filter("doc_id = 1").first().level_lang == "z"
     assert dict(got.dtypes)["epoch"] == "bigint"
     assert mix_sources(empty(spark), levels()).count() == 0
+
+
+def test_columns_with_internal_names_keep_their_values(spark):
+    names = "edge before tokens bucket order_key times start whole rest budget room weight held column_0 level_0 n".split()
+    docs = spark.createDataFrame([(i, f"a b c {i}", "en" if i % 3 else "de") for i in range(60)], "doc_id long, text string, lang string")
+    wide = docs.select("*", *(F.concat(F.lit(f"{n}:"), F.col("doc_id")).alias(n) for n in names))
+    levels = {"lang": F.col("lang")}
+    weights = {("en",): 1, ("de",): 3}
+    plain, got = (mix_sources(d, levels, weights, max_epochs=3) for d in (docs, wide))
+    assert got.columns == [*wide.columns, "epoch", "n_tokens", "leaf_budget"]
+    rows = got.collect()
+    assert all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in names)
+    assert sorted((r.doc_id, r.epoch) for r in rows) == sorted((r.doc_id, r.epoch) for r in plain.collect())
