@@ -166,11 +166,15 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -
     """``docs`` with one row of each group: the one whose doc_id names it.
 
     Among rows that repeat this doc_id, and in groups without any doc_id, the
-    row that sorts first by text and then by its other columns stays.
+    row that sorts first by text and then by its other columns stays. Null and
+    empty texts have fingerprint zero and form one group. Columns keep their
+    names and values, whatever they are called. An empty table gives an empty
+    table.
     """
     fp = fresh(docs, "fp")
     spark_rows = with_fingerprint(docs, fp, shingle=shingle)
     rows = materialize(spark_rows, "scored")
+    chosen_fp, chosen_id, copies = (fresh(rows, c) for c in ("chosen_fp", "chosen_id", "copies"))
     slim = rows.select("doc_id", F.col(fp).alias("fp"))
     groups = fingerprint_groups(slim, max_bits)
     named = groups.filter((F.col("first_id").eqNullSafe(F.col("component_id"))) & (F.col("component_id").isNotNull() | (F.col("fp") == F.col("root"))))
@@ -178,13 +182,13 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2) -
     chosen = materialize(
         named.alias("g")
         .join(many.alias("m"), (F.col("g.fp") == F.col("m.fp")) & F.col("g.first_id").eqNullSafe(F.col("m.doc_id")))
-        .select(F.col("g.fp").alias("_f"), F.col("g.first_id").alias("_d"), "n"),
+        .select(F.col("g.fp").alias(chosen_fp), F.col("g.first_id").alias(chosen_id), F.col("n").alias(copies)),
         "chosen",
     )
-    single = chosen.filter("n = 1")
-    match = (F.col(fp) == F.col("_f")) & F.col("doc_id").eqNullSafe(F.col("_d"))
+    single = chosen.filter(F.col(copies) == 1)
+    match = (F.col(fp) == F.col(chosen_fp)) & F.col("doc_id").eqNullSafe(F.col(chosen_id))
     kept = rows.join(single, match, "left_semi").drop(fp)
-    repeated = chosen.filter("n > 1")
+    repeated = chosen.filter(F.col(copies) > 1)
     if repeated.isEmpty():
         return kept
     others = [c for c in docs.columns if c not in ("doc_id", "text")]

@@ -69,3 +69,15 @@ def test_slices_of_a_long_text(monkeypatch):
     monkeypatch.setattr(simhash_pivots, "SLICE", 5)
     for r in AWKWARD[:3]:
         assert simhash(r[1] or "") == slow(r[1])
+
+
+def test_dropped_copies_leave_other_columns_alone(spark):
+    rows = [(1, "a b c d", "x"), (1, "a b c d", "w"), (2, "a b c d", "y"), (3, "other words stand here", "z"), (None, None, "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _f string")
+    names = "_d n fp root first_id component_id chosen_fp chosen_id copies rank cell distances".split()
+    wide = docs.select("*", *(F.col("_f").alias(n) for n in names))
+    kept = drop_near_duplicates(wide)
+    assert kept.columns == wide.columns
+    got = kept.collect()
+    assert sorted(r._f for r in got) == ["q", "w", "z"] and all(r[n] == r._f for r in got for n in names)
+    assert drop_near_duplicates(wide.limit(0)).count() == 0
