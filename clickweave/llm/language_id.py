@@ -1,7 +1,7 @@
 """Language identification by compression.
 
-Each language has a zstandard raw-content dictionary: the words most of its
-sampled documents share, most common last, where the compressor reaches them
+Each language has a zstandard raw-content dictionary: the words (of scripts
+without blanks: the pairs of characters) most of its sampled documents share, most common last, where the compressor reaches them
 most cheaply. A text is cut into windows, each window is compressed with every
 dictionary, and the language with the smallest total wins; a narrow margin
 rejects the document.
@@ -9,6 +9,7 @@ rejects the document.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -17,16 +18,33 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickweave.llm.common import fresh
+from clickweave.session import materialize
 
 #: Everything in ASCII but letters reads as a blank; other bytes stay.
 LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 NO_LANGUAGE = "und"
+#: Scripts written without blanks between words: Thai, Lao, Burmese, Khmer, kana and Han.
+NO_BLANKS = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
 
 
 def letters_only(text: str) -> bytes:
     return b" " + b" ".join(text.lower().encode().translate(LETTERS).split()) + b" "
 
 
+def pieces_of(text: str) -> set[str]:
+    """What a dictionary can hold of a text: its words, and of stretches of a
+    script without blanks every two characters that stand together."""
+    out: set[str] = set()
+    for word in letters_only(text).decode().split():
+        if word.isascii() or not NO_BLANKS.search(word):
+            out.add(word)
+            continue
+        out.update(filter(None, NO_BLANKS.split(word)))
+        for run in NO_BLANKS.findall(word):
+            out.update(run[i : i + 2] for i in range(max(1, len(run) - 1)))
+    return out
+
+
 def fit_dictionaries(
     labelled: DataFrame, docs_per_lang: int = 300, chars_per_doc: int = 8192, dict_bytes: int = 8192, min_docs: int = 2
 ) -> dict[str, bytes]:
@@ -42,10 +60,11 @@ def fit_dictionaries(
     half = F.greatest(F.lit(1), F.floor((F.char_length("text") - chars_per_doc) / 2)).cast("int")
     known = labelled.filter("text is not null and lang is not null")
     # Hashes below a language's share leave about twice as many documents as wanted, however many tasks read them.
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("held"))  # a row a language, like the result
+    # A row a language, like the result; written, so Spark knows its size before it chooses the join.
+    sizes = materialize(known.groupBy("lang").agg(F.count(F.lit(1)).alias("held")), "labelled")
     low = (draw / F.lit(float(1 << 63)) + 1) / 2 * F.col("held") <= 2 * docs_per_lang + 100
     sample = (
-        known.join(F.broadcast(sizes), "lang")
+        known.join(sizes, "lang")
         .filter(low)
         .withColumn("rank", F.row_number().over(rank))
         .filter(F.col("rank") <= docs_per_lang)
@@ -56,7 +75,7 @@ def fit_dictionaries(
         for batch in batches:
             langs, words = [], []
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                found = {w.decode() for w in letters_only(text.as_py()).split()}
+                found = pieces_of(text.as_py())
                 langs += [lang] * len(found)
                 words += found
             yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.string())], names=["lang", "word"])
@@ -71,10 +90,9 @@ def fit_dictionaries(
     for lang, words in by_lang.items():
         size, chosen = 1, []
         for w in words:
-            size += len(w.encode()) + 1
-            if size > dict_bytes:
-                break
-            chosen.append(w.encode())
+            if size + len(w.encode()) < dict_bytes:  # a long word that does not fit keeps no other out
+                size += len(w.encode()) + 1
+                chosen.append(w.encode())
         out[lang] = b" " + b"".join(w + b" " for w in reversed(chosen))
     return out
 

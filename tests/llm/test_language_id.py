@@ -31,3 +31,31 @@ def test_awkward_rows(spark):
     assert fit_dictionaries(empty(spark)) == {}
     assert {r.lang_pred for r in identify_language(awkward(spark), {}).collect()} == {NO_LANGUAGE}
     assert identify_language(empty(spark), dictionaries).count() == 0
+
+
+def test_scripts_without_blanks(spark):
+    import random
+
+    pick = random.Random(3)
+    signs = {
+        "zh": "的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可她里后",
+        "ja": "のにはをたがでてとしれさあるいもするからなことして日本人年大国学生会社長時間",
+        "th": "กขคงจฉชซญดตถทธนบปผฝพฟมยรลวศสหอะาิีุูเแโใไ",
+        "en": None,
+    }
+    words = {lang: ["".join(pick.choices(s, k=pick.randrange(1, 4))) for _ in range(120)] if s else
+             ["".join(pick.choices("abcdefghijklmnoprstuvw", k=pick.randrange(2, 8))) for _ in range(120)] for lang, s in signs.items()}
+    rows = []
+    for i in range(240):
+        lang = sorted(signs)[i % 4]
+        blank = " " if lang == "en" else ""
+        rows.append((i, "。".join(blank.join(pick.choices(words[lang], k=25)) for _ in range(4)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    judged = identify_language(docs.filter("doc_id >= 160"), fit_dictionaries(docs.filter("doc_id < 160")))
+    assert judged.filter("lang_pred = lang and accepted").count() == 80
+
+
+def test_a_word_that_does_not_fit_keeps_no_other_out(spark):
+    rows = [(i, "x" * 9000 + " short words stay here", "en") for i in range(5)]
+    made = fit_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"), chars_per_doc=10_000)
+    assert made["en"].split() == [b"words", b"stay", b"short", b"here"]
