@@ -11,6 +11,7 @@ this offset of these sequences; pieces then look up their own rank.
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -29,12 +30,34 @@ from clickweave.session import materialize
 CACHE_WORDS = 300_000
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
+#: The normalizer and pre-tokenizer for which words can be encoded one by one.
+WORD_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+WORD_CUT = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
 
 class WordIds(dict):
     """Token ids (little-endian uint32 bytes) of words cut at ASCII white space.
 
-    The tokenizer drops white space and never merges across it, so a text's
-    ids are its words' ids in a row. Words of plain letters, digits and
+    For tokenizers that drop white space and never merge across it (``fits``
+    tells), so a text's ids are its words' ids in a row. Words of plain letters, digits and
     punctuation are cut by its own pattern and go straight to its BPE model;
     any others (rare scripts, special tokens) take the whole encoder.
     """
@@ -76,6 +99,34 @@ class WordIds(dict):
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, text.encode().split()))
 
+    @staticmethod
+    def fits(path: str) -> bool:
+        """Whether the file cuts, lower-cases and composes texts the way that this class does."""
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = spec["model"]
+        plain = not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        marks = all(a["special"] and a["content"].startswith("<|") for a in spec["added_tokens"])
+        steps = (spec.get("normalizer"), spec.get("pre_tokenizer"))
+        return model["type"] == "BPE" and plain and marks and steps == (WORD_NORMALIZER, WORD_CUT)
+
+
+class TextIds:
+    """Token ids of whole texts by any tokenizer file."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def ids_by(path: str) -> WordIds | TextIds:
+    """The word cache where the file is known to allow it, the tokenizer itself for any other."""
+    return WordIds(path) if WordIds.fits(path) else TextIds(path)
+
 
 def cut_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_id: int = 1) -> DataFrame:
     """One row per piece: every document's ids with ``end_id`` behind them, cut
@@ -84,7 +135,7 @@ def cut_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 2048, end_i
     schema = pa.schema([(c.split()[0], pa.int64()) for c in PIECE_SCHEMA.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = per_worker(("word_ids", tokenizer), lambda: WordIds(tokenizer))
+        words = per_worker(("word_ids", tokenizer), lambda: ids_by(tokenizer))
         for batch in batches:
             ids, out = batch.column(0).to_pylist(), []
             for doc_id, text in zip(ids, batch.column(1)):

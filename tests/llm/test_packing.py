@@ -102,3 +102,14 @@ def test_histogram_packing():
 
     whole()
     assert len(shortest_pack_first({1: 10**12, 2047: 10**12, 1024: 10**9}, 2048)) < 10_000
+
+
+def test_any_other_tokenizer_is_used_itself(spark):
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path("byte_bpe_50k.json")
+    assert WordIds.fits(tokenizer_path()) and not WordIds.fits(path)
+    other = Tokenizer.from_file(path)
+    rows = [r for r in pack_documents(awkward(spark), path, max_tokens=10**6).collect()]
+    want = sorted(zlib.crc32(np.array(ids_of(other, r[1]), "<u4").tobytes()) for r in AWKWARD)
+    assert sorted(r.ids_crc32 for r in rows) == want
