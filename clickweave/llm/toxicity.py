@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm.common import fresh
 from clickweave.llm.language_id import letters_only
+from clickweave.session import materialize
 
 #: Window lengths in words, and savings in bytes from which a window counts as toxic, to choose from.
 WINDOW_WORDS = (4, 12)
@@ -104,8 +105,8 @@ def fit_toxicity(
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     The sample is bounded: of each label the documents first by the hash of
-    their id, ``toxic_docs`` and ``ordinary_docs`` of them, whole. Null labels
-    and null ids teach nothing. A toxic word is one that at least ``min_docs``
+    their id, ``toxic_docs`` and ``ordinary_docs`` of them, whole; of rows that
+    repeat an id the text that sorts first. Null labels and null ids teach nothing. A toxic word is one that at least ``min_docs``
     toxic documents have, behind different words (so copies of one passage
     count little), and ordinary documents hardly have: a log-likelihood ratio of
     at least ``min_evidence`` and a rate over eight times theirs. Of ``window_words`` and
@@ -113,14 +114,19 @@ def fit_toxicity(
     parts of the sample it was not calibrated on (ties: the first). Without documents of
     both labels every score is 0.
     """
-    rank = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    limit = F.when(F.col("toxic") == 1, toxic_docs).otherwise(ordinary_docs)
-    chosen = (
-        labels.filter("doc_id is not null and toxic in (0, 1)").select("doc_id", "toxic").distinct()
-        .withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= max(toxic_docs, ordinary_docs))
-        .filter(F.col("rank") <= limit).select("doc_id", "toxic")
-    )
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    limits = {1: toxic_docs, 0: ordinary_docs}
+    labelled = labels.filter("doc_id is not null and toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int")).distinct()
+    held = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    # hashes below a label's share leave about twice as many ids as wanted, whatever the table holds
+    draw = F.xxhash64("doc_id")
+    share = (draw / F.lit(float(1 << 63)) + 1) / 2
+    low = [(F.col("toxic") == k) & (share * held.get(k, 0) <= 2 * limit + 100) for k, limit in limits.items()]
+    rank = F.row_number().over(W.partitionBy("toxic").orderBy(draw, "doc_id"))
+    limit = F.when(F.col("toxic") == 1, limits[1]).otherwise(limits[0])
+    chosen = labelled.filter(low[0] | low[1]).withColumn("rank", rank).filter(F.col("rank") <= limit).select("doc_id", "toxic")
+    # one text an id, however many rows repeat it
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    sample = materialize(sample.select("toxic", "text"), "toxicity_sample")
 
     def first_uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

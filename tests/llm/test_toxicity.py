@@ -50,3 +50,16 @@ def test_every_language_group_is_found(spark):
     print(model.window_words, model.thresholds, figures)
     for auc, recall, marked in figures.values():
         assert auc > 0.88 and recall > 0.5 and marked < 0.05, figures
+
+
+def test_one_id_on_a_third_of_the_rows_stays_one_text(spark, monkeypatch):
+    from clickweave.llm import toxicity
+
+    rows = [(5, f"insult{i % 7} same words")  for i in range(6000)] + [(i, f"plain words here {i % 50}") for i in range(10, 12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(5, 1), (6, 1)] + [(i, i % 2) for i in range(10, 5000)], "doc_id long, toxic int")
+    seen = []
+    kept = toxicity.materialize
+    monkeypatch.setattr(toxicity, "materialize", lambda df, name: seen.append(kept(df, name)) or seen[-1])
+    fit_toxicity(docs, labels.filter("doc_id = 5 or toxic = 0"), toxic_docs=2, ordinary_docs=3)
+    assert seen[0].count() == 4
