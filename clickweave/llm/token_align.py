@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -25,7 +26,7 @@ from clickweave.llm.common import per_worker
 from clickweave.session import work_path
 
 #: Characters, or links, of the texts that are worked on at once; a longer text goes alone.
-CHUNK = 1_000_000
+CHUNK = 250_000
 #: Distinct pairs that a worker counts before it hands the counts on.
 HELD_PAIRS = 1_000_000
 #: Pairs whose counts are sent to the workers (the most frequent ones; any others meet theirs in a join).
@@ -53,36 +54,35 @@ class ByteLevel:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
         to_byte = byte_of_char()
-        plain = self.tokenizer.get_vocab(with_added_tokens=False)
-        decoded = {i: bytes(map(to_byte.__getitem__, t)) if t in plain and set(t) <= to_byte.keys() else t.encode() for t, i in vocabulary.items()}
+        special = {a["content"]: a["id"] for a in spec["added_tokens"]}
+        decoded = {i: t.encode() for t, i in special.items()}
+        entries = {t: i for t, i in spec["model"]["vocab"].items() if t not in special}
+        for t, i in entries.items():
+            decoded[i] = bytes(map(to_byte.__getitem__, t)) if to_byte.keys() >= set(t) else t.encode()
         self.tokens = [decoded.get(i, b"") for i in range(max(decoded) + 1)]
-        self.ranks = self._as_ranks(path, decoded)
+        self.ranks = self._as_ranks(spec, entries, {decoded[i]: i for i in entries.values()})
+        if self.ranks is not None:
+            self.tokenizer = None  # its memory is free for the texts
 
-    def _as_ranks(self, path: str, decoded: dict[int, bytes]) -> Any:
+    def _as_ranks(self, spec: dict, entries: dict[str, int], ranks: dict[bytes, int]) -> Any:
         """The same encoder by merge ranks, several times faster; None unless it is provably the same: the file
         has nothing but the known cut, ids in the order of merges, and every entry is reached by merging (then two
         neighbours that make up an entry are always merged)."""
         import tiktoken
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
         cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
         known = cut.get("type") == "ByteLevel" and cut.get("use_regex", True) and not cut.get("add_prefix_space")
         extras = [spec.get("normalizer"), model.get("dropout"), model.get("continuing_subword_prefix"), model.get("end_of_word_suffix")]
-        if not known or any(extras) or model.get("type") != "BPE" or any(not a["special"] for a in spec["added_tokens"]):
+        if not known or any(extras) or model.get("type") != "BPE" or not all(a["special"] for a in spec["added_tokens"]):
             return None
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         made = [model["vocab"][a + b] for a, b in merges]
-        specials = {i for t, i in model["vocab"].items() if t in {a["content"] for a in spec["added_tokens"]}}
-        entries = {t: i for t, i in model["vocab"].items() if i not in specials}
-        reached = all([x.id for x in self.tokenizer.model.tokenize(t)] == [i] for t, i in entries.items())
-        if made != sorted(set(made)) or not reached or len({decoded[i] for i in entries.values()}) != len(entries):
-            return None
-        if any(bytes([b]) not in {decoded[i] for i in entries.values()} for b in range(256)):
+        whole = len(ranks) == len(entries) and all(bytes([b]) in ranks for b in range(256))
+        if not whole or made != sorted(set(made)) or any([x.id for x in self.tokenizer.model.tokenize(t)] != [i] for t, i in entries.items()):
             return None
-        ranks = {decoded[i]: i for i in entries.values()}
         return tiktoken.Encoding("ranks", pat_str=BYTE_LEVEL_CUT, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -110,7 +110,7 @@ class Pieces:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = self.model.encode(texts, num_threads=1)
         counts = np.array([len(i) for i in ids], np.int64)
-        return np.fromiter((x for i in ids for x in i), np.int32, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(ids), np.int32, int(counts.sum())), counts
 
 
 class Aligner:
