@@ -22,20 +22,22 @@ out of the data and returned by :func:`quarantine_events` with a reason:
   odd_views         (every_second only) a ``views`` list of odd length
 
 Only the fields that a record uses are judged: with ``views`` present, its
-``click`` is not looked at. ``views`` elements and ``click`` are therefore read
-as JSON text first and parsed where they are used.
+``click`` is not looked at. Every line is parsed once, with the declared types;
+lines that do not fit them are read again, ``views`` elements and ``click`` as
+JSON text that is parsed where it is used.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweave.functions.codes import CLICK_EVENT_CODES, UNKNOWN_EVENT_CODE, VIEW_EVENT_CODE
-from clickweave.functions.columns import evaluate_once
 from clickweave.operators.parse import not_an_object, platform_of
-from clickweave.sources.schemas import CLICK, CORRUPT, VIEW_ITEM
+from clickweave.sources.schemas import CLICK, CORRUPT, VIEW_ITEM, raw_log_schema
 
 EVENT_COLUMNS = ("userid", "docid", "event", "date", "platform")
 
@@ -75,33 +77,65 @@ def _with_corrupt(fields: T.StructType) -> T.StructType:
     return T.StructType([*fields.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+_TEXT_FIELDS = f"userid string, appid string, views array<string>, click string, {CORRUPT} string"
+
+
+def _typed_record(r: Column) -> Column:
+    """The fields that :func:`_reason` reads, of a line that fits the declared types."""
+    return F.struct(
+        r["userid"].alias("userid"), r["appid"].alias("appid"), r["views"].alias("views"), r["click"].alias("click"),
+        F.lit(False).alias("_bad"), F.lit(False).alias("_not_object"), r["click"].isNotNull().alias("_has_click"),
+        F.size(r["views"]).alias("_n_views"), F.lit(False).alias("_bad_click"),
+    )
+
+
+def _text_record(r: Column) -> Column:
+    """The same fields of any other line; ``r`` holds ``views`` elements and ``click`` as JSON text.
+
+    ``views`` keeps the elements before the first one that is no object; the
+    click of a record with views is not parsed.
+    """
+    corrupt = r[CORRUPT]
+    views = F.transform(r["views"], lambda v: F.from_json(v, _with_corrupt(VIEW_ITEM), _PERMISSIVE))
+    click = F.when(r["views"].isNull(), F.from_json(r["click"], _with_corrupt(CLICK), _PERMISSIVE))
+    item = VIEW_ITEM.simpleString()
+
+    def judged(v: Column) -> Column:
+        at = F.array_position(F.transform(v, lambda x: x.isNull() | x[CORRUPT].isNotNull()), F.lit(True))
+        whole = F.transform(v, lambda x: F.struct(*(x[c].alias(c) for c in VIEW_ITEM.fieldNames())))
+        return F.when(at > 0, F.slice(whole, F.lit(1), (at - 1).cast("int"))).otherwise(whole).cast(f"array<{item}>")
+
+    def record(c: Column) -> Column:
+        return F.struct(
+            r["userid"].alias("userid"), r["appid"].alias("appid"), _let(views, judged).alias("views"),
+            F.when(c.isNotNull(), F.struct(*(c[f].alias(f) for f in CLICK.fieldNames()))).alias("click"),
+            (r.isNull() | corrupt.isNotNull()).alias("_bad"), not_an_object(r, corrupt).alias("_not_object"),
+            r["click"].isNotNull().alias("_has_click"), F.size(r["views"]).alias("_n_views"),
+            (c.isNull() | c[CORRUPT].isNotNull()).alias("_bad_click"),
+        )
+
+    return _let(click, record)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _parse_events(lines: DataFrame) -> DataFrame:
     """value, userid, appid, views, click and the flags that :func:`_reason` reads.
 
-    ``views`` holds the elements before the first one that is no object.
+    One ``explode`` of a one-element array (see :func:`evaluate_once`): a good
+    line is parsed once, and only a line that does not fit goes on to the text form.
     """
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    outer = "userid string, appid string, views array<string>, click string, " + f"{CORRUPT} string"
-    first = lines.select("value", evaluate_once(F.from_json("value", outer, options)).alias("r"))
-    corrupt = F.col(f"r.{CORRUPT}")
-    bad = F.col("r").isNull() | corrupt.isNotNull()
-    item = _with_corrupt(VIEW_ITEM)
-    parsed = F.transform("r.views", lambda v: F.from_json(v, item, options))
-    # the click of a record with views is not parsed at all
-    click = F.when(F.col("r.views").isNull(), F.from_json("r.click", _with_corrupt(CLICK), options))
-    inner = first.select(
-        "value", "r.userid", "r.appid", bad.alias("_bad"), not_an_object(F.col("r"), corrupt).alias("_not_object"),
-        F.col("r.click").isNotNull().alias("_has_click"), F.size("r.views").alias("_n_views"),
-        evaluate_once(F.struct(parsed.alias("views"), click.alias("click"))).alias("p"),
-    )
-    wrong = F.transform("p.views", lambda v: v.isNull() | v[CORRUPT].isNotNull())
-    at = F.array_position(wrong, F.lit(True))
-    views = F.when(at > 0, F.slice("p.views", F.lit(1), (at - 1).cast("int"))).otherwise(F.col("p.views"))
-    bad_click = F.col("p.click").isNull() | F.col(f"p.click.{CORRUPT}").isNotNull()
-    return inner.select(
-        "value", "userid", "appid", views.alias("views"), "p.click", "_bad", "_not_object", "_has_click", "_n_views",
-        bad_click.alias("_bad_click"),
-    )
+
+    def record(r: Column) -> Column:
+        odd = r.isNull() | r[CORRUPT].isNotNull() | F.coalesce(F.exists(r["views"], lambda v: v.isNull()), F.lit(False))
+        return F.when(odd, _let(F.from_json("value", _TEXT_FIELDS, _PERMISSIVE), _text_record)).otherwise(_typed_record(r))
+
+    typed = F.from_json("value", raw_log_schema("userid", "appid", "views", "click"), _PERMISSIVE)
+    return lines.select("value", F.explode(F.transform(F.array(typed), record)).alias("p")).select("value", "p.*")
 
 
 def parse_with_reason(lines: DataFrame, every_second: bool = False) -> DataFrame:

@@ -164,6 +164,23 @@ def doc_record(documents: DataFrame) -> DataFrame:
     return documents.select(F.to_json(rec).alias("value"), day.alias("day"))
 
 
+def doc_versions(documents: DataFrame) -> DataFrame:
+    """documents -> (value, day): every document on one of 100 days, every third one again 100 days later, with
+    a longer text if its id is even and an empty one if it is odd."""
+    did = F.col("doc_id")
+    again = documents.filter(did % 3 == 0).withColumn(
+        "text", F.when(did % 2 == 0, F.concat("text", F.lit(" again"))).otherwise(F.lit(""))
+    )
+    first_day = F.lit(DOC_DAY0).cast("date")
+    both = [
+        doc_record(d).select("value", F.get_json_object("value", "$._id").cast("long").alias("id")).select(
+            "value", F.date_format(F.date_add(first_day, (F.coalesce("id", F.lit(0)) % 100).cast("int") + later), "yyyy-MM-dd").alias("day")
+        )
+        for d, later in ((documents, 0), (again, 100))
+    ]
+    return both[0].unionByName(both[1])
+
+
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc_record(load(spark, sf_dir, "documents")).select("value")
 

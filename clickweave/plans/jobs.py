@@ -168,27 +168,39 @@ def enrich_job(
     make_scorer: Callable | None = None,
     on_error: str = "batch",
     rejects: str | None = None,
+    prefer: str = "newest",
+    in_flight: int = 1,
+    timeout: float | None = None,
 ) -> DataFrame:
     """Score the documents of days ``start..end`` and write a new feature-table snapshot.
 
     ``mode="update"`` sets features of ``_id``s already in ``store`` (no insert);
     ``mode="insert"`` appends ``_id``s absent from ``store``. Only documents the
-    scorer replied to (``status = "ok"``) reach the store, one row per ``_id``;
-    after a failure the stored features stay as they were. ``scorer`` or
-    ``make_scorer`` and ``on_error`` as in :func:`score_batches`; ``rejects``
-    names a path for the lines that cannot be scored, with their reason.
-    Returns the per-doc enrichment (with ``status``) for reporting.
+    scorer replied to (``status = "ok"``) reach the store, one row per ``_id``:
+    of an ``_id`` in several days that of the ``"newest"`` or ``"oldest"`` day
+    (``prefer``), within a day that of the file whose path sorts last, within a
+    file the greatest features. After a failure the stored features stay as
+    they were. ``scorer`` or ``make_scorer``, ``on_error``, ``in_flight`` and
+    ``timeout`` as in :func:`score_batches`; ``rejects`` names a path for the
+    lines that cannot be scored, with their reason. Returns the per-doc
+    enrichment (with ``status``, ``day`` and ``file``) for reporting.
     """
-    records = doc_records(scan_doc_days(spark, roots, start, end, day_dir, depth, allow_empty=False))
+    if prefer not in ("newest", "oldest"):
+        raise ValueError("prefer must be 'newest' or 'oldest'")
+    lines = scan_doc_days(spark, roots, start, end, day_dir, depth, allow_empty=False, with_origin=True)
+    records = doc_records(lines, keep=("day", "file"))
     if rejects is not None:
         write_tsv(doc_rejects(records), rejects, columns=("reason", "raw"))
     # written once: the scorer (possibly a remote service) runs exactly once per
     # document, for the snapshot and for whatever the caller does with the result
     enriched = doc_enrich(
-        doc_filter(records), scorer, batch_size=batch_size, make_scorer=make_scorer, on_error=on_error
-    )
+        doc_filter(records), scorer, batch_size=batch_size, make_scorer=make_scorer, on_error=on_error,
+        in_flight=in_flight, timeout=timeout,
+    )
     enriched = materialize(enriched, "enriched")
-    feats = scored_features(enriched)
-    snap = update_matched(store, feats) if mode == "update" else insert_new(store, feats)
+    age = F.datediff("day", F.lit("1970-01-01")) * (1 if prefer == "newest" else -1)
+    order = ("__age", "file")
+    feats = scored_features(enriched.withColumn("__age", age), keep=order)
+    snap = update_matched(store, feats, order=order) if mode == "update" else insert_new(store, feats, order=order)
     write_snapshot(snap, output)
     return enriched

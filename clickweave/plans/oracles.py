@@ -319,3 +319,20 @@ ORACLES["event_weights_floor"] = ORACLES["event_weights"].replace("2017-09-29 00
 ORACLES["click_extract_sorted"] = ORACLES["click_extract"]
 ORACLES["train_rows_shuffled"] = ORACLES["train_rows"]
 ORACLES["scan_events_tsv"] = ORACLES["event_weights"]
+
+# every third document stands again on a later day, with a longer or an empty text
+ORACLES["features_update_days"] = f"""WITH {DOCS}, {SCORED},
+sized AS (
+  SELECT s._id, prefer, CASE WHEN prefer = 'newest' AND CAST(s._id AS BIGINT) % 3 = 0
+      THEN CASE WHEN CAST(s._id AS BIGINT) % 2 = 0 THEN length(s.text || ' again') ELSE 0 END ELSE length(s.text) END AS n
+  FROM scored s, (SELECT unnest(['newest', 'oldest']) AS prefer) WHERE s.status = 'ok')
+SELECT d._id, d.ctype, p.prefer, n IS NOT NULL AS updated,
+       CASE WHEN n IS NULL THEN '[["old"],[]]' ELSE '[["chars"],["' || o.lang || '"]]' END AS htc_key,
+       CASE WHEN n IS NULL THEN '[[' || CAST(CAST(d._id AS DOUBLE) AS VARCHAR) || '],[]]'
+            ELSE '[[' || CAST(CAST(n AS DOUBLE) AS VARCHAR) || '],[' || CAST(n / 2 AS VARCHAR) || ']]' END AS htc_value
+FROM docs d JOIN documents o ON o.doc_id = d.doc_id CROSS JOIN (SELECT unnest(['newest', 'oldest']) AS prefer) p
+LEFT JOIN sized z ON z._id = d._id AND z.prefer = p.prefer
+WHERE d._id IS NOT NULL"""
+ORACLES["doc_score_stalls"] = ORACLES["doc_score"]
+ORACLES["doc_score_batches"] = f"""WITH {DOCS}, {SCORED}
+SELECT count(*) AS n, least(count(*), 10) AS largest_batch FROM scored"""

@@ -22,7 +22,9 @@ from clickweave.operators import (
 )
 from clickweave.operators.training import removed_counts, user_rules
 from clickweave.plans import adapter as A
+from clickweave.plans import jobs
 from clickweave.plans.materialize import materialized
+from clickweave.session import work_path
 from clickweave.sinks import compact_files, write_text, write_tsv
 from clickweave.sources import hour_range_scan, read_text_lines, scan_doc_days, scan_events_tsv, union_logs
 from clickweave.sources.events_tsv import prepare_training_events, tsv_reject_reason
@@ -42,6 +44,9 @@ RANGE_A = ("2024-01-03-22", "2024-01-06-01")
 UNION_A = ("2024-01-02-00", "2024-01-04-23")
 UNION_B = ("2024-01-04-00", "2024-01-05-12")
 DOC_SPAN = ("2017-06-01", "2018-03-08")
+VERSION_SPAN = ("2017-06-01", "2017-12-31")
+#: Time limit of a scorer's call: far above what a call takes, so that only stalled ones reach it.
+STALL_SECONDS = 5.0
 HIVE_DAY, HIVE_HOUR = "day={day}", "hour={hour}"
 
 
@@ -389,6 +394,63 @@ def q_doc_score_counts(spark, sf):
     return status_counts(_scored(spark, sf))
 
 
+def _doc_versions_tree(spark, sf):
+    def write(path):
+        rec = A.doc_versions(A.load(spark, sf, "documents")).hint("rebalance", "day")
+        write_text(rec, path, compression="gzip", partition_by=("day",), max_records_per_file=LINES_PER_FILE)
+
+    return materialized(spark, sf, "doc-versions", ("documents",), write)
+
+
+def q_features_update_days(spark, sf):
+    """The enrichment job over a tree in which many documents stand on two days, once for either order of days."""
+    tree = _doc_versions_tree(spark, sf)
+    store = _old_features(_docs(spark, sf).filter(F.col("_id").isNotNull()).select("_id", "ctype"))
+    out = None
+    for prefer in ("newest", "oldest"):
+        path = work_path(spark, f"store-{prefer}", unique=True)
+        jobs.enrich_job(spark, [tree], *VERSION_SPAN, None, store, path, day_dir="day={day}", depth=1,
+                        make_scorer=make_length_scorer, on_error="line", prefer=prefer)
+        snapshot = spark.read.parquet(path).withColumn("prefer", F.lit(prefer))
+        out = snapshot if out is None else out.unionByName(snapshot)
+    return out.select("_id", "ctype", *_json_features(out), "updated", "prefer")
+
+
+def make_stalling_scorer():
+    """A scorer that never returns (an hour) when a batch holds an id that ends in 77."""
+    import time
+
+    plain = make_length_scorer()
+
+    def score(lines):
+        if any('77","ctype"' in line or '77","lang"' in line for line in lines):
+            time.sleep(3600)
+        return plain(lines)
+
+    return score
+
+
+def q_doc_score_stalls(spark, sf):
+    """Calls in flight with a time limit: only the documents whose own call stalls fail, whatever their batch."""
+    e = doc_enrich(doc_filter(_docs(spark, sf)), make_scorer=make_stalling_scorer, batch_size=20, on_error="line",
+                   in_flight=8, timeout=STALL_SECONDS)
+    return e.select("_id", "ctype", *_json_features(e), "status")
+
+
+def make_batch_size_scorer():
+    """A scorer that replies with the size of the batch it was called with."""
+    def score(lines):
+        return [{"htc_key": [["batch"], []], "htc_value": [[float(len(lines))], []]}] * len(lines)
+
+    return score
+
+
+def q_doc_score_batches(spark, sf):
+    """How many documents were scored, and the largest batch that the scorer was given."""
+    e = doc_enrich(doc_filter(_docs(spark, sf)), make_scorer=make_batch_size_scorer, batch_size=10)
+    return e.agg(F.count(F.lit(1)).alias("n"), F.max(F.col("htc_value")[0][0]).cast("long").alias("largest_batch"))
+
+
 def q_events_tsv_rejects(spark, sf):
     """Why lines of the whole normalised log are no training events after the late floor."""
     lines = spark.read.text(_events_tsv_dir(spark, sf))
@@ -484,6 +546,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "features_insert_new": q_features_insert_new,
     "doc_score": q_doc_score,
     "doc_score_counts": q_doc_score_counts,
+    "features_update_days": q_features_update_days,
+    "doc_score_stalls": q_doc_score_stalls,
+    "doc_score_batches": q_doc_score_batches,
     "events_tsv_rejects": q_events_tsv_rejects,
     "fn_string": q_fn_string,
     "fn_time": q_fn_time,

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickweave.functions.time import days_in_range
 from clickweave.sources.raw_log import read_text_lines
@@ -47,7 +49,21 @@ def scan_doc_days(
     day_dir: str = "{day}",
     depth: int = 2,
     allow_empty: bool = True,
+    with_origin: bool = False,
 ) -> DataFrame:
-    """Document JSON lines of every day in ``start..end`` (order of days is irrelevant)."""
+    """Document JSON lines of every day in ``start..end``.
+
+    ``with_origin`` adds ``day`` (a date, read from the day directory) and
+    ``file`` (the path below it), for callers to whom the order of days matters.
+    """
     glob = doc_day_glob(roots, start, end, day_dir, depth)
-    return read_text_lines(spark, glob, gz_only=False, allow_empty=allow_empty)
+    lines = read_text_lines(spark, glob, gz_only=False, allow_empty=allow_empty, with_path=with_origin)
+    if not with_origin:
+        return lines
+    before, after = (re.escape(x) for x in day_dir.split("{day}"))
+    place = f"/{before}([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}){after}((?:/[^/]+){{{depth}}})$"
+    return lines.select(
+        "value",
+        F.to_date(F.regexp_extract("path", place, 1)).alias("day"),
+        F.regexp_extract("path", place, 2).alias("file"),
+    )

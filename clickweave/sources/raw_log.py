@@ -24,8 +24,8 @@ from clickweave.functions.time import hours_in_range
 TEXT_SCHEMA = T.StructType([T.StructField("value", T.StringType())])
 
 
-def _empty(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], TEXT_SCHEMA)
+def _empty(spark: SparkSession, with_path: bool = False) -> DataFrame:
+    return spark.createDataFrame([], "value string, path string" if with_path else TEXT_SCHEMA)
 
 
 def _matches(spark: SparkSession, pattern: str) -> bool:
@@ -62,8 +62,9 @@ def read_text_lines(
     gz_only: bool = False,
     skip_blank: bool = True,
     allow_empty: bool = True,
+    with_path: bool = False,
 ) -> DataFrame:
-    """``value`` string per text line of every file matched by ``paths`` (globs ok).
+    """``value`` string (``with_path``: and ``path``, the file's) per text line of every file matched by ``paths`` (globs ok).
 
     ``gz_only`` keeps only ``*.gz`` files (decoded transparently by extension).
     ``allow_empty`` turns a glob with no match into an empty result; without it
@@ -80,14 +81,14 @@ def read_text_lines(
     if allow_empty and len(plist) > 1:
         plist = [p for p in plist if _matches(spark, p)]
         if not plist:
-            return _empty(spark)
+            return _empty(spark, with_path)
     try:
         df = reader.text(plist)
     except AnalysisException as e:
         if allow_empty and "PATH_NOT_FOUND" in str(e):
-            return _empty(spark)
+            return _empty(spark, with_path)
         raise
-    df = df.select("value")
+    df = df.select("value", F.col("_metadata.file_path").alias("path")) if with_path else df.select("value")
     if skip_blank:  # whitespace-only lines (any whitespace, as str.strip) carry no record
         df = df.filter(_not_blank(F.col("value")))
     return df

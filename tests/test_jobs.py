@@ -150,3 +150,27 @@ def test_mistyped_path_raises_and_keeps_the_output(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         extract_job(spark, base, "2025-01-01-00", "2025-01-01-05", f"{tmp_dir}/norm")
     assert _read(spark, f"{tmp_dir}/norm") == kept and len(kept) == 1
+
+
+def test_enrich_job_keeps_the_row_of_the_stated_day(spark, tmp_dir):
+    from clickweave.plans.jobs import enrich_job
+
+    # the features of the old day sort above those of the new one
+    for day, text in (("2024-01-01", "zzz old"), ("2024-01-02", "a new"), ("2024-01-03", "m newest")):
+        os.makedirs(f"{tmp_dir}/docs/{day}/00")
+        with open(f"{tmp_dir}/docs/{day}/00/part.json", "w") as f:
+            f.write(json.dumps({"_id": "1", "t": text}) + "\n" + (json.dumps({"_id": "2", "t": text}) + "\n" if day < "2024-01-03" else ""))
+    store = spark.createDataFrame([("1", [["old"]], [[0.0]]), ("2", [["old"]], [[0.0]])],
+                                  "_id string, htc_key array<array<string>>, htc_value array<array<double>>")
+
+    def scorer(batch):
+        return [{"htc_key": [[json.loads(x)["t"]]], "htc_value": [[1.0]]} for x in batch]
+
+    for prefer, want in (("newest", {"1": "m newest", "2": "a new"}), ("oldest", {"1": "zzz old", "2": "zzz old"})):
+        for mode in ("update", "insert"):
+            target = store if mode == "update" else store.limit(0)
+            seen = enrich_job(spark, [f"{tmp_dir}/docs"], "2024-01-01", "2024-01-03", scorer, target,
+                              f"{tmp_dir}/{prefer}-{mode}", mode=mode, prefer=prefer)
+            got = {r._id: r.htc_key[0][0] for r in spark.read.parquet(f"{tmp_dir}/{prefer}-{mode}").collect()}
+            assert got == want, (prefer, mode)
+            assert sorted((str(r.day), r.file) for r in seen.collect())[0] == ("2024-01-01", "/00/part.json")
