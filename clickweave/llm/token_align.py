@@ -27,6 +27,8 @@ from clickweave.session import work_path
 
 #: Characters, or links, of the texts that are worked on at once; a longer text goes alone.
 CHUNK = 250_000
+#: Links of a row between the steps: Spark's batches hold rows, so a document's links go in rows of bounded size.
+PIECE = 256
 #: Distinct pairs that a worker counts before it hands the counts on.
 HELD_PAIRS = 1_000_000
 #: Pairs whose counts are sent to the workers (the most frequent ones; any others meet theirs in a join).
@@ -217,17 +219,23 @@ ALIGNED = "row long, doc_id long, n_a long, n_b long, n_groups long, n_links lon
 
 
 def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """One row per row of ``docs``: ``row`` (a number of its own), doc_id, the
-    counts and digest of its alignment, and its links as two lists of ids."""
+    """Rows of up to PIECE links of a row of ``docs``, one at least: ``row`` (a
+    number of its own), doc_id, the counts and digest of its whole alignment,
+    and the links as two lists of ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = per_worker(("aligner", path_a, path_b), lambda: Aligner(path_a, path_b))
         for batch in batches:
             for part in _chunks(batch, pc.utf8_length(batch.column(2))):
                 found = aligner.align(part.column(2).to_pylist())
-                offsets = pa.array(np.concatenate([[0], _ends(found["n_links"])]), pa.int32())
+                pieces = np.maximum(1, -(-found["n_links"] // PIECE))
+                of = np.repeat(np.arange(part.num_rows), pieces)
+                nth = np.arange(len(of)) - np.repeat(_ends(pieces) - pieces, pieces)
+                sizes = np.minimum(PIECE, found["n_links"][of] - nth * PIECE)
+                offsets = pa.array(np.concatenate([[0], _ends(sizes)]), pa.int32())
                 lists = [pa.ListArray.from_arrays(offsets, pa.array(found[c])) for c in ("link_a", "link_b")]
-                columns = [*part.columns[:2], *(pa.array(found[c]) for c in COUNTS), pa.array(found["groups_sha256"], pa.string()), *lists]
+                whole = [*part.columns[:2], *(pa.array(found[c]) for c in COUNTS), pa.array(found["groups_sha256"], pa.string())]
+                columns = [*(c.take(pa.array(of)) for c in whole), *lists]
                 yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in ALIGNED.split(", ")])
 
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -322,31 +330,29 @@ def align_tokens(docs: DataFrame, path_a: str, path_b: str, sent_pairs: int = SE
                 links = _pairs(part, 7, 8)
                 a, b = links["a"].to_numpy(), links["b"].to_numpy()
                 at = index.get_indexer((a.astype(np.int64) << 32) | b)  # -1, the appended zero, where a pair is not there
-                doc = pc.list_parent_indices(part.column(7)).to_numpy()
-                per_doc = [np.bincount(doc[best[at]], minlength=len(part)), _sums(doc, n[at], len(part))]
+                of = pc.list_parent_indices(part.column(7)).to_numpy()
+                per_row = [np.bincount(of[best[at]], minlength=len(part)), _sums(of, n[at], len(part))]
                 rare = at < 0
-                rare_offsets = pa.array(np.concatenate([[0], _ends(np.bincount(doc[rare], minlength=len(part)))]), pa.int32())
-                lists = [pa.ListArray.from_arrays(rare_offsets, pa.array(x[rare], pa.int32())) for x in (a, b)]
-                arrays = [*part.columns[:7], *(pa.array(x, pa.int64()) for x in per_doc), *lists]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                offsets = pa.array(np.concatenate([[0], _ends(np.bincount(of[rare], minlength=len(part)))]), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x[rare], pa.int32())) for x in (a, b)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:7], *(pa.array(x, pa.int64()) for x in per_row), *lists], names=names)
 
     schema = ", ".join(ALIGNED.split(", ")[:7]) + ", n_best long, count_sum long, rare_a array<int>, rare_b array<int>"
-    scored_path = work_path(spark, "scored", unique=True)
-    aligned.mapInArrow(run, schema).write.parquet(scored_path)
-    scored = spark.read.parquet(scored_path)
-    if frequent.num_rows == counts.count():
-        return scored.select(*columns[1:6], "n_best", "count_sum", "groups_sha256")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare_a", "rare_b")).alias("p"))
-    rare = rare.groupBy("row", F.col("p.rare_a").alias("a"), F.col("p.rare_b").alias("b")).agg(F.count(F.lit(1)).alias("times"))
-    sums = rare.join(counts, ["a", "b"]).groupBy("row")
-    sums = sums.agg(F.sum(F.col("times") * F.col("best").cast("long")).alias("more_best"), F.sum(F.col("times") * F.col("n")).alias("more"))
-    added = scored.join(sums, "row", "left")
-    return added.select(
-        *columns[1:6],
-        (F.col("n_best") + F.coalesce("more_best", F.lit(0))).alias("n_best"),
-        (F.col("count_sum") + F.coalesce("more", F.lit(0))).alias("count_sum"),
-        "groups_sha256",
-    )
+    scored = aligned.mapInArrow(run, schema)
+    sums = ["n_best", "count_sum"]
+    if frequent.num_rows < counts.count():
+        scored_path = work_path(spark, "scored", unique=True)
+        scored.write.parquet(scored_path)
+        written = spark.read.parquet(scored_path)
+        rare = written.select(*columns, F.explode(F.arrays_zip("rare_a", "rare_b")).alias("p"))
+        rare = rare.groupBy(*columns, F.col("p.rare_a").alias("a"), F.col("p.rare_b").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+        # the counts are a written table, so the pairs of a hot token are split
+        more = rare.join(counts, ["a", "b"]).select(
+            *columns, (F.col("times") * F.col("best").cast("long")).alias("n_best"), (F.col("times") * F.col("n")).alias("count_sum")
+        )
+        scored = written.select(*columns, *sums).unionByName(more)
+    summed = scored.groupBy(*columns).agg(*(F.sum(c).alias(c) for c in sums))
+    return summed.select(*columns[1:6], *sums, "groups_sha256")
 
 
 def _sums(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:

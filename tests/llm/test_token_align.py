@@ -76,6 +76,7 @@ def found(df):
 def test_awkward_rows_equal_brute_force(spark, tools, sent_pairs, monkeypatch):
     monkeypatch.setattr(token_align, "CHUNK", 150)
     monkeypatch.setattr(token_align, "HELD_PAIRS", 40)
+    monkeypatch.setattr(token_align, "PIECE", 7)
     rows = [(r[0], r[1]) for r in AWKWARD] + [(100 + i, t) for i, t in enumerate(ODD)] + [(200, ODD[0] + "" + "x " * 400)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as `row`", "2 as n_a", "'z' as link_a", "3 as n")
     assert found(align_tokens(docs, *paths(), sent_pairs=sent_pairs)) == brute_force(tools, rows)
