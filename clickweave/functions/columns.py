@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,3 +19,11 @@ def evaluate_once(value: Column) -> Column:
     interpreted in any case); measured, one parse instead of two or three wins.
     """
     return F.explode(F.array(value))
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often the body names it.
+
+    For values inside a branch that few rows take, where :func:`evaluate_once` would evaluate them for all.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -12,6 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from clickweave.functions.codes import DATE_TIME_FORMAT
+from clickweave.functions.columns import bind
 
 
 def _c(col) -> Column:
@@ -53,15 +54,61 @@ def _session_time_zone() -> str | None:
     return s.conf.get("spark.sql.session.timeZone") if s is not None else None
 
 
-def epoch_seconds(col, tz: str, fmt: str = DATE_TIME_FORMAT) -> Column:
+#: Six numbers in the order of the default pattern; what follows is not looked at.
+_LENIENT_SHAPE = (
+    r"^[ \t]*([0-9]{1,9})-[ \t]*([0-9]{1,9})-[ \t]*([0-9]{1,9}) "
+    r"[ \t]*([0-9]{1,9}):[ \t]*([0-9]{1,9}):[ \t]*([0-9]{1,9})(?![0-9])"
+)
+
+
+def lenient_wall_clock(col) -> Column:
+    """Text -> TIMESTAMP_NTZ wall clock, read as a lenient calendar does.
+
+    Fields need no leading zeros, text behind them is ignored, and values out
+    of range roll over: month 13 is January of the next year, day 0 the last of
+    the month before, 25:61:61 is 02:02:01 a day later. NULL when the six
+    numbers are not there, one has over nine digits, or the year after rolling
+    is not 1 to 9999.
+    """
+    fields = ("year", "month", "day", "hour", "minute", "second")
+    numbers = F.struct(*(F.regexp_extract(_c(col), _LENIENT_SHAPE, i).try_cast("long").alias(f) for i, f in enumerate(fields, 1)))
+
+    def first_of_month(months: Column) -> Column:
+        date = F.make_date(F.floor(months / 12).cast("int"), (months % 12 + 1).cast("int"), F.lit(1))
+        return F.when(months.between(12, 9999 * 12 + 11), date)
+
+    def seconds(n: Column) -> Column:
+        date = bind(n["year"] * 12 + n["month"] - 1, first_of_month)
+        days = F.datediff(date, F.lit("1970-01-01")).cast("long") + n["day"] - 1
+        return days * 86400 + n["hour"] * 3600 + n["minute"] * 60 + n["second"]
+
+    def wall_clock(s: Column) -> Column:
+        epoch0 = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+        rest = F.pmod(s, F.lit(86400)).cast("decimal(18,6)")
+        # years 1 to 9999, in seconds
+        time = epoch0 + F.make_dt_interval(F.floor(s / 86400).cast("int"), F.lit(0), F.lit(0), rest)
+        return F.when(s.between(-62135596800, 253402300799), time)
+
+    return bind(bind(numbers, seconds), wall_clock)
+
+
+def epoch_seconds(col, tz: str, fmt: str = DATE_TIME_FORMAT, lenient: bool = False) -> Column:
     """Text wall-clock time in ``tz`` -> epoch seconds; NULL when unparsable.
 
+    ``lenient`` (default pattern only) reads as :func:`lenient_wall_clock`.
+
     For the default pattern the text is shape-checked and then cast (several
     times cheaper than pattern parsing, equally strict: out-of-range fields
     give NULL); when ``tz`` is the session zone the cast already yields the
     instant. Any other pattern or zone takes the general path.
     """
     c = _c(col)
+    if lenient:
+        if fmt != DATE_TIME_FORMAT:
+            raise ValueError("lenient reading knows the default pattern only")
+        # text of the strict shape needs no rolling unless a field is out of range
+        strict = epoch_seconds(c, tz, fmt)
+        return F.coalesce(strict, wall_clock_to_epoch(lenient_wall_clock(c), tz))
     if fmt == DATE_TIME_FORMAT:
         ok = c.rlike(_DEFAULT_SHAPE)
         if tz == _session_time_zone():

@@ -29,13 +29,12 @@ JSON text that is parsed where it is used.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweave.functions.codes import CLICK_EVENT_CODES, UNKNOWN_EVENT_CODE, VIEW_EVENT_CODE
+from clickweave.functions.columns import bind
 from clickweave.operators.parse import not_an_object, platform_of
 from clickweave.sources.schemas import CLICK, CORRUPT, VIEW_ITEM, raw_log_schema
 
@@ -108,19 +107,14 @@ def _text_record(r: Column) -> Column:
 
     def record(c: Column) -> Column:
         return F.struct(
-            r["userid"].alias("userid"), r["appid"].alias("appid"), _let(views, judged).alias("views"),
+            r["userid"].alias("userid"), r["appid"].alias("appid"), bind(views, judged).alias("views"),
             F.when(c.isNotNull(), F.struct(*(c[f].alias(f) for f in CLICK.fieldNames()))).alias("click"),
             (r.isNull() | corrupt.isNotNull()).alias("_bad"), not_an_object(r, corrupt).alias("_not_object"),
             r["click"].isNotNull().alias("_has_click"), F.size(r["views"]).alias("_n_views"),
             (c.isNull() | c[CORRUPT].isNotNull()).alias("_bad_click"),
         )
 
-    return _let(click, record)
-
-
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is evaluated once however often the body names it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return bind(click, record)
 
 
 def _parse_events(lines: DataFrame) -> DataFrame:
@@ -132,7 +126,7 @@ def _parse_events(lines: DataFrame) -> DataFrame:
 
     def record(r: Column) -> Column:
         odd = r.isNull() | r[CORRUPT].isNotNull() | F.coalesce(F.exists(r["views"], lambda v: v.isNull()), F.lit(False))
-        return F.when(odd, _let(F.from_json("value", _TEXT_FIELDS, _PERMISSIVE), _text_record)).otherwise(_typed_record(r))
+        return F.when(odd, bind(F.from_json("value", _TEXT_FIELDS, _PERMISSIVE), _text_record)).otherwise(_typed_record(r))
 
     typed = F.from_json("value", raw_log_schema("userid", "appid", "views", "click"), _PERMISSIVE)
     return lines.select("value", F.explode(F.transform(F.array(typed), record)).alias("p")).select("value", "p.*")

@@ -55,6 +55,30 @@ def parse_once(parsed: Column) -> Column:
     return evaluate_once(parsed)
 
 
+def key_state(record: Column, path: str) -> Column:
+    """``absent``, ``null`` or ``value``: what the variant ``record`` has at
+    ``path`` (keys joined by dots). Below a key that is absent, null or no
+    object everything is absent."""
+    found = F.try_variant_get(record, "$." + path, "variant")
+    return F.when(found.isNull(), "absent").when(F.is_variant_null(found), "null").otherwise("value")
+
+
+def key_states(lines: DataFrame, *paths: str) -> DataFrame:
+    """``value`` lines with a column per path (dots as ``_``): the key's state,
+    null for lines that are no JSON object. Each line is parsed once."""
+    record = F.try_parse_json("value")
+    v = lines.select("value", evaluate_once(F.when(F.ltrim("value").startswith("{"), record)).alias("v"))
+    return v.select("value", *(F.when(F.col("v").isNotNull(), key_state(F.col("v"), p)).alias(p.replace(".", "_")) for p in paths))
+
+
+def has_key(state: Column, explicit_null: str = "absent") -> Column:
+    """Whether a key counts as there. ``explicit_null="present"`` also takes keys
+    whose value is null, as a map's ``containsKey`` does; ``"absent"`` does not."""
+    if explicit_null not in ("absent", "present"):
+        raise ValueError("explicit_null must be 'absent' or 'present'")
+    return F.coalesce(state == "value" if explicit_null == "absent" else state != "absent", F.lit(False))
+
+
 def platform_of(appid: Column | str = "appid") -> Column:
     """Platform label of an appid: ``app_<id>``, ``<id>`` for browsers, else ``other_<id>``."""
     a = F.col(appid) if isinstance(appid, str) else appid

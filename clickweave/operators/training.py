@@ -30,7 +30,9 @@ Shuffles: (user, doc) aggregate with partial combine -> per-user statistics
 on ``userid`` shared by all windows and the final per-(user, slot) assembly.
 Users above the event cap never reach a window, so a window partition holds at
 most ``cap`` docs. Both caps are rules of the original job; ``None`` switches
-either off, and :func:`removed_counts` says what each rule removes.
+either off, and :func:`removed_counts` says what each rule removes. Without the
+event cap the ranks come from ranges of a user's slots (``spread``), so a user
+with a third of all events is ranked by many tasks.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.codes import DATE_TIME_FORMAT, DEFAULT_TIME_ZONE, MAX_EVENTS_PER_USER, MAX_ROWS_PER_USER
 from clickweave.functions.time import wall_clock_literal_epoch
+from clickweave.operators.ranking import ranked_in_groups
 from clickweave.session import materialize
 
 _SHIFT = 40
@@ -174,24 +177,31 @@ def _items(labels: DataFrame) -> DataFrame:
     )
 
 
-def ranked_slots(labels: DataFrame) -> DataFrame:
+def ranked_slots(labels: DataFrame, spread: bool = False) -> DataFrame:
     """Slots with ``r`` (positives), ``raw_pos``/``n`` (pool) and pool ``size``.
 
-    All windows share the partitioning by ``userid`` (one exchange).
+    All windows share the partitioning by ``userid`` (one exchange); with
+    ``spread`` a user's slots lie in as many tasks as they need (see
+    :mod:`clickweave.operators.ranking`), for users without an event cap.
     """
     items = _items(labels)
     is_pool = (F.col("kind") > 0).cast("int")
-    ordered = Window.partitionBy("userid").orderBy(is_pool, "kind", F.col("time").desc(), "docid")
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    per_user = Window.partitionBy("userid")
+    is_positive = (F.col("kind") == 0).cast("int")
     nonblank_pool = ((F.col("kind") > 0) & ~F.col("blank")).cast("int")
-    x = items.select(
-        "*",
-        F.row_number().over(ordered).alias("_rn"),
-        F.sum(nonblank_pool).over(running).alias("_n"),
-        F.sum((F.col("kind") == 0).cast("int")).over(per_user).alias("_npos"),
-        F.sum(is_pool).over(per_user).alias("size"),
-    )
+    order = [is_pool, F.col("kind"), F.col("time").desc(), F.col("docid")]
+    if spread:
+        x = ranked_in_groups(items, ["userid"], order, {"_n": nonblank_pool}, {"_npos": is_positive, "size": is_pool}, "_rn")
+    else:
+        ordered = Window.partitionBy("userid").orderBy(*order)
+        running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        per_user = Window.partitionBy("userid")
+        x = items.select(
+            "*",
+            F.row_number().over(ordered).alias("_rn"),
+            F.sum(nonblank_pool).over(running).alias("_n"),
+            F.sum(is_positive).over(per_user).alias("_npos"),
+            F.sum(is_pool).over(per_user).alias("size"),
+        )
     pool = F.col("kind") > 0
     return x.select(
         "userid",
@@ -294,11 +304,18 @@ def train_rows(
     tz: str = DEFAULT_TIME_ZONE,
     max_rows: int | None = MAX_ROWS_PER_USER,
     checkpoint: bool = True,
+    spread: bool | None = None,
     **thresholds,
 ) -> DataFrame:
-    """(userid, pos, neg1, neg2, neg3, n_negs, r) training rows."""
+    """(userid, pos, neg1, neg2, neg3, n_negs, r) training rows.
+
+    ``spread`` ranks each user's slots in several tasks; by default it is on
+    when ``max_events=None`` lets users of any size through.
+    """
     labels = qualified_doc_labels(events, as_of, tz, checkpoint=checkpoint, **thresholds)
-    return assemble_rows(ranked_slots(labels), max_rows)
+    if spread is None:
+        spread = thresholds.get("max_events", MAX_EVENTS_PER_USER) is None
+    return assemble_rows(ranked_slots(labels, spread), max_rows)
 
 
 def render_train_rows(rows: DataFrame) -> DataFrame:
@@ -311,7 +328,28 @@ def shuffle_rows(rows: DataFrame, num_partitions: int | None = 100, seed: int =
 
     ``num_partitions=None`` spreads them round-robin into partitions of the
     advisory size chosen by AQE (``rebalance``), for volumes where a fixed
-    count would make partitions too large.
+    count would make partitions too large. The order differs from run to run;
+    see :func:`permute_rows` for one that does not.
     """
     spread = rows.repartition(num_partitions) if num_partitions else rows.hint("rebalance")
     return spread.sortWithinPartitions(F.rand(seed))
+
+
+def permute_rows(rows: DataFrame, num_partitions: int = 100, seed: int = 0) -> DataFrame:
+    """Rows in a random order that depends on ``seed`` and the rows alone.
+
+    A row's key is the MD5 of the seed and its columns' JSON text: the key's
+    first 32 bits deal it to a partition, the whole key orders it there (ties
+    are equal rows). So the same rows give the same files however the input
+    was laid out or read, and a task that is run again writes the same rows.
+    """
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.to_json(F.struct(*(F.col(f"`{c}`") for c in rows.columns)), {"ignoreNullFields": "false"})))
+    keyed = rows.withColumn("__key", key)
+    part = F.conv(F.substring("__key", 1, 8), 16, 10).cast("long") % num_partitions
+    return keyed.repartitionById(num_partitions, part.cast("int")).sortWithinPartitions("__key").drop("__key")
+
+
+def with_position(rows: DataFrame, partition: str = "partition", position: str = "position") -> DataFrame:
+    """``rows`` with the number of their partition and their place in it (0, 1, 2...)."""
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    return rows.select("*", F.spark_partition_id().alias(partition), place.alias(position))

@@ -120,6 +120,53 @@ def raw_record(events: DataFrame) -> DataFrame:
     )
 
 
+def hot_events(events: DataFrame) -> DataFrame:
+    """``events`` with a third of them given to user 0, on documents of their own."""
+    third = F.col("event_id") % 3 == 0
+    props = F.concat(F.lit('{"k": '), F.col("event_id").cast("string"), F.lit("}"))
+    return events.withColumns(
+        {"user_id": F.when(third, F.lit(0)).otherwise(F.col("user_id")), "props": F.when(third, props).otherwise(F.col("props"))}
+    )
+
+
+#: What a probed key may hold; N is the event's number.
+PROBED = {"views": ["", '"views":null,', '"views":[{"docid":"N"}],', '"views":"",'],
+          "click": ["", '"click":null,', '"click":{"docid":null,"event":"like"},', '"click":{"docid":"N","event":null},', '"click":{},']}
+
+
+def probed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: per event a record whose keys are absent, null or there; every 31st line is no object."""
+    ev, eid = load(spark, sf_dir, "events"), F.col("event_id")
+    parts = [_pick(v, F.floor(eid / step) % len(v)) for v, step in ((PROBED["views"], 1), (PROBED["click"], 4))]
+    line = F.replace(F.concat(F.lit('{'), *parts, F.lit('"n":"N"}')), F.lit("N"), eid.cast("string"))
+    return ev.select(F.when(eid % 31 == 0, F.concat(F.lit("["), line)).otherwise(line).alias("value"))
+
+
+#: Ways to write a date, by event_id % 8: as it is, unpadded, month 13 and more, day 0, hours over 23, text behind, no date, a field missing.
+LENIENT_FORMS = 8
+
+
+def lenient_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``value``: a TSV line per event whose date is written in one of :data:`LENIENT_FORMS` ways."""
+    ev, eid, ts = load(spark, sf_dir, "events"), F.col("event_id"), F.col("ts")
+    clock = F.date_format(ts, "HH:mm:ss")
+    forms = [
+        F.date_format(ts, DATE_TIME_FORMAT),
+        F.date_format(ts, "yyyy-M-d H:m:s"),
+        F.concat((F.year(ts) - 1).cast("string"), F.lit("-"), (F.month(ts) + 12).cast("string"), F.lit("-"), F.date_format(ts, "dd "), clock),
+        F.concat(F.date_format(F.add_months(F.trunc(ts, "MM"), 1), "yyyy-MM"), F.lit("-0 "), clock),
+        F.concat(F.date_format(F.date_sub(ts, 1), "yyyy-MM-dd "), (F.hour(ts) + 24).cast("string"), F.date_format(ts, ":mm:ss")),
+        F.concat(F.date_format(ts, DATE_TIME_FORMAT), F.lit(".123 +08:00")),
+        F.lit("yesterday"),
+    ]
+    date = forms[-1]
+    for i, form in enumerate(forms[:-1]):
+        date = F.when(eid % LENIENT_FORMS == i, form).otherwise(date)
+    short = F.concat_ws("\t", F.lit("u"), eid.cast("string"), F.lit("clk"))
+    whole = F.concat_ws("\t", F.lit("u"), eid.cast("string"), F.lit("clk"), date, F.lit("app_oppo"))
+    return ev.select(F.when(eid % LENIENT_FORMS == 7, short).otherwise(whole).alias("value"))
+
+
 #: Records with mistyped or missing fields, by event_id % 12; N is the event's number.
 ODD_RECORDS = [
     '{"n":"N","userid":"u","appid":"oppo","views":[{"docid":"aN","date":"t"},{"docid":"bN","date":"t"}],"click":"x"}',

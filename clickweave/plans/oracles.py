@@ -336,3 +336,48 @@ WHERE d._id IS NOT NULL"""
 ORACLES["doc_score_stalls"] = ORACLES["doc_score"]
 ORACLES["doc_score_batches"] = f"""WITH {DOCS}, {SCORED}
 SELECT count(*) AS n, least(count(*), 10) AS largest_batch FROM scored"""
+
+# a third of all events are user 0's, on documents of their own
+EV_HOT = EV.replace("FROM events", """FROM (SELECT * REPLACE (
+    CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS user_id,
+    CASE WHEN event_id % 3 = 0 THEN '{"k": ' || event_id || '}' ELSE props END AS props) FROM events)""")
+ORACLES["train_rows_uncapped"] = (
+    TRAIN_ALL.replace(EV, EV_HOT).replace(" AND n_events <= 20000", "").replace("p.r <= 250 AND ", "") + " SELECT * FROM train"
+)
+ORACLES["click_extract_ranged"] = f"""WITH clicks AS ({ORACLES["click_extract"].replace(EV, EV_HOT)})
+SELECT *, row_number() OVER (ORDER BY userid, pos, docid, event) AS place FROM clicks"""
+ORACLES["train_rows_permuted"] = f"""{TRAIN_ALL},
+keyed AS (SELECT *, md5('7:' || to_json({{'userid': userid, 'pos': pos, 'neg1': neg1, 'neg2': neg2, 'neg3': neg3, 'n_negs': n_negs, 'r': r}})) AS key FROM train),
+dealt AS (SELECT *, CAST(CAST('0x' || substr(key, 1, 8) AS BIGINT) % 10 AS INTEGER) AS partition FROM keyed)
+SELECT * EXCLUDE (key), row_number() OVER (PARTITION BY layout, partition ORDER BY key) - 1 AS position
+FROM dealt CROSS JOIN (SELECT unnest(['given', 'dealt']) AS layout)"""
+ORACLES["compact_by_size"] = f"""{NORM_ALL} SELECT userid, docid, event, date, platform, true AS fits FROM norm"""
+ORACLES["key_states"] = """WITH r AS (
+  SELECT event_id, event_id % 31 = 0 AS bad, (['absent', 'null', 'value', 'value'])[event_id % 4 + 1] AS views,
+         (event_id // 4) % 5 AS c FROM events),
+s AS (
+  SELECT event_id, CASE WHEN NOT bad THEN views END AS views,
+         CASE WHEN NOT bad THEN (['absent', 'null', 'value', 'value', 'value'])[c + 1] END AS click,
+         CASE WHEN NOT bad THEN (['absent', 'absent', 'null', 'value', 'absent'])[c + 1] END AS click_docid,
+         CASE WHEN NOT bad THEN (['absent', 'absent', 'value', 'null', 'absent'])[c + 1] END AS click_event FROM r)
+SELECT *, coalesce(views = 'value', false) AS views_absent, coalesce(views <> 'absent', false) AS views_present,
+       coalesce(click_docid = 'value', false) AS click_docid_absent, coalesce(click_docid <> 'absent', false) AS click_docid_present FROM s"""
+# day 0 of the next month is the last day of this one
+LENIENT = """l AS (
+  SELECT event_id, event_id % 8 AS form, CASE WHEN event_id % 8 = 3
+      THEN last_day(ts)::TIMESTAMP + (date_trunc('second', ts) - date_trunc('day', ts)) ELSE date_trunc('second', ts) END AS w FROM events)"""
+ORACLES["events_tsv_lenient"] = f"""WITH {LENIENT}
+SELECT event_id, CAST(epoch(w) AS BIGINT) AS t FROM l WHERE form < 6 AND w >= TIMESTAMP '2024-01-10 12:00:00'"""
+ORACLES["events_tsv_odd"] = f"""WITH {LENIENT}, x AS (
+  SELECT lenient, CASE WHEN form = 7 THEN 'too_short' WHEN form = 6 OR (form > 0 AND NOT lenient AND NOT (form = 1 AND padded)) THEN 'bad_date'
+      WHEN w < TIMESTAMP '2024-01-10 12:00:00' THEN 'too_early' END AS reason
+  FROM (SELECT *, strftime(w, '%Y-%m-%d %H:%M:%S') = strftime(w, '%Y-%-m-%-d %-H:%-M:%-S') AS padded FROM l)
+  CROSS JOIN (SELECT unnest([false, true]) AS lenient))
+SELECT lenient, reason, count(*) AS n FROM x WHERE reason IS NOT NULL GROUP BY ALL"""
+ORACLES["features_update_buckets"] = f"""WITH {DOCS}, {LAST_REPLIES},
+b AS (SELECT *, CAST('0x' || substr(md5(_id), 1, 8) AS BIGINT) % 64 AS bucket FROM docs WHERE _id IS NOT NULL),
+hit AS (SELECT DISTINCT bucket FROM b JOIN last_replies USING (_id) WHERE bucket < 8)
+SELECT b._id, b.ctype, b.bucket, b.bucket IN (SELECT bucket FROM hit) AS rewritten,
+       CASE WHEN r._id IS NULL THEN '[["old"],[]]' ELSE r.htc_key END AS htc_key,
+       CASE WHEN r._id IS NULL THEN '[[' || CAST(CAST(b._id AS DOUBLE) AS VARCHAR) || '],[]]' ELSE r.htc_value END AS htc_value
+FROM b LEFT JOIN last_replies r ON r._id = b._id AND b.bucket < 8"""

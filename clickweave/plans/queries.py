@@ -10,24 +10,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickweave.functions import strings as S
 from clickweave.functions.time import epoch_seconds, parse_wall_clock
 from clickweave.operators import (
-    active_user_clicks, active_users, app_log_extract, click_events, click_extract, click_extract_sorted,
-    doc_enrich, doc_filter, doc_records, insert_new, negative_pool, scored_features, status_counts, normalise_events, parse_raw,
+    active_user_clicks, active_users, app_log_extract, click_events, click_extract, click_extract_ranged, click_extract_sorted,
+    doc_enrich, doc_filter, doc_records, has_key, insert_new, key_states, negative_pool, permute_rows, scored_features, status_counts, normalise_events, parse_raw,
     platform_classify, qualified_doc_labels, qualified_users, quarantine_events, render_tsv,
-    shuffle_rows, train_rows, update_matched, user_history, user_stats, view_events,
+    shuffle_rows, train_rows, update_matched, user_history, user_stats, view_events, with_position,
 )
 from clickweave.operators.training import removed_counts, user_rules
 from clickweave.plans import adapter as A
 from clickweave.plans import jobs
 from clickweave.plans.materialize import materialized
 from clickweave.session import work_path
-from clickweave.sinks import compact_files, write_text, write_tsv
+from clickweave.sinks import compact_by_size, compact_files, write_text, write_tsv
+from clickweave.sinks.store import bucket_of, create_store, read_store, update_store
 from clickweave.sources import hour_range_scan, read_text_lines, scan_doc_days, scan_events_tsv, union_logs
-from clickweave.sources.events_tsv import prepare_training_events, tsv_reject_reason
+from clickweave.sources.events_tsv import parse_events_tsv, prepare_training_events, tsv_reject_reason
 
 # parameters of the registered runs (driver data: UTC wall clock, January 2024)
 TZ = "UTC"
@@ -47,6 +49,9 @@ DOC_SPAN = ("2017-06-01", "2018-03-08")
 VERSION_SPAN = ("2017-06-01", "2017-12-31")
 #: Time limit of a scorer's call: far above what a call takes, so that only stalled ones reach it.
 STALL_SECONDS = 5.0
+STORE_BUCKETS, PERMUTED_FILES = 64, 10
+#: Byte limit of compacted files, and the longest line (a cut falls behind the line that crosses the limit).
+COMPACT_BYTES, LINE_BYTES = 64 << 10, 200
 HIVE_DAY, HIVE_HOUR = "day={day}", "hour={hour}"
 
 
@@ -229,6 +234,44 @@ def q_train_rows_shuffled(spark, sf):
     return shuffle_rows(train_rows(_weighted(spark, sf), as_of=AS_OF, tz=TZ), num_partitions=100, seed=7)
 
 
+def _hot_lines(spark, sf):
+    """The raw log with a third of its records by one user."""
+    def write(path):
+        rec = A.raw_record(A.hot_events(A.load(spark, sf, "events"))).select("value")
+        write_text(rec, path, compression="gzip", max_records_per_file=LINES_PER_FILE)
+
+    return read_text_lines(spark, f"{materialized(spark, sf, 'raw-log-hot', ('events',), write)}/*", gz_only=True)
+
+
+def q_train_rows_uncapped(spark, sf):
+    """Training rows without either cap, where one user has a third of all events."""
+    events = prepare_training_events(normalise_events(_hot_lines(spark, sf)), tz=TZ)
+    return train_rows(events, as_of=AS_OF, tz=TZ, max_events=None, max_rows=None)
+
+
+def q_click_extract_ranged(spark, sf):
+    """Range-partitioned clicks of the log with the heavy user: each row's place through all partitions."""
+    path = work_path(spark, "clicks-ranged", unique=True)
+    rows = with_position(click_extract_ranged(_hot_lines(spark, sf), num_partitions=16))
+    rows.write.parquet(path)  # the bounds are sampled: once
+    at = spark.read.parquet(path)
+    sizes = at.groupBy("partition").agg(F.count(F.lit(1)).alias("n"))  # a row a partition
+    earlier = W.orderBy("partition").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("partition", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
+    placed = at.join(starts, "partition")
+    return placed.select("userid", "docid", "event", "pos", (F.col("start") + F.col("position") + 1).alias("place"))
+
+
+def q_train_rows_permuted(spark, sf):
+    """Training rows in their seeded order: the partition and place of each, for two layouts of the input."""
+    rows = train_rows(_weighted(spark, sf), as_of=AS_OF, tz=TZ)
+    out = None
+    for layout, given in (("given", rows), ("dealt", rows.repartition(13, "pos"))):
+        placed = with_position(permute_rows(given, num_partitions=PERMUTED_FILES, seed=7)).withColumn("layout", F.lit(layout))
+        out = placed if out is None else out.unionByName(placed)
+    return out
+
+
 # --- scans & sinks -------------------------------------------------------------
 
 def _raw_tree(spark, sf):
@@ -300,6 +343,47 @@ def q_compact_files(spark, sf):
     )
 
 
+def q_compact_by_size(spark, sf):
+    """The lines of files packed by size, and whether each file keeps to the limit and most are well filled."""
+    def write(path):
+        write_text(render_tsv(_normalised(spark, sf)), f"{path}/small", num_files=64)
+        compact_by_size(spark, f"{path}/small", f"{path}/compact", target_bytes=COMPACT_BYTES)
+
+    path = materialized(spark, sf, "compact-size", ("events",), write)
+    f = F.split("value", "\t")
+    size = F.col("_metadata.file_size")
+    return spark.read.text(f"{path}/compact").select(
+        *[f[i].alias(c) for i, c in enumerate(("userid", "docid", "event", "date", "platform"))],
+        (size <= COMPACT_BYTES + LINE_BYTES).alias("fits"),
+    )
+
+
+def q_key_states(spark, sf):
+    """What the probed keys hold, and whether they count as there under either policy."""
+    states = key_states(A.probed_records(spark, sf), "views", "click", "click.docid", "click.event")
+    return states.select(
+        F.regexp_extract("value", '"n":"([0-9]+)"', 1).cast("long").alias("event_id"), "views", "click", "click_docid", "click_event",
+        *(has_key(F.col(c), policy).alias(f"{c}_{policy}") for c in ("views", "click_docid") for policy in ("absent", "present")),
+    )
+
+
+def q_events_tsv_lenient(spark, sf):
+    """Training events of lines whose dates are written in many ways, read leniently."""
+    events = prepare_training_events(parse_events_tsv(A.lenient_tsv(spark, sf)), tz=TZ, floor=LATE_FLOOR, lenient=True)
+    return events.select(F.col("docid").cast("long").alias("event_id"), "t")
+
+
+def q_events_tsv_odd(spark, sf):
+    """Why lines of the same table are dropped, read strictly and leniently."""
+    out = None
+    for lenient in (False, True):
+        reason = tsv_reject_reason(tz=TZ, floor=LATE_FLOOR, lenient=lenient)
+        counts = A.lenient_tsv(spark, sf).select(reason.alias("reason")).filter("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+        counts = counts.withColumn("lenient", F.lit(lenient))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
 # --- documents -----------------------------------------------------------------
 
 def _doc_lines(spark, sf):
@@ -416,6 +500,17 @@ def q_features_update_days(spark, sf):
     return out.select("_id", "ctype", *_json_features(out), "updated", "prefer")
 
 
+def q_features_update_buckets(spark, sf):
+    """A small update of a store of 64 buckets: the rows after it, and which buckets it wrote anew."""
+    store = _old_features(_docs(spark, sf).filter(F.col("_id").isNotNull()).select("_id", "ctype"))
+    path = work_path(spark, "feature-store", unique=True)
+    create_store(store, path, buckets=STORE_BUCKETS)
+    few = _repeated_replies(spark, sf).filter(bucket_of("_id", STORE_BUCKETS) < 8)
+    update_store(spark, path, few, order=("version",))
+    rows = read_store(spark, path, with_places=True)
+    return rows.select("_id", "ctype", *_json_features(rows), F.col("bucket").cast("long").alias("bucket"), (F.col("version") == 2).alias("rewritten"))
+
+
 def make_stalling_scorer():
     """A scorer that never returns (an hour) when a batch holds an id that ends in 77."""
     import time
@@ -549,6 +644,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "features_update_days": q_features_update_days,
     "doc_score_stalls": q_doc_score_stalls,
     "doc_score_batches": q_doc_score_batches,
+    "train_rows_uncapped": q_train_rows_uncapped,
+    "click_extract_ranged": q_click_extract_ranged,
+    "train_rows_permuted": q_train_rows_permuted,
+    "compact_by_size": q_compact_by_size,
+    "key_states": q_key_states,
+    "events_tsv_lenient": q_events_tsv_lenient,
+    "events_tsv_odd": q_events_tsv_odd,
+    "features_update_buckets": q_features_update_buckets,
     "events_tsv_rejects": q_events_tsv_rejects,
     "fn_string": q_fn_string,
     "fn_time": q_fn_time,

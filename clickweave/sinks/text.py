@@ -79,6 +79,27 @@ def compact_files(
     write_text(spark.read.text(paths), dst, compression=compression, num_files=num_files)
 
 
+def compact_by_size(
+    spark: SparkSession, src: str | Sequence[str], dst: str, target_bytes: int = 256 << 20, compression: str | None = None
+) -> None:
+    """Rewrite the text files under ``src`` as files of up to ``target_bytes`` of input each in a new ``dst``.
+
+    Small files are put together and files over the target cut, by the scan
+    itself: Spark packs what it reads into partitions of a byte limit, largest
+    first, and every partition is written by the task that read it. No row is
+    shuffled. (A gzip file is one piece whatever its size.)
+    """
+    packing = spark.newSession()  # the limits hold for this read only
+    for key, value in {
+        "spark.sql.files.maxPartitionBytes": target_bytes,
+        "spark.sql.files.openCostInBytes": 0,
+        "spark.sql.files.minPartitionNum": 1,  # fewer partitions than cores, if the bytes say so
+    }.items():
+        packing.conf.set(key, str(value))
+    paths = [src] if isinstance(src, str) else list(src)
+    write_text(packing.read.text(paths), dst, compression=compression)
+
+
 def write_snapshot(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a table version as parquet to a NEW path (never the one being read)."""
     df.write.mode(mode).parquet(path)

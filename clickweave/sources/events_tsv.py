@@ -24,14 +24,16 @@ def prepare_training_events(
     floor: str | None = EVENT_TIME_FLOOR,
     fmt: str = DATE_TIME_FORMAT,
     weights: Mapping[str, int] = EVENT_WEIGHTS,
+    lenient: bool = False,
 ) -> DataFrame:
     """(userid, docid, event, date) rows -> (userid, docid, event, t, weight).
 
     ``t`` is epoch seconds of ``date`` read in zone ``tz``; times before 1970
-    are dropped even without a floor.
+    are dropped even without a floor. ``lenient`` rolls dates over instead of
+    dropping those out of range (see :func:`lenient_wall_clock`).
     """
     wmap = F.create_map(*[x for k, v in weights.items() for x in (F.lit(k), F.lit(v))])
-    tw = F.struct(epoch_seconds("date", tz, fmt).alias("t"), wmap[F.col("event")].alias("weight"))
+    tw = F.struct(epoch_seconds("date", tz, fmt, lenient).alias("t"), wmap[F.col("event")].alias("weight"))
     df = events.filter(F.col("event").isin(list(weights))).select(
         "userid", "docid", "event", evaluate_once(tw).alias("_tw")
     ).select("userid", "docid", "event", "_tw.t", "_tw.weight")
@@ -63,10 +65,11 @@ def tsv_reject_reason(
     fmt: str = DATE_TIME_FORMAT,
     weights: Mapping[str, int] = EVENT_WEIGHTS,
     min_fields: int = 5,
+    lenient: bool = False,
 ) -> Column:
     """The first of :data:`TSV_REASONS` that keeps the line ``value`` out, else NULL."""
     f = java_split("value", "\t")
-    t = epoch_seconds(f[3], tz, fmt)
+    t = epoch_seconds(f[3], tz, fmt, lenient)
     early = t < 0 if floor is None else (t < 0) | (t < wall_clock_literal_epoch(floor, tz, fmt))
     return (
         F.when(F.size(f) < min_fields, F.lit("too_short"))
@@ -82,7 +85,8 @@ def scan_events_tsv(
     tz: str = DEFAULT_TIME_ZONE,
     floor: str | None = EVENT_TIME_FLOOR,
     fmt: str = DATE_TIME_FORMAT,
+    lenient: bool = False,
 ) -> DataFrame:
     """Read normalised-event TSV files and keep the rows the training job uses."""
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths))
-    return prepare_training_events(parse_events_tsv(lines), tz=tz, floor=floor, fmt=fmt)
+    return prepare_training_events(parse_events_tsv(lines), tz=tz, floor=floor, fmt=fmt, lenient=lenient)

@@ -79,3 +79,45 @@ def test_patterns_at_a_clock_change_of_the_session_zone(spark, session_tz):
         assert got == [1710007200, 1711821600, None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_lenient_dates_roll_over(spark):
+    import datetime
+
+    from clickweave.functions.time import epoch_seconds, lenient_wall_clock
+
+    def rolled(y, mo, d, h, mi, s):
+        first = datetime.datetime(y + (mo - 1) // 12, (mo - 1) % 12 + 1, 1)
+        return first + datetime.timedelta(days=d - 1, hours=h, minutes=mi, seconds=s)
+
+    cases = {
+        "2017-13-01 00:00:00": rolled(2017, 13, 1, 0, 0, 0),
+        "2017-0-31 1:2:3": rolled(2017, 0, 31, 1, 2, 3),
+        "2018-2-30 25:61:61": rolled(2018, 2, 30, 25, 61, 61),
+        "2016-02-29 10:00:00 and more": rolled(2016, 2, 29, 10, 0, 0),
+        " 2016-  3- 1  7:08:09.5": rolled(2016, 3, 1, 7, 8, 9),
+        "2016-3-0 0:0:86400": rolled(2016, 3, 0, 0, 0, 86400),
+        "2016-1-999 0:0:0": rolled(2016, 1, 999, 0, 0, 0),
+        "2024-01-05 06:07:08": datetime.datetime(2024, 1, 5, 6, 7, 8),
+    }
+    bad = ["", "2016-03-01", "2016-03-01T00:00:00", "x2016-03-01 00:00:00", "2016-03-01 00:00:", "2016-03-01 00:00:1234567890",
+           "99999-01-01 00:00:00", "0-01-01 00:00:00", "-2016-01-01 00:00:00", None]
+    rows = spark.createDataFrame([(k,) for k in [*cases, *bad]], "s string")
+    got = {r.s: r for r in rows.select("s", lenient_wall_clock("s").alias("w"), epoch_seconds("s", "Asia/Shanghai", lenient=True).alias("t")).collect()}
+    for text, want in cases.items():
+        assert got[text].w == want, text
+        assert got[text].t == int((want - datetime.datetime(1970, 1, 1)).total_seconds()) - 8 * 3600, text
+    assert all(got[b].w is None and got[b].t is None for b in bad)
+
+
+def test_key_states(lines):
+    from pyspark.sql import functions as F
+
+    from clickweave.operators import has_key, key_states
+
+    df = lines(['{"a":null,"b":{"c":null}}', '{"b":{"c":1}}', '{"a":0,"b":null}', '{"a":"","b":[1]}', "[1]", "{bad", '  {"a":false}'])
+    got = [tuple(r)[1:] for r in key_states(df, "a", "b", "b.c").collect()]
+    assert got == [("null", "value", "null"), ("absent", "value", "value"), ("value", "null", "absent"), ("value", "value", "absent"),
+                   (None, None, None), (None, None, None), ("value", "absent", "absent")]
+    states = key_states(df, "a").select(has_key(F.col("a")).alias("x"), has_key(F.col("a"), "present").alias("y"))
+    assert [tuple(r) for r in states.collect()] == [(False, True), (False, False), (True, True), (True, True), (False, False), (False, False), (True, True)]
