@@ -381,3 +381,13 @@ SELECT b._id, b.ctype, b.bucket, b.bucket IN (SELECT bucket FROM hit) AS rewritt
        CASE WHEN r._id IS NULL THEN '[["old"],[]]' ELSE r.htc_key END AS htc_key,
        CASE WHEN r._id IS NULL THEN '[[' || CAST(CAST(b._id AS DOUBLE) AS VARCHAR) || '],[]]' ELSE r.htc_value END AS htc_value
 FROM b LEFT JOIN last_replies r ON r._id = b._id AND b.bucket < 8"""
+ORACLES["scan_gz_only"] = "SELECT true AS gz_is_the_rest, count(*) AS n_lines, true AS fewer FROM events"
+ORACLES["sink_overwrite"] = f"""{NORM_ALL}
+SELECT userid, event, count(*) AS n, CAST(1 AS BIGINT) AS n_files FROM norm WHERE event = 'clk' GROUP BY ALL"""
+ORACLES["app_log_partitions"] = f"""WITH {EV}
+SELECT CAST(7 AS BIGINT) AS n_partitions, count(*) AS n, true AS even FROM ev WHERE NOT bad AND appid = 'vivobrowser'"""
+ORACLES["click_reducers"] = f"""WITH clicks AS ({ORACLES["click_extract"]})
+SELECT userid, count(*) AS n, CAST(1 AS BIGINT) AS n_reducers, true AS in_order FROM clicks GROUP BY userid"""
+ORACLES["user_rules_now"] = f"""{NORM_ALL}, {WEIGHTED}, {USTATS}
+SELECT userid, t_max >= epoch(now()) - 30 * 86400 AS recent, t_min <= epoch(now()) - 5 * 86400 AS settled, n_strong >= 10 AS enough_strong
+FROM ustats"""

@@ -384,6 +384,62 @@ def q_events_tsv_odd(spark, sf):
     return out
 
 
+def q_scan_gz_only(spark, sf):
+    """A tree in which plain text files stand beside the gzip ones: only the latter are read."""
+    def write(path):
+        lines = _lines(spark, sf)
+        is_odd = F.crc32(F.col("value").cast("binary")) % 2 == 1
+        write_text(lines.filter(~is_odd), path, compression="gzip", mode="append")
+        write_text(lines.filter(is_odd), path, mode="append")
+
+    path = materialized(spark, sf, "raw-log-mixed", ("events",), write)
+    parts = [
+        _parsed_view(read_text_lines(spark, f"{path}/*", gz_only=gz)).agg(F.count(F.lit(1)).alias("n")).withColumn("of", F.lit(of))
+        for gz, of in ((True, "gz"), (False, "all"))
+    ]
+    odd = _lines(spark, sf).agg(F.count_if(F.crc32(F.col("value").cast("binary")) % 2 == 1).alias("n")).withColumn("of", F.lit("odd"))
+    counts = parts[0].unionByName(parts[1]).unionByName(odd)
+    one = counts.agg(*(F.max(F.when(F.col("of") == k, F.col("n"))).alias(k) for k in ("gz", "all", "odd")))
+    return one.select((F.col("gz") + F.col("odd") == F.col("all")).alias("gz_is_the_rest"), F.col("all").alias("n_lines"), (F.col("gz") < F.col("all")).alias("fewer"))
+
+
+def q_sink_overwrite(spark, sf):
+    """A single-file output written twice: the second run replaces the first."""
+    def write(path):
+        write_tsv(_normalised(spark, sf), path, num_files=3)
+        write_tsv(_normalised(spark, sf).filter("event = 'clk'"), path, num_files=1)
+
+    lines = spark.read.text(materialized(spark, sf, "sink-overwrite", ("events",), write))
+    f = F.split("value", "\t")
+    files = F.col("_metadata.file_name")
+    numbered = lines.select(*[f[i].alias(c) for i, c in enumerate(("userid", "docid", "event", "date", "platform"))], files.alias("file"))
+    return numbered.groupBy("userid", "event").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("file").alias("n_files"))
+
+
+def q_app_log_partitions(spark, sf):
+    """One app's lines spread over a stated number of partitions, none of them empty or twice the mean."""
+    sizes = with_position(app_log_extract(_lines(spark, sf), num_partitions=7)).groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.count(F.lit(1)).alias("n_partitions"), F.sum("n").alias("n"), (F.max("n") < 2 * F.avg("n")).alias("even"))
+
+
+def q_click_reducers(spark, sf):
+    """Five sorted reducers: whether each row stands behind a smaller or equal user, and how many reducers a user is in."""
+    path = work_path(spark, "reducers", unique=True)
+    with_position(click_extract_sorted(_lines(spark, sf), 5)).write.parquet(path)
+    at = spark.read.parquet(path)
+    one_before = F.lag("userid").over(W.partitionBy("partition").orderBy("position"))
+    judged = at.withColumn("in_order", F.coalesce(F.col("userid") >= one_before, F.lit(True)))
+    return judged.groupBy("userid").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("partition").alias("n_reducers"), F.min("in_order").alias("in_order")
+    )
+
+
+def q_user_rules_now(spark, sf):
+    """The rules at the present time: without ``as_of`` no user of the driver data is recent."""
+    judged = user_rules(user_stats(_weighted(spark, sf)), tz=TZ)
+    return judged.select("userid", "recent", "settled", "enough_strong")
+
+
 # --- documents -----------------------------------------------------------------
 
 def _doc_lines(spark, sf):
@@ -649,6 +705,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "train_rows_permuted": q_train_rows_permuted,
     "compact_by_size": q_compact_by_size,
     "key_states": q_key_states,
+    "scan_gz_only": q_scan_gz_only,
+    "sink_overwrite": q_sink_overwrite,
+    "app_log_partitions": q_app_log_partitions,
+    "click_reducers": q_click_reducers,
+    "user_rules_now": q_user_rules_now,
     "events_tsv_lenient": q_events_tsv_lenient,
     "events_tsv_odd": q_events_tsv_odd,
     "features_update_buckets": q_features_update_buckets,
