@@ -195,12 +195,13 @@ def pack_documents(
 
     Ranks within a length are numbered within ``rank_buckets`` hash buckets
     whose sizes are summed up first, so a length that a third of all pieces
-    have is numbered by as many tasks.
+    have, or one piece that as many rows repeat, is numbered by as many tasks.
     """
     spark = docs.sparkSession
-    pieces = materialize(cut_documents(docs, tokenizer, max_tokens, end_id), "pieces").withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(rank_buckets))
-    )
+    cut = cut_documents(docs, tokenizer, max_tokens, end_id)
+    # exact repeats of a piece are dealt by their number in the task, which is written with them
+    dealt = F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id() % rank_buckets)
+    pieces = materialize(cut.withColumn("bucket", F.pmod(dealt, F.lit(rank_buckets))), "pieces")
     sizes = pieces.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["length"]: r["n"] for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     before = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)

@@ -113,3 +113,16 @@ def test_any_other_tokenizer_is_used_itself(spark):
     rows = [r for r in pack_documents(awkward(spark), path, max_tokens=10**6).collect()]
     want = sorted(zlib.crc32(np.array(ids_of(other, r[1]), "<u4").tobytes()) for r in AWKWARD)
     assert sorted(r.ids_crc32 for r in rows) == want
+
+
+def test_one_piece_on_a_third_of_the_rows_is_ranked_by_many_buckets(spark, monkeypatch):
+    from clickweave.llm import packing
+
+    rows = [(7, "a b c d")] * 1500 + [(i, "w " * (i % 50)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, kept = [], packing.materialize
+    monkeypatch.setattr(packing, "materialize", lambda df, name: seen.append(kept(df, name)) or seen[-1])
+    got = pack_documents(docs, tokenizer_path(), max_tokens=256, rank_buckets=64).collect()
+    check_sequences(got, 256)
+    assert len(got) == 4500
+    assert max(r["count"] for r in seen[0].groupBy("length", "bucket").count().collect()) < 100
