@@ -93,25 +93,35 @@ def fingerprint_links(
 ) -> DataFrame:
     """Links between the distinct longs ``fp`` of ``prints``: ``a``, ``b``.
     Every two values within ``max_bits`` (0 to 2) bits are linked directly or
-    through a common value; no others are."""
+    through a common value; no others are.
+
+    The table holds each value's distances to ``n_pivots`` reference values.
+    Two values within ``max_bits`` bits have, under one of a few masks, the same
+    masked distance to every pivot: these tables of masked distances deal the
+    values to cells. Within a cell, pairs whose whole distances differ by more
+    than ``max_bits`` at any pivot are discarded, and the rest verified bit by
+    bit. Cells over ``max_cell`` values are not paired: there values meet at
+    the values one bit away from both, which gives the same groups."""
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits: 0, 1 or 2")
     fp = F.col("fp")
     pivots = _pivots(n_pivots, seed)
-    whole = pivots[:8]  # eight distances of 0 to 64 fit into one long
-    table = sum((F.shiftleft(_distance(fp, p).cast("long"), 7 * i) for i, p in enumerate(whole)), F.lit(0).cast("long"))
+    # the distance table: eight distances of 0 to 64 fit into one long
+    packs = [pivots[i : i + 8] for i in range(0, n_pivots, 8)]
+    table = F.array(
+        *(sum((F.shiftleft(_distance(fp, p).cast("long"), 7 * i) for i, p in enumerate(pack)), F.lit(0).cast("long")) for pack in packs)
+    )
     cells = [F.xxhash64(F.lit(t), *(_distance(fp, p, m) for p in pivots)) for t, m in enumerate(_masks(max_bits))]
     keyed = prints.select(fp, table.alias("distances"), F.explode(F.array(*cells)).alias("cell"))
     sizes = materialize(keyed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "cells")
     members = materialize(keyed.join(sizes, "cell"), "members")
 
     a, b = (members.filter(F.col("n") <= max_cell).select("cell", *(F.col(c).alias(c + s) for c in ("fp", "distances"))) for s in "ab")
-    apart = F.greatest(
-        *(
-            F.abs(F.shiftright("distancesa", 7 * i).bitwiseAND(F.lit(127)) - F.shiftright("distancesb", 7 * i).bitwiseAND(F.lit(127)))
-            for i in range(len(whole))
-        )
-    )
+    def distance_at(side: str, k: int) -> Column:
+        return F.shiftright(F.get(f"distances{side}", F.lit(k // 8)), 7 * (k % 8)).bitwiseAND(F.lit(127))
+
+    # the maximum coordinate difference: a pivot tells two values apart by no more than their own distance
+    apart = F.greatest(*(F.abs(distance_at("a", k) - distance_at("b", k)) for k in range(n_pivots)))
     verified = F.bit_count(F.col("fpa").bitwiseXOR(F.col("fpb"))) <= max_bits
     pairs = a.join(b, "cell").filter((F.col("fpa") < F.col("fpb")) & (apart <= max_bits) & verified)
     links = pairs.select(F.col("fpa").alias("a"), F.col("fpb").alias("b"))
