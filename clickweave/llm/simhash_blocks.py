@@ -16,6 +16,7 @@ joins; cells with many members are cut again by blocks of the other bits.
 
 from __future__ import annotations
 
+from collections import Counter
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -116,13 +117,16 @@ def _places(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
     """``docs`` (row, doc_id, text) with ``digest`` and ``bucket``, numbered
     upward in the order of documents; and the first document of each bucket.
 
-    Buckets are cut at quantiles of doc_id (at most ``buckets`` numbers); the
-    rows without one follow, by digest.
+    Buckets are cut at quantiles of doc_id (at most ``buckets`` numbers). An id
+    that several quantiles name has its rows cut again, by digest, into as many
+    parts. The rows without an id follow, by digest.
     """
     ids = docs.select("doc_id").filter("doc_id is not null")
     parts = [i / buckets for i in range(1, buckets)]
-    cuts = ids.agg(F.percentile_approx("doc_id", parts, 10 * buckets).alias("cuts")).collect()[0]["cuts"] or []
-    cuts = sorted(set(cuts))
+    quantiles = ids.agg(F.percentile_approx("doc_id", parts, 10 * buckets).alias("cuts")).collect()[0]["cuts"] or []
+    cuts = sorted(set(quantiles))
+    held = Counter(quantiles)
+    hot = [(F.lit(i), F.lit(n)) for i, n in held.items() if n > 1]  # at most half as many as buckets
     steps = max(1, len(cuts)).bit_length()
     full = cuts + [(1 << 63) - 1] * ((1 << steps) - 1 - len(cuts))  # a search tree of 2^steps leaves
     bounds = F.array(*map(F.lit, full)).cast("array<bigint>") if len(full) < 64 else F.from_json(F.lit(str(full)), "array<bigint>")
@@ -132,8 +136,13 @@ def _places(docs: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
         lambda at, step: F.when(F.element_at(bounds, at + step) <= F.col("doc_id"), at + step).otherwise(at),
     )
     digest = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    unnamed = F.shiftright("digest", 54).cast("int") + ((1 << steps) + 512)
-    placed = docs.withColumn("digest", digest).withColumn("bucket", F.when(F.col("doc_id").isNull(), unnamed).otherwise(place))
+    # a cut id comes first in its bucket: its parts by digest, then the ids behind it
+    parts_of = F.create_map(*[x for pair in hot for x in pair])[F.col("doc_id")] if hot else F.lit(None).cast("int")
+    share = (F.col("digest") / F.lit(float(1 << 63)) + 1) / 2
+    part = F.when(parts_of.isNotNull(), F.least(F.floor(share * parts_of), parts_of - 1)).otherwise(buckets)
+    unnamed = F.shiftright("digest", 54).cast("long") + ((1 << steps) + 512) * (buckets + 1)
+    named = place.cast("long") * (buckets + 1) + part
+    placed = docs.withColumn("digest", digest).withColumn("bucket", F.when(F.col("doc_id").isNull(), unnamed).otherwise(named))
     lowest = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("lowest")
     return placed, placed.groupBy("bucket").agg(lowest)
 

@@ -72,3 +72,47 @@ def test_block_tables_find_all(spark):
 def test_no_python_in_the_plan(spark):
     plan = fingerprints(awkward(spark).withColumn("k", F.lit(1)), ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_an_id_on_a_third_of_the_rows_is_cut_by_digest(spark):
+    from clickweave.llm.simhash_blocks import _places, edited_documents
+
+    texts = [(7 if i % 3 == 0 else i, f"text {i % 1500} of many") for i in range(3000)] + [(None, "no id"), (None, None), (0, "zero")]
+    rows = spark.createDataFrame([(n, i, t) for n, (i, t) in enumerate(texts)], "row long, doc_id long, text string")
+    placed, _ = _places(rows.withColumn("text", F.coalesce("text", F.lit(""))), 32)
+    sizes = [r["count"] for r in placed.groupBy("bucket").count().collect()]
+    assert max(sizes) < 200 and sum(sizes) == 3003
+    order = placed.select("row", "doc_id", "digest", "text").collect()
+    order.sort(key=lambda r: (r.doc_id is None, r.doc_id or 0, r.digest, r.text))
+    want = {}
+    for r, after in zip(order, [*order[1:], order[0]]):
+        half = len(r.text) // 2
+        want[r.row] = (r.text[: len(r.text) - half] + after.text[:half], (after.doc_id, after.text))
+    by_row = {r.row: (r.doc_id, r.text) for r in order}
+    got = {r.row: (r.edited, by_row[r.next_row]) for r in edited_documents(rows, 32).collect()}
+    assert got == want
+
+
+def test_likeness_columns_equal_brute_force(spark):
+    import math
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    got = compare_with_edits(docs, radius=3).collect()
+    prints = {r.doc_id: int(r.fingerprint, 16) for r in got}
+    ids = sorted(prints)
+
+    def like(a, b):
+        return max(0.0, math.cos((a ^ b).bit_count() * math.pi / 128))
+
+    for r in got:
+        after = ids[(ids.index(r.doc_id) + 1) % len(ids)]
+        assert math.isclose(r.near_edited, like(prints[r.doc_id], int(r.edited_fingerprint, 16)), abs_tol=1e-12)
+        assert math.isclose(r.near_next, like(prints[r.doc_id], prints[after]), abs_tol=1e-12)
+        assert r.n_near == sum((prints[r.doc_id] ^ x).bit_count() <= 3 for x in prints.values()) - 1
+    # the fingerprint of an edited text is that of the text itself
+    texts = dict(docs.collect())
+    edits = [(i, texts[i][: len(texts[i]) - len(texts[i]) // 2] + texts[n][: len(texts[i]) // 2]) for i, n in zip(ids, [*ids[1:], ids[0]])]
+    again = {r.k: (r.hi, r.lo) for r in fingerprints(spark.createDataFrame(edits, "k long, text string"), ["k"]).collect()}
+    for r in got:
+        hi, lo = (x & (2**64 - 1) for x in again[r.doc_id])
+        assert r.edited_fingerprint == f"{hi:016x}{lo:016x}"
