@@ -13,6 +13,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from typing import Any
@@ -53,13 +54,37 @@ WORD_CUT = {
 }
 
 
+class PieceIds(dict):
+    """Token ids (little-endian uint32 bytes) of lower-cased pieces, straight from the file's BPE model."""
+
+    def __init__(self, model: Any):
+        super().__init__()
+        self.model = model
+        printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        others = [b for b in range(256) if b not in set(printable)]
+        self.byte_chars = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        # printable ASCII stands for itself
+        chars = piece if piece.isascii() else "".join(map(self.byte_chars.__getitem__, piece.encode()))
+        out = self[piece] = pack_ids([t.id for t in self.model.tokenize(chars)])
+        return out
+
+
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds(dict):
-    """Token ids (little-endian uint32 bytes) of words cut at ASCII white space.
+    """Token ids (little-endian uint32 bytes) of texts and of words cut at ASCII white space.
 
     For tokenizers that drop white space and never merge across it (``fits``
-    tells), so a text's ids are its words' ids in a row. Words of plain letters, digits and
-    punctuation are cut by its own pattern and go straight to its BPE model;
-    any others (rare scripts, special tokens) take the whole encoder.
+    tells), so a text's ids are its words' ids in a row. Texts of plain
+    letters, digits and punctuation are cut by the tokenizer's own pattern and
+    their pieces go to its BPE model; in other texts so do the plain words, and
+    the rest (rare scripts, special tokens) take the whole encoder.
     """
 
     def __init__(self, path: str):
@@ -67,36 +92,26 @@ class WordIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces: dict[str, bytes] = {}
-        printable = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-        others = [b for b in range(256) if b not in set(printable)]
-        self.byte_chars = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.pieces = PieceIds(self.tokenizer.model)
         #: ASCII and the accented Latin-1 letters: lower-casing and NFC are plain there.
         self.plain = re.compile(r"[!-~À-ÖØ-öø-ÿ]+").fullmatch
-        self.cut = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+").findall
+        self.plain_text = re.compile(r"[ \t-\r!-~À-ÖØ-öø-ÿ]*").fullmatch
+        self.cut = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^ \t-\ra-zß-öø-ÿ0-9]+").findall
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
         text = word.decode()
         if self.plain(text) and "<|" not in text:
-            out = b"".join(map(self.piece, self.cut(text.lower())))
+            out = b"".join(map(self.pieces.__getitem__, self.cut(text.lower())))
         else:
-            out = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            out = pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
         self[word] = out
         return out
 
-    def piece(self, text: str) -> bytes:
-        out = self.pieces.get(text)
-        if out is None:
-            if len(self.pieces) >= CACHE_WORDS:
-                self.pieces.clear()
-            chars = "".join(map(self.byte_chars.__getitem__, text.encode()))
-            out = np.array([t.id for t in self.tokenizer.model.tokenize(chars)], "<u4").tobytes()
-            self.pieces[text] = out
-        return out
-
     def encode(self, text: str) -> bytes:
+        if self.plain_text(text) and "<|" not in text:
+            return b"".join(map(self.pieces.__getitem__, self.cut(text.lower())))
         return b"".join(map(self.__getitem__, text.encode().split()))
 
     @staticmethod
