@@ -17,7 +17,7 @@ from clickweave.operators.normalise import (
 )
 
 
-def _text_stream(spark: SparkSession, source_dir: str, gz_only: bool = True, max_files: int = 1000) -> DataFrame:
+def _text_stream(spark: SparkSession, source_dir: str, gz_only: bool = True, max_files: int = 100) -> DataFrame:
     r = spark.readStream.format("text").option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files)
     if gz_only:
         r = r.option("pathGlobFilter", "*.gz")
@@ -36,7 +36,7 @@ def start_normalise_stream(
     checkpoint: str,
     available_now: bool = True,
     gz_only: bool = True,
-    max_files: int = 1000,
+    max_files: int = 100,
     **options,
 ) -> StreamingQuery:
     """Write normalised events to ``out_dir/events`` and rejects to ``out_dir/quarantine`` (parquet).
