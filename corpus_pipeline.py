@@ -8,10 +8,12 @@ so a stage starts from files whatever executors were lost before.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.llm.common import table
+from clickweave.llm.common import fresh, table
 from clickweave.llm.language_id import fit_dictionaries, identify_language
 from clickweave.llm.line_dedup import dedup_lines
 from clickweave.llm.mixing import mix_sources
@@ -21,31 +23,53 @@ from clickweave.llm.simhash_pivots import drop_near_duplicates
 from clickweave.session import materialize
 
 
+def _aside(docs: DataFrame, added: tuple[str, ...], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``operator`` on ``docs``, of which it returns the columns: those that are
+    named like its own ``added`` ones go under another name meanwhile."""
+    names = {c: fresh(docs, f"{c}_") for c in docs.columns if c.lower() in added}
+    out = operator(docs.withColumnsRenamed(names))
+    return out.select(*(F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns))
+
+
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is identified; those without letters or with a narrow margin go."""
+    """Documents whose language is identified; those that are null, empty, without
+    letters or with a narrow margin (ties: none) go. Rows that repeat an id or a
+    text are judged each; columns keep their names and values; an empty table
+    gives an empty table."""
     dictionaries = fit_dictionaries(docs.select("doc_id", "text", "lang"))
-    return identify_language(docs, dictionaries).filter("accepted").select(docs.columns)
+    added = ("lang_pred", "score", "margin", "accepted")
+    return _aside(docs, added, lambda d: identify_language(d, dictionaries).filter("accepted"))
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document without the lines that ten or more documents have."""
-    kept = dedup_lines(docs, min_docs=10, min_chars=1)
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+    """Every document without the lines that ten or more documents have; rows that
+    repeat an id or a text are documents of their own. A null text becomes empty,
+    and ``n_chars`` counts what is left; other columns keep their values."""
+    def dedup(d: DataFrame) -> DataFrame:
+        return dedup_lines(d, min_docs=10, min_chars=1).withColumn("n_chars", F.char_length("text").cast("long"))
+
+    return _aside(docs, ("n_lines", "n_dropped"), dedup)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (fingerprints within two bits)."""
+    """One document of each group of near copies (fingerprints within two bits):
+    that of the smallest doc_id, of rows that repeat it the one that sorts first.
+    Texts without words, null ones too, form one group."""
     return drop_near_duplicates(docs, shingle=3, max_bits=2)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The sources in their target proportions, with as many words as before;
-    a document of a source in demand is taken twice at most."""
-    return mix_sources(docs, mix_levels(), MIX_WEIGHTS, max_epochs=2, seed=MIX_SEED).select(docs.columns)
+    """The sources in their target proportions, with as many words as before; a
+    document of a source in demand is taken twice at most. Null languages and
+    sources are branches of their own; equal places are ordered by doc_id and
+    text."""
+    added = ("epoch", "n_tokens", "leaf_budget")
+    return _aside(docs, added, lambda d: mix_sources(d, mix_levels(), MIX_WEIGHTS, max_epochs=2, seed=MIX_SEED))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces and their places in sequences of 2048."""
+    """Token pieces and their places in sequences of 2048; a null or empty text is its
+    end token, repeated rows are packed each, and no other column is read."""
     return pack_documents(docs.select("doc_id", "text"), tokenizer_path(), max_tokens=2048, end_id=1)
 
 
