@@ -59,3 +59,39 @@ def test_a_word_that_does_not_fit_keeps_no_other_out(spark):
     rows = [(i, "x" * 9000 + " short words stay here", "en") for i in range(5)]
     made = fit_dictionaries(spark.createDataFrame(rows, "doc_id long, text string, lang string"), chars_per_doc=10_000)
     assert made["en"].split() == [b"words", b"stay", b"short", b"here"]
+
+
+def test_dictionaries_and_judgement_equal_a_plain_computation(spark):
+    import math
+
+    import zstandard as z
+
+    vocabulary = {"aa": "alpha beta gamma delta omega kappa".split(), "bb": "uno dos tres cuatro cinco seis".split()}
+    rows = [(i, " ".join(vocabulary[lang][(i * 5 + k) % 6] for k in range(4 + i % 9)) + "!", lang)
+            for i, lang in enumerate(["aa", "bb"] * 20)] + [(99, "lonely", "aa"), (100, None, "aa"), (101, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    made = fit_dictionaries(docs)
+    for lang in vocabulary:
+        texts = [set(t.rstrip("!").split()) for _, t, of in rows if of == lang and t]
+        uses = {w: sum(w in t for t in texts) for w in vocabulary[lang]}
+        listed = sorted((w for w in uses if uses[w] >= 2), key=lambda w: (-uses[w], w))
+        assert made[lang] == b" " + b"".join(w.encode() + b" " for w in reversed(listed))
+
+    settings = z.ZstdCompressionParameters(window_log=17, hash_log=14, chain_log=14, search_log=2, min_match=4, target_length=8,
+                                           strategy=z.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
+    long = ("alpha beta uno " * 300, "gamma delta ", "cinco! seis? dos.", "12 !", "aé")
+    asked = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    for r in identify_language(asked, made, window=100).collect():
+        text = long[r.doc_id]
+        if not any(c.isalpha() for c in text):
+            assert (r.lang_pred, r.score) == (NO_LANGUAGE, 0.0)
+            continue
+        data = (" " + " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) + " ").encode()
+        sizes = {}
+        for lang, words in made.items():
+            d = z.ZstdCompressionDict(words, dict_type=z.DICT_TYPE_RAWCONTENT)
+            sizes[lang] = sum(len(z.ZstdCompressor(dict_data=d, compression_params=settings).compress(data[i : i + 100])) for i in range(0, len(data), 100))
+        first, second = sorted(sizes, key=lambda k: (sizes[k], k))
+        margin = (sizes[second] - sizes[first]) / sizes[second]
+        assert (r.lang_pred, r.accepted) == (first, margin >= 0.002)
+        assert math.isclose(r.margin, margin) and math.isclose(r.score, min(1.0, 0.5 + 4 * margin))

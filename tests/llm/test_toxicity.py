@@ -63,3 +63,56 @@ def test_one_id_on_a_third_of_the_rows_stays_one_text(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "materialize", lambda df, name: seen.append(kept(df, name)) or seen[-1])
     fit_toxicity(docs, labels.filter("doc_id = 5 or toxic = 0"), toxic_docs=2, ordinary_docs=3)
     assert seen[0].count() == 4
+
+
+def test_scores_equal_a_plain_computation(spark):
+    """Dictionaries, savings, calibration and scores of a tiny table, each computed again in plain Python."""
+    import math
+
+    import numpy as np
+    import zstandard as z
+
+    from clickweave.llm import toxicity as T
+
+    common = "the of and to in house garden street winter summer".split()
+    rude = "scumbag moronic filthy idiotic".split()
+    rows, marks = [], []
+    for i in range(60):
+        toxic = i % 3 == 0
+        words = [common[(i * 7 + 3 * k) % len(common)] for k in range(20)]
+        if toxic:
+            for k in range(5):
+                words.insert(2 + 3 * k, rude[(i + k) % 4])
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = fit_toxicity(docs, labels, min_docs=5, min_evidence=5.0, common_bytes=300, toxic_bytes=200)
+
+    held = {k: [t.split() for (_, t), (_, m) in zip(rows, marks) if m == k] for k in (0, 1)}
+    uses = {w: [sum(w in d for d in held[k]) for k in (0, 1)] for w in common + rude}
+    listed = sorted((w for w in uses if uses[w][0]), key=lambda w: (-uses[w][0], w))
+    shared = b"".join(b" " + w.encode() for w in reversed(listed)) + b" "
+    worst = sorted((w for w in rude if not uses[w][0]), key=lambda w: (-uses[w][1], w))
+    assert model.ordinary == shared
+    assert model.toxic == b"".join(b" " + w.encode() for w in reversed(worst)) + shared
+
+    settings = z.ZstdCompressionParameters(window_log=17, hash_log=14, chain_log=14, search_log=3, min_match=4, target_length=8,
+                                           strategy=z.STRATEGY_LAZY, write_content_size=0, write_checksum=0, write_dict_id=0)
+    size = lambda words, text: len(z.ZstdCompressor(
+        dict_data=z.ZstdCompressionDict(words, dict_type=z.DICT_TYPE_RAWCONTENT), compression_params=settings).compress(text))
+
+    def features(text):
+        words = text.split()
+        windows = [f" {' '.join(words[i : i + model.window_words])} ".encode() for i in range(0, len(words), model.window_words)]
+        saved = [size(model.ordinary, w) - size(model.toxic, w) for w in windows]
+        reached = [sum(s >= t for s in saved) for t in model.thresholds]
+        return [sum(saved) / len(saved), max(0, *saved), *(r / len(saved) for r in reached), *(min(r, 4) for r in reached), 1.0]
+
+    x, y = np.array([features(t) for _, t in rows]), np.array([m for _, m in marks])
+    p = 1 / (1 + np.exp(-np.clip(x @ model.weights, -30, 30)))
+    ridge = 1e-3 * np.append(model.weights[:-1], 1e-3 * model.weights[-1])
+    assert np.abs(x.T @ (p - y) / len(y) + ridge).max() < 1e-4  # the loss is at its minimum
+    for r in score_toxicity(docs, model).collect():
+        assert math.isclose(r.score, p[r.doc_id], abs_tol=1e-9) and r.predicted == (r.score >= 0.5)
+    assert T.window_features(np.array([], int), (2, 4)) == [0.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0]
