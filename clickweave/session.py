@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,16 +67,36 @@ def work_path(spark: SparkSession, name: str, unique: bool = False) -> str:
     finished run's stage tables are one directory to remove.
     """
     base = shared_dir(spark)
-    leaf = f"{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}" if unique else name
+    leaf = f"{spark.sparkContext.applicationId}/{_SCRATCH.get()}{name}-{uuid.uuid4().hex[:12]}" if unique else name
     return f"{base}/clickweave/{leaf}"
 
 
+_SCRATCH: ContextVar[str] = ContextVar("scratch", default="")
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Stage tables that are written inside go when the block ends. What must
+    outlive it (a result) is written to a path taken before."""
+    token = _SCRATCH.set(f"{_SCRATCH.get()}scratch-{uuid.uuid4().hex[:12]}/")
+    path = f"{shared_dir(spark)}/clickweave/{spark.sparkContext.applicationId}/{_SCRATCH.get()}"
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        remove_path(spark, path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more, through Hadoop's file systems."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def remove_stage_tables(spark: SparkSession) -> None:
     """Remove the stage tables of this application. Call it when no DataFrame
     that reads one is used any more; cached input trees stay."""
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/clickweave/{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove_path(spark, f"{shared_dir(spark)}/clickweave/{spark.sparkContext.applicationId}")
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -20,7 +20,7 @@ from clickweave.llm.mixing import mix_sources
 from clickweave.llm.packing import pack_documents
 from clickweave.llm.queries import MIX_SEED, MIX_WEIGHTS, mix_levels, tokenizer_path
 from clickweave.llm.simhash_pivots import drop_near_duplicates
-from clickweave.session import materialize
+from clickweave.session import remove_path, scratch, work_path
 
 
 def _aside(docs: DataFrame, added: tuple[str, ...], operator: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -86,7 +86,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's result. What a stage wrote on its way goes once its own
+    result is written, and that once the next stage's is."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        path = work_path(spark, name, unique=True)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            remove_path(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -54,3 +54,21 @@ def test_stage_tables_are_removed_and_file_uris_work(spark, tmp_dir, monkeypatch
     session.remove_stage_tables(spark)
     assert not os.path.exists(f"{tmp_dir}/clickweave/{spark.sparkContext.applicationId}")
     assert spark.read.parquet(first).count() == 3
+
+
+def test_scratch_removes_what_was_written_inside(spark):
+    import os
+
+    from clickweave.session import materialize, scratch, work_path
+
+    kept = work_path(spark, "result", unique=True)
+    with scratch(spark):
+        inner = materialize(spark.range(5), "inside")
+        inside = [f.removeprefix("file://") for f in inner.inputFiles()]
+        with scratch(spark):
+            assert materialize(spark.range(2), "deeper").count() == 2
+        inner.write.parquet(kept)
+    assert inside and not any(os.path.exists(f) for f in inside)
+    assert spark.read.parquet(kept).count() == 5
+    after = materialize(spark.range(3), "after")
+    assert "scratch-" not in after.inputFiles()[0] and after.count() == 3
