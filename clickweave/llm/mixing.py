@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from clickweave.operators.ranking import ranked_in_groups
 from clickweave.session import materialize
 
 SPACE = r"[ \t\n\x0B\f\r]+"
@@ -184,7 +185,9 @@ def mix_sources(
     taken = planned.withColumn("times", times).filter("times > 0")
     whole = taken.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1)))
     last = planned.filter(F.col("bucket") == F.col("edge"))
-    upto = W.partitionBy(*path).orderBy("order_key", doc_id, text).rowsBetween(W.unboundedPreceding, -1)
-    start = F.col("before") + F.coalesce(F.sum("n_tokens").over(upto), F.lit(0))
-    edge = last.withColumn("start", start).filter("start < rest").withColumn("epoch", F.col("whole"))
+    # rows without a doc_id share an order key, so the last bucket may be large: ranks come from ranges of it
+    order = [F.col("order_key"), F.col(doc_id), F.col(text)]
+    summed = ranked_in_groups(last, path, order, running={"upto": F.col("n_tokens")}, rank="place")
+    start = F.col("before") + F.col("upto") - F.col("n_tokens")
+    edge = summed.filter(start < F.col("rest")).withColumn("epoch", F.col("whole"))
     return whole.select(*out).unionByName(edge.select(*out))

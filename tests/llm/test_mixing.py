@@ -92,3 +92,12 @@ def test_columns_with_internal_names_keep_their_values(spark):
     rows = got.collect()
     assert all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in names)
     assert sorted((r.doc_id, r.epoch) for r in rows) == sorted((r.doc_id, r.epoch) for r in plain.collect())
+
+
+def test_rows_without_an_id_are_ranked_in_ranges(spark):
+    """A third of the rows share one order key; the budget ends among them."""
+    rows = [(None if i % 3 == 0 else i, f"{i % 700} " + "w " * (i % 5), "en" if i % 2 else "de", "s") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    for total in (2500, 6000):
+        got = mix_sources(docs, levels(), {("en",): 2}, total_tokens=total, max_epochs=2, seed=3)
+        assert sorted(((r.doc_id, r.epoch, r.leaf_budget) for r in got.collect()), key=str) == brute(rows, {("en",): 2}, total, 2, 3)
