@@ -14,6 +14,7 @@ is counted.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from typing import NamedTuple
@@ -164,10 +165,13 @@ def scan_licenses(
         groups.append(_blocks(stride, own_anchors, own_words, min(ordered[i].need for i in held)))
     found = materialize(marked.select("row", "doc_id", F.size("words").cast("long").alias("n_words"), F.concat(*groups).alias("blocks")), "blocks")
 
-    index = spark.createDataFrame(
-        [(x.stride, w, x.label, x.phrase, x.words, x.tokens, x.need) for x, prefix in zip(ordered, prefixes) for w in prefix],
-        "stride int, word string, label string, phrase boolean, template array<string>, tokens array<string>, need int",
-    )
+    rows = [
+        {"stride": x.stride, "word": w, "label": x.label, "phrase": x.phrase, "template": x.words, "tokens": x.tokens, "need": x.need}
+        for x, prefix in zip(ordered, prefixes)
+        for w in prefix
+    ]
+    kinds = "stride:int,word:string,label:string,phrase:boolean,template:array<string>,tokens:array<string>,need:int"
+    index = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{kinds}>>")))
     blocks = found.select("row", F.explode("blocks").alias("b")).select("row", "b.*")
     least = {s: min(x.need for x in ordered if x.stride == s) for s in {x.stride for x in ordered}}
     least_need = F.coalesce(*(F.when(F.col("stride") == s, F.lit(n)) for s, n in least.items()))

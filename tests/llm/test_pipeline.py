@@ -110,6 +110,18 @@ def leaf_budgets_of(held, weights, epochs):
     return {p: n for p, n in budgets.items() if len(p) == 3}
 
 
+def test_run_leaves_no_copies_behind(spark):
+    import glob
+
+    from clickweave.session import shared_dir
+
+    base = f"{shared_dir(spark).removeprefix('file://')}/clickweave/{spark.sparkContext.applicationId}"
+    before = set(glob.glob(f"{base}/*"))
+    rows = corpus_pipeline.run(spark, SF)
+    left = {p.split("/")[-1].rsplit("-", 1)[0] for p in set(glob.glob(f"{base}/*")) - before}
+    assert left <= {"mixing", "pieces"} and rows.count() > 0
+
+
 def test_empty_documents(spark, tmp_dir):
     docs = empty(spark)
     for name, stage in corpus_pipeline.STAGES:
