@@ -375,7 +375,10 @@ def score_documents(
     alone. base_score: log10 probability under smoothed unigram counts; score:
     under the model. Without training rows both are 0. Repeated rows count and
     are returned each; null doc_ids stay null. Other columns are not read. An
-    empty table gives an empty table.
+    empty table gives an empty table. A worker holds a batch's tokens, whatever
+    the length of a text. Every task trains on its own rows and the copies are
+    averaged, so scores depend on how the input is split into tasks; counts and
+    base scores do not.
 
     Bounded, whatever the corpus: ``vocabulary`` outputs, ``units`` hidden and
     embedded units, ``frequent_words`` words in the workers' dictionary,
