@@ -35,8 +35,8 @@ def ranked_in_groups(
     rows: DataFrame,
     group: Sequence[str],
     order: Sequence[Column],
-    running: Mapping[str, Column] = {},
-    totals: Mapping[str, Column] = {},
+    running: Mapping[str, Column] | None = None,
+    totals: Mapping[str, Column] | None = None,
     rank: str = "rank",
     num_partitions: int | None = None,
 ) -> DataFrame:
@@ -47,6 +47,7 @@ def ranked_in_groups(
     more than a range of a group. ``order`` should be total: rows equal in it
     are numbered in any order.
     """
+    running, totals = running or {}, totals or {}
     held = ranged(rows, group, order, num_partitions)
     here = Window.partitionBy("_range", *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     parts = held.groupBy("_range", *group).agg(
@@ -66,7 +67,7 @@ def ranked_in_groups(
     )
     numbered = held.select(
         "*",
-        F.row_number().over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_at"),
+        F.row_number().over(here).alias("_at"),
         *(F.sum(c).over(here).alias(f"_here_{k}") for k, c in running.items()),
     )
     same = numbered["_range"] == offsets["_range"]
