@@ -49,3 +49,20 @@ def test_sampler_windows_share_one_user_exchange(lines):
     first_exchange = re.search(r"Exchange (\w+)\(([^,)]*)", below)
     assert first_exchange.group(1) == "hashpartitioning" and first_exchange.group(2).startswith("userid")
     assert "BatchEvalPython" not in p
+
+
+def test_a_file_of_one_row_group_is_spread(spark, tmp_dir):
+    """Splits by bytes that hold no row group are no spread."""
+    from pyspark.sql import functions as F
+
+    from clickweave.plans.adapter import load
+
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v")).coalesce(1).write.parquet(f"{tmp_dir}/t.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = load(spark, tmp_dir, "t")
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(sizes) == 20_000 and len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 6_000
+    assert load(spark, tmp_dir, "t", spread=False).count() == 20_000
