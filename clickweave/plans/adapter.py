@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.codes import DATE_TIME_FORMAT
+from clickweave.functions.columns import evaluate_once
 
 # fixed adapter values
 ADAPTER_APPS = ["apple", "oppo", "xiaomi", "oppobrowser", "mibrowser", "vivobrowser", "other"]
@@ -170,7 +171,7 @@ def lenient_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
         date = F.when(eid % LENIENT_FORMS == i, form).otherwise(date)
     short = F.concat_ws("\t", F.lit("u"), eid.cast("string"), F.lit("clk"))
     whole = F.concat_ws("\t", F.lit("u"), eid.cast("string"), F.lit("clk"), date, F.lit("app_oppo"))
-    return ev.select(F.when(eid % LENIENT_FORMS == 7, short).otherwise(whole).alias("value"))
+    return ev.select(evaluate_once(F.when(eid % LENIENT_FORMS == 7, short).otherwise(whole)).alias("value"))
 
 
 #: Records with mistyped or missing fields, by event_id % 12; N is the event's number.

@@ -14,6 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from clickweave.functions import strings as S
+from clickweave.functions.columns import evaluate_once
 from clickweave.functions.time import epoch_seconds, parse_wall_clock
 from clickweave.operators import (
     active_user_clicks, active_users, app_log_extract, click_events, click_extract, click_extract_ranged, click_extract_sorted,
@@ -375,13 +376,9 @@ def q_events_tsv_lenient(spark, sf):
 
 def q_events_tsv_odd(spark, sf):
     """Why lines of the same table are dropped, read strictly and leniently."""
-    out = None
-    for lenient in (False, True):
-        reason = tsv_reject_reason(tz=TZ, floor=LATE_FLOOR, lenient=lenient)
-        counts = A.lenient_tsv(spark, sf).select(reason.alias("reason")).filter("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
-        counts = counts.withColumn("lenient", F.lit(lenient))
-        out = counts if out is None else out.unionByName(counts)
-    return out
+    reads = (F.struct(F.lit(x).alias("lenient"), tsv_reject_reason(tz=TZ, floor=LATE_FLOOR, lenient=x).alias("reason")) for x in (False, True))
+    reasons = A.lenient_tsv(spark, sf).select(F.inline(F.array(*reads))).filter("reason is not null")
+    return reasons.groupBy("reason", "lenient").agg(F.count(F.lit(1)).alias("n")).select("reason", "n", "lenient")
 
 
 def q_scan_gz_only(spark, sf):
@@ -605,7 +602,7 @@ def q_doc_score_batches(spark, sf):
 def q_events_tsv_rejects(spark, sf):
     """Why lines of the whole normalised log are no training events after the late floor."""
     lines = spark.read.text(_events_tsv_dir(spark, sf))
-    reason = tsv_reject_reason(tz=TZ, floor=LATE_FLOOR)
+    reason = evaluate_once(tsv_reject_reason(tz=TZ, floor=LATE_FLOOR))
     return lines.select(reason.alias("reason")).filter("reason is not null").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.functions.codes import DATE_TIME_FORMAT, DEFAULT_TIME_ZONE, EVENT_TIME_FLOOR, EVENT_WEIGHTS
-from clickweave.functions.columns import evaluate_once
+from clickweave.functions.columns import bind, evaluate_once
 from clickweave.functions.strings import java_split
 from clickweave.functions.time import epoch_seconds, wall_clock_literal_epoch
 
@@ -47,7 +47,7 @@ def prepare_training_events(
 
 def parse_events_tsv(lines: DataFrame, min_fields: int = 5) -> DataFrame:
     """``value`` TSV lines -> (userid, docid, event, date, platform) strings."""
-    f = java_split("value", "\t")
+    f = evaluate_once(java_split("value", "\t"))
     return (
         lines.select(f.alias("f"))
         .filter(F.size("f") >= min_fields)
@@ -67,16 +67,24 @@ def tsv_reject_reason(
     min_fields: int = 5,
     lenient: bool = False,
 ) -> Column:
-    """The first of :data:`TSV_REASONS` that keeps the line ``value`` out, else NULL."""
-    f = java_split("value", "\t")
-    t = epoch_seconds(f[3], tz, fmt, lenient)
-    early = t < 0 if floor is None else (t < 0) | (t < wall_clock_literal_epoch(floor, tz, fmt))
-    return (
-        F.when(F.size(f) < min_fields, F.lit("too_short"))
-        .when(~F.coalesce(f[2].isin(list(weights)), F.lit(False)), F.lit("no_weight"))
-        .when(t.isNull(), F.lit("bad_date"))
-        .when(early, F.lit("too_early"))
-    )
+    """The first of :data:`TSV_REASONS` that keeps the line ``value`` out, else NULL.
+
+    The line is split once, and its date read once if the rules get that far. A
+    caller that filters by the reason takes it through :func:`evaluate_once`.
+    """
+
+    def by_time(t: Column) -> Column:
+        early = t < 0 if floor is None else (t < 0) | (t < wall_clock_literal_epoch(floor, tz, fmt))
+        return F.when(t.isNull(), F.lit("bad_date")).when(early, F.lit("too_early"))
+
+    def reason(f: Column) -> Column:
+        return (
+            F.when(F.size(f) < min_fields, F.lit("too_short"))
+            .when(~F.coalesce(f[2].isin(list(weights)), F.lit(False)), F.lit("no_weight"))
+            .otherwise(bind(epoch_seconds(f[3], tz, fmt, lenient), by_time))
+        )
+
+    return bind(java_split("value", "\t"), reason)
 
 
 def scan_events_tsv(

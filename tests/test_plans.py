@@ -66,3 +66,32 @@ def test_a_file_of_one_row_group_is_spread(spark, tmp_dir):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sum(sizes) == 20_000 and len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 6_000
     assert load(spark, tmp_dir, "t", spread=False).count() == 20_000
+
+
+def test_a_line_is_read_once_for_all_its_rules(spark, tmp_dir):
+    """Neither the line, its fields nor its date are worked out once per rule, and both readings share a scan."""
+    from pyspark.sql import functions as F
+
+    from clickweave.functions.columns import evaluate_once
+    from clickweave.plans.queries import q_events_tsv_odd
+    from clickweave.sources.events_tsv import parse_events_tsv, tsv_reject_reason
+
+    rows = [(None,), ("u\td",), ("u\td\tzzz\t2024-02-03 04:05:06\tp",), ("u\td\tclk\tsoon\tp",), ("u\td\tclk\t2024-02-03 4:5:6\tp",),
+            ("u\td\tclk\t2024-13-03 04:05:06\tp",), ("u\td\tclk\t2001-01-01 00:00:00\tp",), ("u\td\tclk\t2024-02-03 04:05:06\tp",)]
+    lines = spark.createDataFrame(rows, "value string").repartition(1)
+    wanted = {False: ["no_weight", "too_short", "no_weight", "bad_date", "bad_date", "bad_date", "too_early", None],
+              True: ["no_weight", "too_short", "no_weight", "bad_date", None, None, "too_early", None]}
+    for lenient, want in wanted.items():
+        reason = tsv_reject_reason(tz="UTC", floor="2024-01-10 12:00:00", lenient=lenient)
+        assert [r[0] for r in spark.createDataFrame(rows, "value string").coalesce(1).select(reason).collect()] == want
+        kept = lines.select(evaluate_once(reason).alias("reason")).filter("reason is not null")
+        assert plan(kept).count("split(") == 1 and plan(kept).count("regexp_extract(") == (6 if lenient else 0)
+    assert plan(parse_events_tsv(lines)).count("split(") == 1
+
+    events = "select id as event_id, id as user_id, timestamp'2024-01-09 00:00:00' + make_dt_interval(0, id) as ts from range(80)"
+    spark.sql(events).write.parquet(f"{tmp_dir}/events.parquet")
+    out = q_events_tsv_odd(spark, tmp_dir)
+    physical = plan(out)
+    assert physical.count("FileScan") == 1 and physical.count("yesterday") == 1 and physical.count("regexp_extract(") == 6
+    n = {(r.lenient, r.reason): r.n for r in out.collect()}
+    assert n[False, "too_short"] == n[True, "too_short"] == 10 and n[True, "bad_date"] == 10 and n[True, "too_early"] > n[False, "too_early"]
