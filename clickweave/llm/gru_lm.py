@@ -37,6 +37,8 @@ END = ""
 CLASSES, PER_CLASS, HIDDEN, EMBEDDED, WORD_TYPES = 32, 64, 12, 12, 64
 VOCABULARY = CLASSES * PER_CLASS
 SMOOTH = 0.1
+#: Below this size, sums of exponentials neither overflow nor vanish in single precision.
+BOUNDED = 40.0
 
 Params = dict[str, np.ndarray]
 
@@ -74,20 +76,21 @@ def first_params(unigram: np.ndarray, seed: int = 11, units: int | None = None,
     }
 
 
-def _softmax(x: np.ndarray, target: np.ndarray, weight: np.ndarray | None):
-    """Log probabilities of the targets under the columns of ``x`` ([choices, tokens], overwritten);
-    with ``weight``, the gradient of minus their weighted sum by ``x`` as well."""
+def _softmax(x: np.ndarray, target: np.ndarray, bounded: bool):
+    """Log probabilities of the targets under the columns of ``x`` ([choices, tokens]) and the sums of the
+    exponentials that ``x`` holds afterwards; ``bounded`` inputs need no shift before exp."""
     at = np.arange(len(target))
-    x -= x.max(0)
+    if not bounded:
+        x -= x.max(0)
     picked = x[target, at]
     np.exp(x, out=x)
     total = x.sum(0)
-    logs = picked - np.log(total)
-    if weight is None:
-        return logs, None
-    x *= weight / total
-    x[target, at] -= weight
-    return logs, x
+    return picked - np.log(total), total
+
+
+def _sorted(ids: np.ndarray) -> np.ndarray:
+    """The stable order of ids; 16 bits are sorted by their digits."""
+    return np.argsort(ids.astype(np.uint16) if ids.max(initial=0) < 1 << 16 else ids, kind="stable")
 
 
 def _by_lane(x: np.ndarray) -> np.ndarray:
@@ -133,36 +136,49 @@ def log_probs(p: Params, states: np.ndarray, target: np.ndarray, grads: Params |
     adds the gradients of minus their weighted sum and returns that of the
     states as well."""
     classes, per_class = p["word_bias"].shape
-    order = np.argsort(target // per_class, kind="stable")  # tokens of one class lie together
+    n, h = states.shape
+    order = _sorted(target // per_class)  # tokens of one class lie together
     of_class, of_word = np.divmod(target[order], per_class)
     ends = np.searchsorted(of_class, np.arange(classes + 1))
-    states = states[order]
+    # a state ends in 1 and weights in the biases, so that products hold the biases and their gradients
+    state = np.ones((h + 1, n), states.dtype)
+    state[:h] = states[order].T
+    to_class = np.vstack([p["to_class"], p["class_bias"]])
+    to_word = np.concatenate([p["to_word"], p["word_bias"][:, None]], axis=1)
+    most = max(1.0, float(states.max(initial=0)), -float(states.min(initial=0)))
+    bounded = most * max(float(np.abs(to_class).sum(0).max()), float(np.abs(to_word).sum(1).max())) < BOUNDED
     weight = None if grads is None else weight[order]
-    x = np.matmul(p["to_class"].T, states.T)
-    x += p["class_bias"][:, None]
-    logs, d = _softmax(x, of_class, weight)
-    d_states = None
+    d_states = None if grads is None else np.zeros((h, n), to_class.dtype)
+
+    def choose(weights: np.ndarray, part: slice, chosen: np.ndarray):
+        """Log probabilities of the ``chosen``; adds the gradient by the states, returns that by the weights."""
+        x = weights.T @ state[:, part]
+        logs, total = _softmax(x, chosen, bounded)
+        if grads is None:
+            return logs, None
+        # the gradient by x is weight * (x / total - 1 at the target); the factor weight / total is taken on the narrow side
+        x[chosen, np.arange(len(chosen))] -= total
+        factor = weight[part] / total
+        d_states[:, part] += (weights[:h] @ x) * factor
+        return logs, (state[:, part] * factor) @ x.T
+
+    logs, d = choose(to_class, slice(0, n), of_class)
     if grads is not None:
-        grads["to_class"] += (d @ states).T
-        grads["class_bias"] += d.sum(1)
-        d_states = d.T @ p["to_class"].T
+        grads["to_class"] += d[:h]
+        grads["class_bias"] += d[h]
     for c in np.flatnonzero(np.diff(ends)):
         part = slice(ends[c], ends[c + 1])
-        s = states[part]
-        x = np.matmul(p["to_word"][c].T, s.T)
-        x += p["word_bias"][c][:, None]
-        more, d = _softmax(x, of_word[part], None if weight is None else weight[part])
+        more, d = choose(to_word[c], part, of_word[part])
         logs[part] += more
         if grads is not None:
-            grads["to_word"][c] += (d @ s).T
-            grads["word_bias"][c] += d.sum(1)
-            d_states[part] += d.T @ p["to_word"][c].T
-    out = np.empty(len(target), np.float32)
+            grads["to_word"][c] += d[:h]
+            grads["word_bias"][c] += d[h]
+    out = np.empty(n, np.float32)
     out[order] = logs
     if grads is None:
         return out, None
-    d_out = np.empty_like(d_states)
-    d_out[order] = d_states
+    d_out = np.empty((n, h), d_states.dtype)
+    d_out[order] = d_states.T
     return out, d_out
 
 
@@ -192,7 +208,7 @@ def backward(p: Params, grads: Params, read: np.ndarray, start: np.ndarray, kept
     grads["into"] += np.matmul(_by_lane(x), _by_lane(d_in)).sum(0)
     grads["bias"] += d_in.sum((0, 2))
     d_x, words = np.matmul(_by_lane(d_in), p["into"].T).reshape(steps * lanes, -1), read.ravel()
-    order = np.argsort(words, kind="stable")
+    order = _sorted(words)
     firsts = np.flatnonzero(np.r_[True, np.diff(words[order]) > 0])
     grads["embed"][words[order][firsts]] += np.add.reduceat(d_x[order], firsts, axis=0)
 
@@ -428,30 +444,63 @@ def score_documents(
     def dictionary() -> dict[bytes, int]:
         return {w: i for i, w in enumerate(sent.value)}
 
-    def token_ids(found: np.ndarray, tokens: list[bytes]) -> np.ndarray:
-        out = np.empty(len(found) + 1, np.int32)
-        if len(word_ids):
-            out[:-1] = word_ids[found]
-        for k in np.flatnonzero(found < 0):
-            out[k] = type_ids[word_type(tokens[k])]
-        out[-1] = end_id
-        return out
+    id_type = np.uint16 if outputs <= 1 << 16 else np.int32
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = dictionary()
+        names = ["row", "doc_id", "n_tokens", "n_known", "logs", "oov_logs", "ids", "rare"]
+        for batch in batches:
+            columns, rare_words, rare_uses, ends = [[] for _ in range(5)], [], [], [0]
+            for text in batch.column(2):
+                tokens = tokens_of(text.as_py())
+                found = np.fromiter(map(known.get, tokens, repeat(-1)), np.int32, len(tokens))
+                missing = np.flatnonzero(found < 0)
+                others = [tokens[k] for k in missing.tolist()]
+                other_types = np.fromiter(map(word_type, others), np.int32, len(others))
+                ids = np.full(len(tokens) + 1, end_id, id_type)
+                if len(word_ids):
+                    ids[:-1] = word_ids[found]
+                ids[missing] = type_ids[other_types]
+                held = found[found >= 0]
+                outside = held[held >= in_vocabulary]
+                logs = float(log_count[held].sum()) if len(held) else 0.0
+                oov = float(log_count[outside].sum() - log_type[types[outside]].sum()) if len(outside) else 0.0
+                oov -= float(log_type[other_types].sum())
+                for column, value in zip(columns, (len(tokens) + 1, len(held), logs, oov, ids.tobytes())):
+                    column.append(value)
+                uses = Counter(others)
+                rare_words += [w.decode() for w in uses]
+                rare_uses += uses.values()
+                ends.append(len(rare_words))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+            listed = pa.StructArray.from_arrays([pa.array(rare_words, pa.string()), pa.array(rare_uses, pa.int64())], names=["word", "uses"])
+            rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), listed)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, columns, kinds), rare], names=names)
+
+    doc_type = texts.schema["doc_id"].dataType.simpleString()
+    numbers = f"row long, doc_id {doc_type}, n_tokens long, n_known long, logs double, oov_logs double"
+
+    def encoded_of(rows: DataFrame) -> DataFrame:
+        numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+        return numbered.mapInArrow(encode, f"{numbers}, ids binary, rare array<struct<word:string,uses:bigint>>")
+
+    def read(ids: pa.Array) -> list[np.ndarray]:
+        return [np.frombuffer(x.as_py(), id_type) for x in ids]
+
+    # words are looked up once; training and scoring read their ids
+    encoded = materialize(encoded_of(texts), "encoded_texts")
 
     start = first_params(unigram / unigram.sum(), units=units, classes=classes)
     train_schema = "tokens long, params binary"
 
     def trainer(params_now: bytes, passes: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known = dictionary()
             params, seen = _unpack(params_now, start), 0
             adam = Adam(params, rate)
             for batch in batches:
-                read = []
-                for text in batch.column(1):
-                    tokens = tokens_of(text.as_py())
-                    read.append(token_ids(np.fromiter(map(known.get, tokens, repeat(-1)), np.int32, len(tokens)), tokens))
+                texts_read = read(batch.column(0))
                 for _ in range(passes):
-                    seen += train_texts(params, adam, read, end_id, lanes, steps)
+                    seen += train_texts(params, adam, texts_read, end_id, lanes, steps)
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([_pack(params)], pa.binary())], names=["tokens", "params"])
 
@@ -472,50 +521,20 @@ def score_documents(
         share = min(1.0, (2 * warm_docs + 100) / n_ends)
         low = training.filter(F.xxhash64("doc_id") <= int(-(1 << 63) + share * ((1 << 64) - 1)) if share < 1 else F.lit(True))
         few = low.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(warm_docs).coalesce(1)
-        params = few.mapInArrow(trainer(params, warm_passes), train_schema).collect()[0]["params"]
-        copies = materialize(training.mapInArrow(trainer(params, 1), train_schema), "model_copies")
+        params = encoded_of(few).select("ids").mapInArrow(trainer(params, warm_passes), train_schema).collect()[0]["params"]
+        copies = materialize(encoded.filter(~held_out).select("ids").mapInArrow(trainer(params, 1), train_schema), "model_copies")
         means = copies.repartition(16).mapInArrow(average, train_schema).collect()  # 16 models at most
         seen = sum(r["tokens"] for r in means)
         params = sum(r["tokens"] / seen * np.frombuffer(r["params"], np.float32).astype(float) for r in means).astype(np.float32).tobytes()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, model = dictionary(), _unpack(params, start)
-        names = ["row", "doc_id", "n_tokens", "n_known", "logs", "oov_logs", "model", "rare"]
+        model = _unpack(params, start)
         for batch in batches:
-            read, columns = [], [[] for _ in range(4)]
-            rare_words, rare_uses, ends = [], [], [0]
-            for text in batch.column(2):
-                tokens = tokens_of(text.as_py())
-                found = np.fromiter(map(known.get, tokens, repeat(-1)), np.int32, len(tokens))
-                held = found[found >= 0]
-                others = Counter(tokens[k] for k in np.flatnonzero(found < 0))
-                outside = held[held >= in_vocabulary]
-                read.append(token_ids(found, tokens))
-                logs = float(log_count[held].sum()) if len(held) else 0.0
-                oov = float(log_count[outside].sum() - log_type[types[outside]].sum()) if len(outside) else 0.0
-                oov -= sum(n * log_type[word_type(w)] for w, n in others.items())
-                for column, value in zip(columns, (len(tokens) + 1, len(held), logs, oov)):
-                    column.append(value)
-                rare_words += [w.decode() for w in others]
-                rare_uses += others.values()
-                ends.append(len(rare_words))
-            logs10 = score_texts(model, read, end_id, lanes, steps) / math.log(10)
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            uses = pa.StructArray.from_arrays([pa.array(rare_words, pa.string()), pa.array(rare_uses, pa.int64())], names=["word", "uses"])
-            rare = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), uses)
-            arrays = [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(columns, kinds)), pa.array(logs10), rare]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            logs10 = score_texts(model, read(batch.column(6)), end_id, lanes, steps) / math.log(10)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:6], pa.array(logs10)], names=[*batch.schema.names[:6], "model"])
 
-    doc_type = texts.schema["doc_id"].dataType.simpleString()
-    scored = materialize(
-        texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
-            score,
-            f"row long, doc_id {doc_type}, n_tokens long, n_known long, logs double, oov_logs double, model double, "
-            "rare array<struct<word:string,uses:bigint>>",
-        ),
-        "scored_texts",
-    )
-    uses = scored.select("row", F.inline("rare"))
+    scored = materialize(encoded.drop("rare").mapInArrow(score, f"{numbers}, model double"), "scored_texts")
+    uses = encoded.select("row", F.inline("rare"))
     counted = uses.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.col("uses") * F.log10(F.coalesce("n", F.lit(0)) + SMOOTH)).alias("rare_logs"),
         F.sum(F.when(F.col("n") > 0, F.col("uses")).otherwise(0)).alias("rare_known"),
