@@ -37,8 +37,6 @@ END = ""
 CLASSES, PER_CLASS, HIDDEN, EMBEDDED, WORD_TYPES = 32, 64, 12, 12, 64
 VOCABULARY = CLASSES * PER_CLASS
 SMOOTH = 0.1
-#: Below this size, sums of exponentials neither overflow nor vanish in single precision.
-BOUNDED = 40.0
 
 Params = dict[str, np.ndarray]
 
@@ -76,16 +74,20 @@ def first_params(unigram: np.ndarray, seed: int = 11, units: int | None = None,
     }
 
 
-def _softmax(x: np.ndarray, target: np.ndarray, bounded: bool):
-    """Log probabilities of the targets under the columns of ``x`` ([choices, tokens]) and the sums of the
-    exponentials that ``x`` holds afterwards; ``bounded`` inputs need no shift before exp."""
+def _softmax(x: np.ndarray, target: np.ndarray, weight: np.ndarray | None):
+    """Log probabilities of the targets under the columns of ``x`` ([choices, tokens], overwritten);
+    with ``weight``, the gradient of minus their weighted sum by ``x`` as well."""
     at = np.arange(len(target))
-    if not bounded:
-        x -= x.max(0)
+    x -= x.max(0)
     picked = x[target, at]
     np.exp(x, out=x)
     total = x.sum(0)
-    return picked - np.log(total), total
+    logs = picked - np.log(total)
+    if weight is None:
+        return logs, None
+    x *= weight / total
+    x[target, at] -= weight
+    return logs, x
 
 
 def _sorted(ids: np.ndarray) -> np.ndarray:
@@ -136,49 +138,36 @@ def log_probs(p: Params, states: np.ndarray, target: np.ndarray, grads: Params |
     adds the gradients of minus their weighted sum and returns that of the
     states as well."""
     classes, per_class = p["word_bias"].shape
-    n, h = states.shape
     order = _sorted(target // per_class)  # tokens of one class lie together
     of_class, of_word = np.divmod(target[order], per_class)
     ends = np.searchsorted(of_class, np.arange(classes + 1))
-    # a state ends in 1 and weights in the biases, so that products hold the biases and their gradients
-    state = np.ones((h + 1, n), states.dtype)
-    state[:h] = states[order].T
-    to_class = np.vstack([p["to_class"], p["class_bias"]])
-    to_word = np.concatenate([p["to_word"], p["word_bias"][:, None]], axis=1)
-    most = max(1.0, float(states.max(initial=0)), -float(states.min(initial=0)))
-    bounded = most * max(float(np.abs(to_class).sum(0).max()), float(np.abs(to_word).sum(1).max())) < BOUNDED
+    states = states[order]
     weight = None if grads is None else weight[order]
-    d_states = None if grads is None else np.zeros((h, n), to_class.dtype)
-
-    def choose(weights: np.ndarray, part: slice, chosen: np.ndarray):
-        """Log probabilities of the ``chosen``; adds the gradient by the states, returns that by the weights."""
-        x = weights.T @ state[:, part]
-        logs, total = _softmax(x, chosen, bounded)
-        if grads is None:
-            return logs, None
-        # the gradient by x is weight * (x / total - 1 at the target); the factor weight / total is taken on the narrow side
-        x[chosen, np.arange(len(chosen))] -= total
-        factor = weight[part] / total
-        d_states[:, part] += (weights[:h] @ x) * factor
-        return logs, (state[:, part] * factor) @ x.T
-
-    logs, d = choose(to_class, slice(0, n), of_class)
+    x = np.matmul(p["to_class"].T, states.T)
+    x += p["class_bias"][:, None]
+    logs, d = _softmax(x, of_class, weight)
+    d_states = None
     if grads is not None:
-        grads["to_class"] += d[:h]
-        grads["class_bias"] += d[h]
+        grads["to_class"] += (d @ states).T
+        grads["class_bias"] += d.sum(1)
+        d_states = d.T @ p["to_class"].T
     for c in np.flatnonzero(np.diff(ends)):
         part = slice(ends[c], ends[c + 1])
-        more, d = choose(to_word[c], part, of_word[part])
+        s = states[part]
+        x = np.matmul(p["to_word"][c].T, s.T)
+        x += p["word_bias"][c][:, None]
+        more, d = _softmax(x, of_word[part], None if weight is None else weight[part])
         logs[part] += more
         if grads is not None:
-            grads["to_word"][c] += d[:h]
-            grads["word_bias"][c] += d[h]
-    out = np.empty(n, np.float32)
+            grads["to_word"][c] += (d @ s).T
+            grads["word_bias"][c] += d.sum(1)
+            d_states[part] += d.T @ p["to_word"][c].T
+    out = np.empty(len(target), np.float32)
     out[order] = logs
     if grads is None:
         return out, None
-    d_out = np.empty((n, h), d_states.dtype)
-    d_out[order] = d_states.T
+    d_out = np.empty_like(d_states)
+    d_out[order] = d_states
     return out, d_out
 
 
