@@ -95,3 +95,26 @@ def test_a_line_is_read_once_for_all_its_rules(spark, tmp_dir):
     assert physical.count("FileScan") == 1 and physical.count("yesterday") == 1 and physical.count("regexp_extract(") == 6
     n = {(r.lenient, r.reason): r.n for r in out.collect()}
     assert n[False, "too_short"] == n[True, "too_short"] == 10 and n[True, "bad_date"] == 10 and n[True, "too_early"] > n[False, "too_early"]
+
+
+def test_calls_that_wait_are_dealt_in_equal_shares(spark, tmp_dir, monkeypatch):
+    """Files one more than the task slots, or of unequal size, are no tasks of their own."""
+    from pyspark.sql import functions as F
+
+    from clickweave.plans import adapter, queries
+
+    slots = spark.sparkContext.defaultParallelism
+    n = 1000 * (slots + 1)
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit("web").alias("source"), F.lit("a text").alias("text"))
+    docs.repartitionByRange(slots + 1, "doc_id").write.parquet(f"{tmp_dir}/documents.parquet")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a split for each file
+    try:
+        assert queries._docs(spark, tmp_dir).rdd.getNumPartitions() > slots
+        assert queries.q_doc_score_stalls(spark, tmp_dir).rdd.getNumPartitions() == slots
+        monkeypatch.setattr(adapter, "DOCS_PER_TASK", 500)
+        assert queries.q_doc_score_stalls(spark, tmp_dir).rdd.getNumPartitions() == 2 * (slots + 1) // slots * slots
+        shares = adapter.in_equal_shares(queries._docs(spark, tmp_dir), n).groupBy(F.spark_partition_id()).count()
+        sizes = [r["count"] for r in shares.collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sum(sizes) == n and max(sizes) - min(sizes) <= slots + 1
